@@ -52,12 +52,16 @@ def load_report(table: DataFrame, date_col: str, new_flag: str | None = None) ->
 
 
 def table_profile(df: DataFrame) -> DataFrame:
-    """V4: row count and the column list, one row per column, in one job."""
+    """V4: row count and the column list, one row per column, in one job; each column
+    also carries its relational type (T16)."""
+    from martworks.operators.transform import sql_type
+
     columns = F.array(
         *[
             F.struct(
                 F.lit(f.name).alias("column_name"),
                 F.lit(i + 1).alias("ordinal_position"),
+                F.lit(sql_type(f.dataType)).alias("sql_type"),
             )
             for i, f in enumerate(df.schema.fields)
         ]

@@ -184,3 +184,426 @@ def q_r4_distinct_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_v1_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_counts({t: load(spark, sf_dir, t) for t in ALL_TABLES})
+
+
+# ---------------------------------------------------------------- trim and top-n
+
+from martworks.operators import merge, topn, transform  # noqa: E402
+from martworks.operators.quality import load_report, table_profile  # noqa: E402
+from martworks.operators.trim import quantile_trim  # noqa: E402
+from martworks.functions import columns as fcols  # noqa: E402
+
+
+@register(
+    "a7_quantile_trim",
+    """
+WITH c AS (SELECT * FROM events WHERE event_type = 'click'),
+b AS (SELECT quantile_cont(value, 0.05) AS lo, quantile_cont(value, 0.95) AS hi FROM c)
+SELECT c.* FROM c, b WHERE c.value BETWEEN b.lo AND b.hi
+""",
+)
+def q_a7_quantile_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clicks = transform.filter_equals(load(spark, sf_dir, "events"), "event_type", "click")
+    return round_doubles(quantile_trim(clicks, "value", 0.05, 0.95))
+
+
+@register(
+    "l1_top_n",
+    """
+SELECT * FROM orders WHERE o_totalprice IS NOT NULL
+ORDER BY o_totalprice DESC, o_orderkey LIMIT 10
+""",
+)
+def q_l1_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topn.top_n(load(spark, sf_dir, "orders"), 10, "o_totalprice", tie_order=["o_orderkey"])
+
+
+@register(
+    "l2_extremes",
+    """
+SELECT * FROM (
+    SELECT *, 'top' AS extreme_side,
+           CAST(row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS extreme_rank
+    FROM orders WHERE o_totalprice IS NOT NULL) WHERE extreme_rank <= 5
+UNION ALL
+SELECT * FROM (
+    SELECT *, 'bottom' AS extreme_side,
+           CAST(row_number() OVER (ORDER BY o_totalprice ASC, o_orderkey) AS INTEGER) AS extreme_rank
+    FROM orders WHERE o_totalprice IS NOT NULL) WHERE extreme_rank <= 5
+""",
+)
+def q_l2_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topn.extremes(load(spark, sf_dir, "orders"), 5, "o_totalprice", tie_order=["o_orderkey"])
+
+
+# ---------------------------------------------------------------- merges
+
+@register(
+    "m1_dedupe_first",
+    """
+SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                 ORDER BY l_shipdate, l_partkey, l_suppkey, l_extendedprice) AS rn
+    FROM lineitem) WHERE rn = 1
+""",
+)
+def q_m1_dedupe_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge.dedupe_first(
+        load(spark, sf_dir, "lineitem"),
+        ["l_orderkey", "l_linenumber"],
+        ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"],
+    )
+
+
+_CUSTOMER_MERGE_SQL = """
+WITH t AS (
+    SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
+           TIMESTAMP '2024-01-01 00:00:00' AS loaded_at
+    FROM customer WHERE c_acctbal < 5000),
+b AS (
+    SELECT c_custkey, lower(c_name) AS c_name, c_nationkey, c_acctbal + 100 AS c_acctbal,
+           c_mktsegment, 1 AS seq
+    FROM customer WHERE c_acctbal >= 2500
+    UNION ALL
+    SELECT c_custkey, lower(c_name) AS c_name, c_nationkey, c_acctbal - 1 AS c_acctbal,
+           'REVISED' AS c_mktsegment, 2 AS seq
+    FROM customer WHERE c_nationkey < 5)
+"""
+
+
+def _customer_target_batch(spark: SparkSession, sf_dir: str):
+    customer = load(spark, sf_dir, "customer")
+    target = customer.where(F.col("c_acctbal") < 5000).withColumn(
+        "loaded_at", transform.as_timestamp("2024-01-01 00:00:00")
+    )
+    cols = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+    first = customer.where(F.col("c_acctbal") >= 2500).select(
+        "c_custkey", F.lower("c_name").alias("c_name"), "c_nationkey",
+        (F.col("c_acctbal") + 100).alias("c_acctbal"), "c_mktsegment", F.lit(1).alias("seq"),
+    )
+    second = customer.where(F.col("c_nationkey") < 5).select(
+        "c_custkey", F.lower("c_name").alias("c_name"), "c_nationkey",
+        (F.col("c_acctbal") - 1).alias("c_acctbal"), F.lit("REVISED").alias("c_mktsegment"),
+        F.lit(2).alias("seq"),
+    )
+    return target, first.unionByName(second), cols
+
+
+@register(
+    "m2_upsert",
+    _CUSTOMER_MERGE_SQL
+    + """,
+bl AS (SELECT * EXCLUDE (rn, seq) FROM (
+    SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY seq DESC) AS rn FROM b)
+    WHERE rn = 1)
+SELECT t.* FROM t WHERE NOT EXISTS (SELECT 1 FROM bl WHERE bl.c_custkey = t.c_custkey)
+UNION ALL
+SELECT bl.c_custkey,
+       CASE WHEN t.c_custkey IS NOT NULL THEN t.c_name ELSE bl.c_name END AS c_name,
+       CASE WHEN t.c_custkey IS NOT NULL THEN t.c_nationkey ELSE bl.c_nationkey END AS c_nationkey,
+       bl.c_acctbal, bl.c_mktsegment, TIMESTAMP '2024-02-01 00:00:00' AS loaded_at
+FROM bl LEFT JOIN t ON bl.c_custkey = t.c_custkey
+""",
+)
+def q_m2_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, batch, _ = _customer_target_batch(spark, sf_dir)
+    out = merge.upsert(
+        target, batch, ["c_custkey"], order_by=["seq"],
+        update_cols=["c_acctbal", "c_mktsegment"],
+        stamp=("loaded_at", "2024-02-01 00:00:00"),
+    )
+    return round_doubles(out)
+
+
+@register(
+    "m3_insert_ignore",
+    _CUSTOMER_MERGE_SQL
+    + """,
+bf AS (SELECT * EXCLUDE (rn, seq) FROM (
+    SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY seq) AS rn FROM b)
+    WHERE rn = 1)
+SELECT * FROM t
+UNION ALL
+SELECT bf.*, TIMESTAMP '2024-02-01 00:00:00' AS loaded_at FROM bf
+WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.c_custkey = bf.c_custkey)
+""",
+)
+def q_m3_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, batch, _ = _customer_target_batch(spark, sf_dir)
+    batch = batch.withColumn("loaded_at", transform.as_timestamp("2024-02-01 00:00:00"))
+    return round_doubles(merge.insert_ignore(target, batch, ["c_custkey"], order_by=["seq"]))
+
+
+_EVENT_COLS = "event_id, ts, user_id, event_type, value, props"
+
+
+@register(
+    "m4_reload_day",
+    f"""
+WITH t AS (SELECT {_EVENT_COLS}, ts AS loaded_at FROM events),
+b AS (
+    SELECT event_id, ts, user_id, event_type, value + 1 AS value, props,
+           TIMESTAMP '2024-01-20 06:00:00' AS loaded_at, 1 AS seq
+    FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'
+    UNION ALL
+    SELECT event_id, ts, user_id, event_type, value + 2 AS value, props,
+           TIMESTAMP '2024-01-20 06:00:00' AS loaded_at, 2 AS seq
+    FROM events WHERE ts >= TIMESTAMP '2024-01-25 00:00:00'),
+bf AS (SELECT * EXCLUDE (rn, seq) FROM (
+    SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY seq) AS rn FROM b) WHERE rn = 1),
+kept AS (SELECT * FROM t WHERE loaded_at IS NULL OR CAST(loaded_at AS DATE) < DATE '2024-01-20')
+SELECT * FROM kept
+UNION ALL
+SELECT * FROM bf WHERE NOT EXISTS (SELECT 1 FROM kept WHERE kept.event_id = bf.event_id)
+""",
+)
+def q_m4_reload_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = load(spark, sf_dir, "events")
+    target = events.withColumn("loaded_at", F.col("ts"))
+    stamp = transform.as_timestamp("2024-01-20 06:00:00")
+    ts = F.col("ts")
+    b1 = events.where(ts >= transform.as_timestamp("2024-01-15 00:00:00")).withColumns(
+        {"value": F.col("value") + 1, "loaded_at": stamp, "seq": F.lit(1)}
+    )
+    b2 = events.where(ts >= transform.as_timestamp("2024-01-25 00:00:00")).withColumns(
+        {"value": F.col("value") + 2, "loaded_at": stamp, "seq": F.lit(2)}
+    )
+    out = merge.reload_day(
+        target, b1.unionByName(b2), ["event_id"], as_of=transform.date(2024, 1, 20),
+        order_by=["seq"],
+    )
+    return round_doubles(out)
+
+
+_WM_TARGET = "SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00'"
+
+
+def _wm_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = load(spark, sf_dir, "events")
+    return events.where(F.col("ts") < transform.as_timestamp("2024-01-15 00:00:00"))
+
+
+@register("m5_high_watermark", f"SELECT MAX(ts) AS watermark FROM ({_WM_TARGET})")
+def q_m5_high_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the operator itself returns a scalar; as a query it is the one-row aggregate
+    return _wm_target(spark, sf_dir).agg(F.max("ts").alias("watermark"))
+
+
+_M6_SQL = f"""
+SELECT *, false AS is_new FROM ({_WM_TARGET})
+UNION ALL
+SELECT *, true AS is_new FROM events WHERE ts > (SELECT MAX(ts) FROM ({_WM_TARGET}))
+"""
+
+
+def _incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge.incremental_load(
+        load(spark, sf_dir, "events"), _wm_target(spark, sf_dir), "ts",
+        default=transform.datetime(1970, 1, 1), flag_col="is_new",
+    )
+
+
+@register("m6_incremental_load", _M6_SQL)
+def q_m6_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(_incremental(spark, sf_dir))
+
+
+@register(
+    "v3_load_report",
+    f"""
+SELECT COUNT(*) AS total_rows, MIN(ts) AS min_date, MAX(ts) AS max_date,
+       CAST(SUM(CASE WHEN is_new THEN 1 ELSE 0 END) AS BIGINT) AS new_rows
+FROM ({_M6_SQL})
+""",
+)
+def q_v3_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load_report(_incremental(spark, sf_dir), "ts", "is_new")
+
+
+# ---------------------------------------------------------------- coercions
+
+@register(
+    "t3_parse_date",
+    "SELECT event_id, CAST(ts AS DATE) AS noted_date FROM events",
+)
+def q_t3_parse_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = load(spark, sf_dir, "events")
+    text = events.select("event_id", F.date_format("ts", "dd-MM-yyyy HH:mm").alias("noted_date"))
+    return transform.parse_date(text, "noted_date", "dd-MM-yyyy HH:mm")
+
+
+@register(
+    "t4_coerce_timestamp",
+    """
+SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE ts END AS start_time FROM events
+""",
+)
+def q_t4_coerce_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = load(spark, sf_dir, "events")
+    text = events.select(
+        "event_id",
+        F.when(F.col("event_type") == "error", F.lit("not a time"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+        .alias("start_time"),
+    )
+    return transform.coerce_timestamp(text, ["start_time"])
+
+
+@register(
+    "t5_coerce_numeric",
+    "SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS amount FROM events",
+)
+def q_t5_coerce_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = load(spark, sf_dir, "events")
+    text = events.select(
+        "event_id",
+        F.when(F.col("event_type") == "error", F.lit("n/a"))
+        .otherwise(F.col("value").cast("string"))
+        .alias("amount"),
+    )
+    return round_doubles(transform.coerce_numeric(text, ["amount"], "double"))
+
+
+@register(
+    "t6_to_float_int",
+    """
+WITH v AS (
+    SELECT event_id,
+           CASE WHEN event_type IN ('error', 'view') THEN NULL
+                WHEN event_type = 'signup' THEN -value ELSE value END AS x
+    FROM events)
+SELECT event_id, ROUND(x, 6) AS as_float, CAST(trunc(x) AS INTEGER) AS as_int FROM v
+""",
+)
+def q_t6_to_float_int(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = load(spark, sf_dir, "events")
+    v = F.col("value").cast("string")
+    kind = F.col("event_type")
+    text = (
+        F.when(kind == "error", F.lit("n/a"))
+        .when(kind == "view", F.concat(v, F.lit("d")))
+        .when(kind == "signup", F.concat(F.lit(" -"), v, F.lit(" ")))
+        .otherwise(v)
+    )
+    out = events.select("event_id", text.alias("raw"))
+    return round_doubles(
+        out.select("event_id", fcols.to_float("raw").alias("as_float"), fcols.to_int("raw").alias("as_int"))
+    )
+
+
+@register(
+    "t7_to_decimal",
+    """
+SELECT l_orderkey, l_linenumber,
+       CAST(CAST(l_extendedprice AS DECIMAL(12, 2)) * CAST(l_discount AS DECIMAL(4, 2))
+            AS DECIMAL(10, 2)) AS discount_amount
+FROM lineitem
+""",
+)
+def q_t7_to_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = load(spark, sf_dir, "lineitem")
+    amount = fcols.to_decimal("l_extendedprice", 12, 2) * fcols.to_decimal("l_discount", 4, 2)
+    return li.select("l_orderkey", "l_linenumber", fcols.to_decimal(amount, 10, 2).alias("discount_amount"))
+
+
+@register(
+    "t8_flatten_props",
+    """
+SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS props_k,
+       CAST(json_object('k', CAST(json_extract(props, '$.k') AS INTEGER)) AS VARCHAR) AS props_json
+FROM events
+""",
+)
+def q_t8_flatten_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = load(spark, sf_dir, "events")
+    parsed = events.select("event_id", F.from_json("props", "k INT").alias("props"))
+    parsed = parsed.withColumn("props_json", F.col("props"))
+    flat = transform.flatten_struct(parsed, "props", ["k"])
+    return transform.to_json_columns(flat, ["props_json"]).select("event_id", "props_k", "props_json")
+
+
+@register(
+    "t10_join_array",
+    "SELECT p_partkey, array_to_string(string_split(p_name, ' '), ', ') AS name_parts FROM part",
+)
+def q_t10_join_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = load(spark, sf_dir, "part")
+    return part.select("p_partkey", fcols.join_array(F.split("p_name", " ")).alias("name_parts"))
+
+
+@register(
+    "t11_map_values",
+    """
+SELECT o_orderkey, o_orderstatus,
+       CASE o_orderstatus WHEN 'F' THEN 'fulfilled' WHEN 'O' THEN 'open' ELSE 'other' END
+           AS status_category
+FROM orders
+""",
+)
+def q_t11_map_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = load(spark, sf_dir, "orders")
+    return orders.select(
+        "o_orderkey", "o_orderstatus",
+        fcols.map_values("o_orderstatus", {"F": "fulfilled", "O": "open"}, "other").alias("status_category"),
+    )
+
+
+@register("t12_text_length", "SELECT doc_id, length(text) AS text_chars FROM documents")
+def q_t12_text_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return docs.select("doc_id", fcols.text_length("text").alias("text_chars"))
+
+
+@register(
+    "t15_conform_customer",
+    """
+SELECT c_custkey AS cust_key, c_name AS name, c_nationkey AS nation_key,
+       CAST(c_acctbal AS DECIMAL(12, 2)) AS acct_bal,
+       COALESCE(c_mktsegment, 'UNKNOWN') AS mkt_segment,
+       CAST(0 AS INTEGER) AS reports_count, false AS moderation_flag,
+       TIMESTAMP '2024-03-01 00:00:00' AS loaded_at, 'tpch' AS source
+FROM customer
+""",
+)
+def q_t15_conform_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import types as T
+
+    customer = load(spark, sf_dir, "customer")
+    raw = transform.project_rename(
+        customer,
+        [("c_custkey", "Cust Key"), ("c_name", "Name"), ("c_nationkey", "Nation/Key"),
+         ("c_acctbal", "Acct-Bal"), ("c_mktsegment", "Mkt Segment")],
+    )
+    df = transform.normalize_columns(raw)
+    df = transform.add_audit_columns(df, transform.datetime(2024, 3, 1), "tpch")
+    df = transform.add_missing_column(df, "reports_count", "int", None)
+    schema = T.StructType([
+        T.StructField("cust_key", T.LongType()),
+        T.StructField("name", T.StringType()),
+        T.StructField("nation_key", T.IntegerType()),
+        T.StructField("acct_bal", T.DecimalType(12, 2)),
+        T.StructField("mkt_segment", T.StringType()),
+        T.StructField("reports_count", T.IntegerType()),
+        T.StructField("moderation_flag", T.BooleanType()),
+        T.StructField("loaded_at", T.TimestampNTZType()),
+        T.StructField("source", T.StringType()),
+    ])
+    return transform.conform(
+        df, schema, {"reports_count": 0, "moderation_flag": False, "mkt_segment": "UNKNOWN"}
+    )
+
+
+@register(
+    "v4_table_profile",
+    """
+SELECT column_name, CAST(ordinal_position AS INTEGER) AS ordinal_position,
+       CASE data_type WHEN 'BIGINT' THEN 'BIGINT' WHEN 'INTEGER' THEN 'INTEGER'
+                      WHEN 'DOUBLE' THEN 'FLOAT' WHEN 'VARCHAR' THEN 'VARCHAR(255)'
+                      WHEN 'TIMESTAMP' THEN 'TIMESTAMP' WHEN 'DATE' THEN 'DATE'
+                      WHEN 'BOOLEAN' THEN 'BOOLEAN' ELSE 'TEXT' END AS sql_type,
+       (SELECT COUNT(*) FROM lineitem) AS row_count
+FROM information_schema.columns WHERE table_name = 'lineitem'
+""",
+)
+def q_v4_table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table_profile(load(spark, sf_dir, "lineitem"))
