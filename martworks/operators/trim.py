@@ -4,8 +4,8 @@
 not scale. Instead the rank of each wanted order statistic is narrowed down with
 counting passes whose results are bounded by the number of buckets:
 
-1. one aggregate gives the row count and ``percentile_approx`` split points
-   (a sketch of bounded size);
+1. a count; while a candidate range holds too many rows, one aggregate gives
+   ``percentile_approx`` split points over it (a sketch of bounded size) and
 2. a ``groupBy(bucket)`` count over the candidate range (at most ``2 * buckets + 1``
    rows to the driver) tells which bucket holds each wanted rank; a bucket is either a
    single split value (heavy hitters end there) or the open range between two splits;
@@ -92,18 +92,14 @@ def exact_quantiles(
     c = col if isinstance(col, Column) else F.col(col)
     vals = df.select(c.cast("double").alias(_V)).where(F.col(_V).isNotNull() & ~F.isnan(_V))
     fracs = [i / buckets for i in range(1, buckets)]
-    first = vals.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx(_V, fracs, 64 * buckets).alias("splits"),
-    ).first()
-    n = first["n"]
+    n = vals.count()
     if n == 0:
         return [None for _ in probs]
     positions = [(n - 1) * p for p in probs]
     wanted = sorted({math.floor(h) for h in positions} | {math.ceil(h) for h in positions})
     full = (None, True, None, True)
     state = {r: {"range": full, "offset": 0, "count": n} for r in wanted}
-    splits = first["splits"]
+    splits = None
     resolved: dict = {}
     rounds = 0
     while True:
@@ -121,8 +117,7 @@ def exact_quantiles(
             by_range.setdefault(st["range"], []).append(r)
         for rng, members in by_range.items():
             cand = vals.where(_in_range(F.col(_V), *rng))
-            if rng != full or splits is None:
-                splits = cand.agg(F.percentile_approx(_V, fracs, 64 * buckets)).first()[0]
+            splits = cand.agg(F.percentile_approx(_V, fracs, 64 * buckets)).first()[0]
             pts = sorted(set(splits or []))
             counts = {
                 row["b"]: row["n"]
@@ -150,7 +145,6 @@ def exact_quantiles(
                             }
                         break
                     before += nb
-            splits = None
     result = []
     for h in positions:
         lo_v, hi_v = resolved[math.floor(h)], resolved[math.ceil(h)]

@@ -607,3 +607,97 @@ FROM information_schema.columns WHERE table_name = 'lineitem'
 )
 def q_v4_table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_profile(load(spark, sf_dir, "lineitem"))
+
+
+# ---------------------------------------------------------------- sources and sinks
+# Each writes whole tables to a fresh folder under the shared checkpoint folder and
+# reads them back with the operator under test.
+
+from martworks.session import work_path  # noqa: E402
+from martworks.sinks import writers  # noqa: E402
+from martworks.sources import readers  # noqa: E402
+from martworks.streaming.stream_load import read_target, run_stream_load  # noqa: E402
+
+
+@register("s1_csv_roundtrip", "SELECT * FROM part")
+def q_s1_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = load(spark, sf_dir, "part")
+    path = work_path(spark, "s1-part-csv")
+    writers.write_csv(part, path)
+    return readers.read_csv(spark, path, schema=part.schema)
+
+
+@register("s2_parquet_roundtrip", "SELECT * FROM lineitem")
+def q_s2_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lineitem = load(spark, sf_dir, "lineitem")
+    path = work_path(spark, "s2-lineitem")
+    writers.write_parquet(lineitem, path, partition_by=["l_returnflag"])
+    return readers.read_parquet(spark, path).select(*lineitem.columns)
+
+
+@register("s3_json_records", "SELECT * FROM part")
+def q_s3_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = load(spark, sf_dir, "part")
+    # documents of at most 16 parts each: {"parts": [{...}, ...]}
+    docs = part.groupBy(F.expr("p_partkey div 16").alias("doc")).agg(
+        F.collect_list(F.struct(*part.columns)).alias("parts")
+    )
+    path = work_path(spark, "s3-part-json")
+    docs.select("parts").write.mode("overwrite").json(path)
+    return readers.read_json_records(spark, path, "parts", part.schema, multi_line=False)
+
+
+@register("s4_xml_records", "SELECT * FROM part")
+def q_s4_xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = load(spark, sf_dir, "part")
+    path = work_path(spark, "s4-part-xml")
+    part.write.mode("overwrite").format("xml").option("rowTag", "part").option(
+        "rootTag", "parts"
+    ).save(path)
+    return readers.read_xml_records(spark, path, "part", part.schema)
+
+
+@register("s5_collection_roundtrip", "SELECT * FROM events")
+def q_s5_collection_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import types as T
+
+    events = load(spark, sf_dir, "events")
+    path = work_path(spark, "s5-events-jsonl")
+    events.select(F.concat(F.lit("oid-"), F.col("event_id").cast("string")).alias("_id"), "*") \
+        .write.mode("overwrite").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") \
+        .json(path)
+    schema = T.StructType([T.StructField("_id", T.StringType())] + events.schema.fields)
+    return readers.read_collection(spark, path, schema)
+
+
+@register("k3_append_by_name", "SELECT * FROM customer")
+def q_k3_append_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = load(spark, sf_dir, "customer")
+    path = work_path(spark, "k3-customer")
+    writers.write_parquet(customer.where(F.col("c_acctbal") < 5000), path)
+    later = customer.where(~(F.col("c_acctbal") < 5000)).select(*reversed(customer.columns))
+    writers.append_table(later, path, spark)
+    return readers.read_parquet(spark, path)
+
+
+@register("k4_full_refresh_table", "SELECT * FROM part")
+def q_k4_full_refresh_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = load(spark, sf_dir, "part")
+    path = work_path(spark, "k4-part-table")
+    table = "mw_" + path.rsplit("-", 1)[-1]
+    writers.full_refresh(part.where(F.col("p_size") < 10), table, path=path)
+    writers.full_refresh(part, table, path=path)
+    return readers.read_table(spark, table)
+
+
+@register("m7_stream_load", "SELECT * FROM events")
+def q_m7_stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events_schema = load(spark, sf_dir, "events").schema
+    target = work_path(spark, "m7-target")
+    checkpoint = work_path(spark, "m7-checkpoint")
+    for _ in range(2):  # the second run finds no new file and adds nothing
+        run_stream_load(
+            spark, sf_dir, events_schema, target, ["event_id"], checkpoint,
+            order_by=["ts"], path_glob="events.parquet",
+        )
+    return read_target(spark, target, events_schema)
