@@ -96,7 +96,13 @@ def add_audit_columns(
 def project_rename(df: DataFrame, mapping: Sequence[tuple[str, str]] | Mapping[str, str]) -> DataFrame:
     """Select and rename, nested paths included (``vitamins.a`` -> ``vitamin_a``)."""
     pairs = mapping.items() if isinstance(mapping, Mapping) else mapping
-    return df.select(*[as_col(path).alias(name) for path, name in pairs])
+
+    def resolve(path):
+        if isinstance(path, str) and "(" in path:
+            return F.expr(path)
+        return as_col(path)
+
+    return df.select(*[resolve(path).alias(name) for path, name in pairs])
 
 
 def conform(

@@ -39,16 +39,25 @@ def read_json_records(
     field: str,
     element_schema: T.StructType,
     multi_line: bool = True,
+    position_col: str | None = None,
 ) -> DataFrame:
     """S3: documents holding an array of records -> one row per element.
 
     ``multi_line=True`` reads files that each hold one JSON object (one task per file);
     ``False`` reads JSON lines where every line is such a document, which splits.
     A document without the array, or with an empty one, gives no rows.
+    ``position_col`` adds the arrival order (file, element index) as a struct.
     """
     schema = T.StructType([T.StructField(field, T.ArrayType(element_schema))])
     docs = spark.read.schema(schema).option("multiLine", str(multi_line).lower()).json(path)
-    return docs.select(F.inline(F.col(field)))
+    if position_col is None:
+        return docs.select(F.inline(F.col(field)))
+    exploded = docs.select(
+        F.col("_metadata.file_path").alias("_file"), F.posexplode(F.col(field)).alias("_pos", "_rec")
+    )
+    return exploded.select(
+        "_rec.*", F.struct(F.col("_file").alias("file"), F.col("_pos").alias("pos")).alias(position_col)
+    )
 
 
 def read_xml_records(
