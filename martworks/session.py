@@ -54,7 +54,8 @@ def get_session(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     for key, value in conf.items():
-        if not key.startswith(("spark.driver", "spark.ui", "spark.master")):
+        # an existing session keeps its static settings; re-apply the runtime ones
+        if spark.conf.isModifiable(key):
             spark.conf.set(key, value)
     return spark
 

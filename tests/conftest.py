@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,7 +15,8 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("local[4]", 8)
+    warehouse = tempfile.mkdtemp(prefix="martworks-warehouse-")
+    s = get_session("local[4]", 8, extra_conf={"spark.sql.warehouse.dir": warehouse})
     yield s
 
 
