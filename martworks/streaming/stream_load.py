@@ -49,9 +49,12 @@ def stream_load(
     path_glob: str | None = None,
     source_format: str = "parquet",
     max_files_per_trigger: int | None = None,
+    recursive: bool = False,
 ) -> StreamingQuery:
     """Start the load; it stops by itself once the files present at start are done."""
     reader = spark.readStream.schema(schema).format(source_format)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
     if max_files_per_trigger:
