@@ -11,8 +11,8 @@ Key rules shared by every operator here, as a relational UNIQUE key behaves:
 
 Scale notes: deduplication is an aggregation (``min_by``/``max_by`` of the whole row),
 not a window, so rows of a hot key are combined map-side before the shuffle and no task
-has to sort all rows of one key. Rows with NULL keys bypass it entirely (they would all
-hash to one partition). Anti joins are plain equi-joins; AQE turns them into broadcast
+has to sort all rows of one key. Rows with NULL keys get a per-row group id instead of
+sharing one (they would all hash to one partition). Anti joins are plain equi-joins; AQE turns them into broadcast
 joins at runtime when the measured batch side is small.
 """
 
@@ -43,9 +43,15 @@ def _pick_one(df: DataFrame, keys: Sequence[str], order_by: Sequence, last: bool
     order = F.struct(*[as_col(o) for o in order_by])
     payload = F.struct(*[F.col(c) for c in cols])
     pick = F.max_by if last else F.min_by
-    keyed = df.where(~_any_null(keys))
-    picked = keyed.groupBy(*keys).agg(pick(payload, order).alias(_ROW)).select(f"{_ROW}.*")
-    return picked.unionByName(df.where(_any_null(keys)))
+    # a row with a NULL key is its own group: the extra grouping column is NULL for
+    # keyed rows and a per-row id otherwise, so NULL-key rows neither merge nor pile
+    # up in one partition, and the input is scanned once
+    loner = F.when(_any_null(keys), F.monotonically_increasing_id()).alias("_loner")
+    return (
+        df.groupBy(*keys, loner)
+        .agg(pick(payload, order).alias(_ROW))
+        .select(f"{_ROW}.*")
+    )
 
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence) -> DataFrame:

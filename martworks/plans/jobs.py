@@ -216,11 +216,18 @@ def replicate_collections(
     """
     out = {}
     for name, df in raw.items():
-        batch = replicate_batch(name, df, as_of)
         key = schemas.TARGET_KEYS[name]
-        if check_keys:
-            quality.require_not_null(batch, [key], name)
-        out[name] = merge.reload_day(targets[name], batch, [key], as_of)
+        # one narrow pass over the raw rows answers both gates: NULL ids (X20) and an
+        # empty batch (X13); deduplication keeps every NULL-id row, so the raw counts hold
+        stats = df.agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(F.col(key).isNull()).alias("null_keys")
+        ).first()
+        if check_keys and stats["null_keys"]:
+            raise quality.DataQualityError(f"NULL in NOT NULL column {key} of {name}")
+        batch = replicate_batch(name, df, as_of)
+        out[name] = merge.reload_day(
+            targets[name], batch, [key], as_of, batch_is_empty=stats["rows"] == 0
+        )
     return out
 
 

@@ -701,3 +701,97 @@ def q_m7_stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
             order_by=["ts"], path_glob="events.parquet",
         )
     return read_target(spark, target, events_schema)
+
+
+# ---------------------------------------------------------------- end-to-end replication
+# events exported as a movie_views document collection (nested device, interaction list,
+# ISO text with 'Z'), with a second, later export repeating the 'error' events; the job
+# reads the export (S5), keeps the first arrival per view id (M1), types and flattens it
+# (T4/T5/T8/T9/T13/T15) and loads it by day reload (M4) into an empty table.
+
+from datetime import datetime as _dt  # noqa: E402
+
+from martworks import schemas as _schemas  # noqa: E402
+from martworks.plans import jobs as _jobs  # noqa: E402
+
+_ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+_REPL_AS_OF = _dt(2024, 2, 1, 6, 0)
+
+
+def _export_views(events: DataFrame, title: str) -> DataFrame:
+    ts = F.col("ts")
+    k = F.get_json_object("props", "$.k")
+    return events.select(
+        F.concat(F.lit("oid-"), F.col("event_id").cast("string")).alias("_id"),
+        F.concat(F.lit("view_"), F.col("event_id").cast("string")).alias("view_id"),
+        F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("user_id"),
+        F.concat(F.lit("movie_"), k).alias("movie_id"),
+        F.lit(title).alias("movie_title"),
+        F.col("event_type").alias("genre"),
+        F.date_format(ts, _ISO).alias("start_time"),
+        F.date_format(ts + F.expr("INTERVAL 90 MINUTES"), _ISO).alias("end_time"),
+        F.col("value").cast("int").alias("watch_duration_minutes"),
+        (F.col("event_type") == "purchase").alias("completed"),
+        F.struct(
+            F.col("event_type").alias("type"), F.lit("web").alias("os"),
+            F.lit(None).cast("string").alias("browser"),
+        ).alias("device"),
+        F.when(
+            F.col("event_type") == "click",
+            F.array(F.struct(F.lit("click").alias("type"), F.date_format(ts, _ISO).alias("timestamp"))),
+        ).otherwise(F.array().cast("array<struct<type:string,timestamp:string>>")).alias("interactions"),
+    )
+
+
+def _replicated_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = load(spark, sf_dir, "events")
+    base = work_path(spark, "p6-views-export")
+    _export_views(events, "first").write.mode("overwrite").json(f"{base}/a")
+    repeats = events.where(F.col("event_type") == "error")
+    _export_views(repeats, "repeat").write.mode("overwrite").json(f"{base}/b")
+    raw = _jobs.read_collections(spark, {"movie_views": f"{base}/*"})
+    target = spark.createDataFrame([], _schemas.TARGET_TABLES["movie_views"])
+    return _jobs.replicate_collections(raw, {"movie_views": target}, _REPL_AS_OF)["movie_views"]
+
+
+_P6_SQL = """
+SELECT 'view_' || CAST(event_id AS VARCHAR) AS view_id,
+       'user_' || CAST(user_id AS VARCHAR) AS user_id,
+       'movie_' || json_extract_string(props, '$.k') AS movie_id,
+       'first' AS movie_title, event_type AS genre,
+       date_trunc('second', ts) AS start_time,
+       date_trunc('second', ts) + INTERVAL 90 MINUTE AS end_time,
+       CAST(trunc(value) AS INTEGER) AS watch_duration_minutes,
+       event_type = 'purchase' AS completed,
+       event_type AS device_type, 'web' AS device_os,
+       CASE WHEN event_type = 'click'
+            THEN '[{"type":"click","timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%SZ') || '"}]'
+            ELSE '[]' END AS interactions,
+       TIMESTAMP '2024-02-01 06:00:00' AS loaded_at, 'mongodb' AS source
+FROM events
+"""
+
+
+@register("p6_replicate_views", _P6_SQL)
+def q_p6_replicate_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _replicated_views(spark, sf_dir)
+
+
+@register(
+    "p7_activity_from_replica",
+    f"""
+WITH mv AS ({_P6_SQL})
+SELECT user_id,
+       COUNT(DISTINCT view_id) AS total_views,
+       SUM(watch_duration_minutes) AS total_watch_time_minutes,
+       ROUND(AVG(watch_duration_minutes), 6) AS avg_watch_duration,
+       COUNT(DISTINCT movie_id) AS unique_movies_watched,
+       MODE() WITHIN GROUP (ORDER BY genre) AS favorite_genre,
+       ROUND(CAST(SUM(CASE WHEN completed THEN 1 ELSE 0 END) AS DOUBLE) / COUNT(*) * 100, 6)
+           AS completion_rate,
+       MAX(start_time) AS last_activity_date
+FROM mv GROUP BY user_id
+""",
+)
+def q_p7_activity_from_replica(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(marts.mart_user_activity(_replicated_views(spark, sf_dir)))
