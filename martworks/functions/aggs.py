@@ -6,7 +6,9 @@ aggregation and whole-stage code generation.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martworks.functions.columns import as_col
@@ -21,8 +23,8 @@ def mode_of(col) -> Column:
     """A3: most frequent non-NULL value; ties go to the smallest value.
 
     Matches ``MODE() WITHIN GROUP (ORDER BY col)``. The aggregation buffer is a map of
-    distinct values of ``col`` within one group, so use it on low-cardinality columns
-    (genre, payment method); for a high-cardinality column use :func:`mode_by_count`.
+    distinct values of ``col`` for every group, which is slow next to distinct counts (the
+    rewrite gives each distinct value its own group); the marts use :func:`mode_table`.
     """
     return F.mode(as_col(col), deterministic=True)
 
@@ -40,3 +42,21 @@ def count_distinct_if(cond, col) -> Column:
 def safe_pct(num, den) -> Column:
     """``num::FLOAT / NULLIF(den, 0) * 100``; a zero or NULL denominator gives NULL."""
     return as_col(num).cast("double") / F.nullif(as_col(den), F.lit(0)) * F.lit(100.0)
+
+
+def mode_table(df: DataFrame, keys: Sequence[str], col: str, name: str) -> DataFrame:
+    """A3 as two plain aggregations: count each (keys, value), then per key take the
+    value with the highest count, the smallest value on ties. NULL values are ignored;
+    a group with only NULLs has no row (a left join gives it NULL).
+
+    Both steps combine map-side, so a hot key or a hot value is reduced before the
+    shuffle; the result has one row per key and joins back without row growth.
+    """
+    counted = (
+        df.where(F.col(col).isNotNull())
+        .groupBy(*keys, col)
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    return counted.groupBy(*keys).agg(
+        F.min_by(F.col(col), F.struct(-F.col("_n"), F.col(col))).alias(name)
+    )

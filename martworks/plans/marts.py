@@ -14,23 +14,41 @@ from martworks.functions.aggs import (
     count_distinct,
     count_distinct_if,
     count_if,
-    mode_of,
+    mode_table,
     safe_pct,
 )
 from martworks.operators.joins import left_join_facts, preaggregated_star
 
 
 def mart_user_activity(views: DataFrame) -> DataFrame:
-    """Per user, views, watch time, distinct movies, favourite genre, completion %."""
-    return views.groupBy("user_id").agg(
+    """Per user, views, watch time, distinct movies, favourite genre, completion %.
+
+    The favourite genre (mode, ties to the smallest) is its own two-step aggregation
+    joined back per user; inside the distinct-count rewrite it would keep a hash map for
+    every (user, view) group.
+    """
+    main = views.groupBy("user_id").agg(
         count_distinct("view_id").alias("total_views"),
         F.sum("watch_duration_minutes").alias("total_watch_time_minutes"),
         F.avg("watch_duration_minutes").alias("avg_watch_duration"),
         count_distinct("movie_id").alias("unique_movies_watched"),
-        mode_of("genre").alias("favorite_genre"),
         safe_pct(count_if(F.col("completed")), F.count(F.lit(1))).alias("completion_rate"),
         F.max("start_time").alias("last_activity_date"),
     )
+    favourite = mode_table(views, ["user_id"], "genre", "favorite_genre")
+    return _join_group_tables(main, favourite, ["user_id"]).select(
+        "user_id", "total_views", "total_watch_time_minutes", "avg_watch_duration",
+        "unique_movies_watched", "favorite_genre", "completion_rate", "last_activity_date",
+    )
+
+
+def _join_group_tables(main: DataFrame, extra: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join of two per-group tables on the group keys (NULL keys match NULL keys,
+    as GROUP BY puts all NULLs in one group); both sides hold one row per key."""
+    cond = [main[k].eqNullSafe(extra[k]) for k in keys]
+    joined = main.join(extra, cond, "left")
+    return joined.select(*[main[k] for k in keys], *[c for c in main.columns if c not in keys],
+                         *[extra[c] for c in extra.columns if c not in keys])
 
 
 _CONTENT_KEYS = ("movie_id", "movie_title", "genre")
@@ -131,15 +149,20 @@ def mart_content_performance_naive(
 def mart_payment_analysis(payments: DataFrame) -> DataFrame:
     """Per (user, plan), payments, revenue (pending included, X11), first/last,
     average amount, preferred method, completed payments."""
-    return payments.groupBy("user_id", "subscription_plan").agg(
+    keys = ["user_id", "subscription_plan"]
+    main = payments.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_payments"),
         F.sum("amount").alias("total_revenue"),
         F.min("payment_date").alias("first_payment"),
         F.max("payment_date").alias("last_payment"),
         F.avg("amount").alias("avg_payment_amount"),
-        mode_of("payment_method").alias("preferred_payment_method"),
         count_if(F.col("status") == F.lit("completed")).alias("successful_payments"),
     )
+    preferred = mode_table(payments, keys, "payment_method", "preferred_payment_method")
+    return _join_group_tables(main, preferred, keys).select(
+        *keys, "total_payments", "total_revenue", "first_payment", "last_payment",
+        "avg_payment_amount", "preferred_payment_method", "successful_payments",
+    )
 
 
 def mart_genre_summary(content_mart: DataFrame) -> DataFrame:
