@@ -102,7 +102,10 @@ def upsert(
     b = b.select(*[F.col(c) if c in batch_cols else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in cols])
     b = _stamp(b, stamp)
     if keep:
-        t_keep = target.where(~_any_null(keys)).select(
+        # only target rows whose key is in the batch: the semi join streams the target
+        # and builds on the batch keys, so a small batch is broadcast at runtime and the
+        # target is not shuffled
+        t_keep = _present_in(target.where(~_any_null(keys)), batch, keys).select(
             *keys, *[F.col(c).alias(f"_t_{c}") for c in keep], F.lit(True).alias("_hit")
         )
         b = b.join(t_keep, on=list(keys), how="left").select(
@@ -113,10 +116,16 @@ def upsert(
                 for c in cols
             ]
         )
-    untouched = target.join(b.select(*keys), on=list(keys), how="left_anti")
+    # the raw batch keys are the same key set as the deduplicated ones
+    untouched = target.join(batch.select(*keys), on=list(keys), how="left_anti")
     return untouched.unionByName(b.select(*cols))
 
 
+def _present_in(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key occurs in the batch (semi-join reduction of the target)."""
+    return target.join(batch.select(*keys), on=list(keys), how="left_semi")
+
+
 def insert_ignore(
     target: DataFrame,
     batch: DataFrame,
@@ -128,7 +137,10 @@ def insert_ignore(
     its first row per key (M1); without it the batch must already be unique per key."""
     b = dedupe_first(batch, keys, order_by) if order_by else batch
     b = b.select(*target.columns)
-    new = b.join(target.select(*keys), on=list(keys), how="left_anti")
+    # reduce the target to the keys the batch has before the anti join: with a small
+    # batch the semi join is broadcast and only matching target keys are shuffled
+    present = _present_in(target.select(*keys), batch, keys)
+    new = b.join(present, on=list(keys), how="left_anti")
     return target.unionByName(new)
 
 
