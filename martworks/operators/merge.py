@@ -152,21 +152,32 @@ def reload_day(
     loaded_col: str = "loaded_at",
     order_by: Sequence | None = None,
     batch_is_empty: bool | None = None,
+    load_date_col: str | None = None,
 ) -> DataFrame:
     """M4: delete target rows loaded on or after the ``as_of`` day, then M3.
 
     A rerun on the same day gives the same table; rows from earlier days win over the
     batch; rows with a NULL load time stay. An empty batch changes nothing (X13): the
     check reads at most one row of the batch unless the caller passes the answer.
+
+    When the target is partitioned by its load day, name that column in
+    ``load_date_col``: the delete then becomes a partition filter and whole days of
+    files are skipped instead of read. The batch gets the column too.
     """
     if batch_is_empty is None:
         batch_is_empty = batch.isEmpty()
     if batch_is_empty:
         return target
     day = as_of.date() if isinstance(as_of, datetime) else as_of
-    kept = target.where(
-        F.col(loaded_col).isNull() | (F.to_date(F.col(loaded_col)) < F.lit(day))
-    )
+    if load_date_col:
+        kept = target.where(
+            F.col(load_date_col).isNull() | (F.col(load_date_col) < F.lit(day))
+        )
+        batch = batch.withColumn(load_date_col, F.to_date(F.col(loaded_col)))
+    else:
+        kept = target.where(
+            F.col(loaded_col).isNull() | (F.to_date(F.col(loaded_col)) < F.lit(day))
+        )
     return insert_ignore(kept, batch, keys, order_by)
 
 

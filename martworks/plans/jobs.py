@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martworks import schemas
@@ -83,10 +83,10 @@ def incremental_job(
     new = merge.new_rows_since(source, date_col, watermark)
     if target is not None:
         new = new.select(*target.columns)
-    new = new.cache()
-    writers.append_table(new, table, spark)
-    added = new.count()
-    new.unpersist()
+    # the number of appended rows is observed on the write itself: no second pass
+    seen = Observation("appended")
+    writers.append_table(new.observe(seen, F.count(F.lit(1)).alias("rows")), table, spark)
+    added = seen.get.get("rows", 0)
     report = quality.load_report(spark.table(table), date_col)
     return report.withColumn("new_rows", F.lit(added).cast("bigint"))
 

@@ -1,6 +1,7 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from martworks.operators import merge, transform
 
@@ -112,3 +113,17 @@ def test_normalize_columns_collision_raises(spark):
     df = spark.createDataFrame([(1, 2)], "`a b` int, `a-b` int")
     with pytest.raises(transform.SchemaError):
         transform.normalize_columns(df)
+
+
+def test_reload_day_prunes_load_day_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(f"k{d}", d, datetime(2024, 1, d, 5)) for d in range(1, 21)]
+    t = _events(spark, rows).withColumn("load_date", F.to_date("loaded_at"))
+    t.write.partitionBy("load_date").parquet(path)
+    target = spark.read.parquet(path)
+    batch = _events(spark, [("k19", 9, datetime(2024, 1, 19, 6)), ("new", 9, datetime(2024, 1, 19, 6))])
+    out = merge.reload_day(target, batch, ["id"], date(2024, 1, 19), load_date_col="load_date")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(isnull(load_date" in plan
+    got = {r["id"]: r["v"] for r in out.collect()}
+    assert got["k19"] == 9 and got["new"] == 9 and "k20" not in got and got["k18"] == 18
