@@ -15,13 +15,18 @@ from pyspark.sql import SparkSession
 
 # Session settings every job relies on: ANSI semantics (bad casts fail loudly unless a
 # ``try_`` form is used), UTC wall clock, adaptive execution for runtime re-planning
-# (partition coalescing, skew-join splitting, runtime broadcast of small sides).
+# (partition coalescing, skew-join splitting, runtime broadcast of measured small sides).
 CORE_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only on measured sizes: planner estimates are off (no broadcast from
+    # them); AQE broadcasts a join side after its shuffle stage has run and its real
+    # size is known to be under the limit.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
 }
