@@ -116,14 +116,19 @@ def upsert(
                 for c in cols
             ]
         )
-    # the raw batch keys are the same key set as the deduplicated ones
-    untouched = target.join(batch.select(*keys), on=list(keys), how="left_anti")
+    untouched = target.join(batch_keys(batch, keys), on=list(keys), how="left_anti")
     return untouched.unionByName(b.select(*cols))
 
 
+def batch_keys(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct non-NULL keys of a batch. Duplicates of a hot key are combined
+    map-side, so the join side built from it has one row per key."""
+    return batch.select(*keys).where(~_any_null(keys)).distinct()
+
+
 def _present_in(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key occurs in the batch (semi-join reduction of the target)."""
-    return target.join(batch.select(*keys), on=list(keys), how="left_semi")
+    return target.join(batch_keys(batch, keys), on=list(keys), how="left_semi")
 
 
 def insert_ignore(

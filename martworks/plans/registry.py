@@ -783,7 +783,7 @@ def q_p6_replicate_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH mv AS ({_P6_SQL})
 SELECT user_id,
        COUNT(DISTINCT view_id) AS total_views,
-       SUM(watch_duration_minutes) AS total_watch_time_minutes,
+       CAST(SUM(watch_duration_minutes) AS BIGINT) AS total_watch_time_minutes,
        ROUND(AVG(watch_duration_minutes), 6) AS avg_watch_duration,
        COUNT(DISTINCT movie_id) AS unique_movies_watched,
        MODE() WITHIN GROUP (ORDER BY genre) AS favorite_genre,

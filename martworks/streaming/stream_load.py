@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from martworks.operators.merge import dedupe_first
+from martworks.operators.merge import batch_keys, dedupe_first
 
 BATCH_COL = "_batch_id"
 
@@ -66,7 +66,9 @@ def stream_load(
         rows = dedupe_first(batch, keys, order_by) if order_by else batch
         try:
             existing = spark.read.parquet(target_path).where(F.col(BATCH_COL) != F.lit(batch_id))
-            fresh = rows.join(existing.select(*keys), on=list(keys), how="left_anti")
+            # only the target keys this micro-batch carries take part in the anti join
+            present = existing.select(*keys).join(batch_keys(rows, keys), on=list(keys), how="left_semi")
+            fresh = rows.join(present, on=list(keys), how="left_anti")
         except AnalysisException:
             fresh = rows
         (

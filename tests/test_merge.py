@@ -127,3 +127,21 @@ def test_reload_day_prunes_load_day_partitions(spark, tmp_path):
     assert "PartitionFilters: [(isnull(load_date" in plan
     got = {r["id"]: r["v"] for r in out.collect()}
     assert got["k19"] == 9 and got["new"] == 9 and "k20" not in got and got["k18"] == 18
+
+
+def test_hot_key_and_null_keys_dedupe_without_window(spark):
+    # a third of the rows share one key; many rows have a NULL key
+    rows = [("hot", 1, i, "x", i) for i in range(300)] + [(f"k{i}", 1, i, "y", i) for i in range(300)]
+    rows += [(None, 1, i, "n", i) for i in range(300)]
+    batch = spark.createDataFrame(rows, B_SCHEMA)
+    out = merge.dedupe_first(batch, ["k", "k2"], ["seq"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    got = out.collect()
+    assert len(got) == 1 + 300 + 300
+    assert [r["a"] for r in got if r["k"] == "hot"] == [0]
+    target = spark.createDataFrame([("hot", 1, -1, "t", datetime(2024, 1, 1))], T_SCHEMA)
+    merged = merge.insert_ignore(target, batch.drop("seq").withColumn("loaded_at", F.lit(None).cast("timestamp_ntz")),
+                                 ["k", "k2"], order_by=["a"])
+    assert merged.count() == 1 + 300 + 300
+    assert [r["a"] for r in merged.collect() if r["k"] == "hot"] == [-1]
