@@ -548,7 +548,7 @@ def q_t11_map_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("t12_text_length", "SELECT doc_id, length(text) AS text_chars FROM documents")
+@register("t12_text_length", "SELECT doc_id, CAST(length(text) AS INTEGER) AS text_chars FROM documents")
 def q_t12_text_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     return docs.select("doc_id", fcols.text_length("text").alias("text_chars"))
