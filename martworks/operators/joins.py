@@ -51,6 +51,8 @@ def preaggregated_star(
 def anti_join(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key has no equal in ``other``.
 
-    Plain equality, so a row with a NULL key component is always kept.
+    Plain equality, so a row with a NULL key component is always kept. ``other`` is
+    reduced to its distinct keys first (combined map-side), so a hot key in ``other``
+    does not land on one reducer.
     """
-    return df.join(other.select(*keys), on=list(keys), how="left_anti")
+    return df.join(other.select(*keys).distinct(), on=list(keys), how="left_anti")

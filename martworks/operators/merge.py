@@ -233,3 +233,20 @@ def incremental_load(
             new.withColumn(flag_col, F.lit(True))
         )
     return target.unionByName(new)
+
+
+def merge_counts(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows a merge of ``batch`` into ``target`` inserts and updates (one row).
+
+    ``inserted`` counts distinct batch keys the target lacks plus batch rows with a NULL
+    key (they never conflict); ``updated`` counts distinct batch keys the target holds.
+    For insert-ignore, ``updated`` is the number of batch keys that were ignored.
+    """
+    hits = _present_in(target.select(*keys), batch, keys).distinct().withColumn("_hit", F.lit(True))
+    keyed = batch_keys(batch, keys).join(hits, on=list(keys), how="left").select(
+        F.col("_hit").isNull().alias("_ins"), F.coalesce(F.col("_hit"), F.lit(False)).alias("_upd")
+    )
+    loners = batch.where(_any_null(keys)).select(F.lit(True).alias("_ins"), F.lit(False).alias("_upd"))
+    return keyed.unionByName(loners).agg(
+        F.count_if(F.col("_ins")).alias("inserted"), F.count_if(F.col("_upd")).alias("updated")
+    )

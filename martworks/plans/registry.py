@@ -795,3 +795,58 @@ FROM mv GROUP BY user_id
 )
 def q_p7_activity_from_replica(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(marts.mart_user_activity(_replicated_views(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- joins (J1, J3) and merge counts
+
+from martworks.operators import joins as _joins  # noqa: E402
+
+
+@register(
+    "j1_left_join_facts",
+    """
+WITH ev AS (SELECT user_id, COUNT(*) AS n_events FROM events GROUP BY user_id)
+SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, c.c_name, c.c_acctbal, ev.n_events
+FROM orders o
+LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN ev ON o.o_custkey = ev.user_id
+""",
+)
+def q_j1_left_join_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # both facts hold at most one row per key, so the join never multiplies rows
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    customer = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    per_user = load(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"))
+    joined = _joins.left_join_facts(orders, [(customer, "c_custkey"), (per_user, "user_id")], "o_custkey")
+    return round_doubles(joined.select(
+        "_base.o_orderkey", "_base.o_custkey", "_base.o_totalprice", "_f0.c_name", "_f0.c_acctbal",
+        "_f1.n_events",
+    ))
+
+
+@register(
+    "j3_anti_join",
+    """
+SELECT * FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = o.o_custkey)
+""",
+)
+def q_j3_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # orders of customers that have no events at all
+    orders = load(spark, sf_dir, "orders")
+    active = load(spark, sf_dir, "events").select(F.col("user_id").alias("o_custkey"))
+    return round_doubles(_joins.anti_join(orders, active, ["o_custkey"]))
+
+
+@register(
+    "x14_merge_counts",
+    _CUSTOMER_MERGE_SQL
+    + """
+SELECT CAST(COUNT(*) FILTER (WHERE t.c_custkey IS NULL) AS BIGINT) AS inserted,
+       CAST(COUNT(*) FILTER (WHERE t.c_custkey IS NOT NULL) AS BIGINT) AS updated
+FROM (SELECT DISTINCT c_custkey FROM b) k LEFT JOIN t ON k.c_custkey = t.c_custkey
+""",
+)
+def q_x14_merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, batch, _ = _customer_target_batch(spark, sf_dir)
+    return merge.merge_counts(target, batch, ["c_custkey"])

@@ -145,3 +145,13 @@ def test_hot_key_and_null_keys_dedupe_without_window(spark):
                                  ["k", "k2"], order_by=["a"])
     assert merged.count() == 1 + 300 + 300
     assert [r["a"] for r in merged.collect() if r["k"] == "hot"] == [-1]
+
+
+def test_merge_counts(spark):
+    target = spark.createDataFrame([("a", 1, 1, "x", None), ("b", 1, 1, "x", None)], T_SCHEMA)
+    batch = spark.createDataFrame(
+        [("a", 1, 2, "y", 1), ("a", 1, 3, "y", 2), ("c", 1, 2, "y", 1), (None, 1, 2, "y", 1), (None, 1, 2, "y", 1)],
+        B_SCHEMA,
+    )
+    row = merge.merge_counts(target, batch, ["k", "k2"]).first()
+    assert (row["inserted"], row["updated"]) == (3, 1)
