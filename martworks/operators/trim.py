@@ -1,16 +1,20 @@
 """Exact quantiles and the quantile trim.
 
-``percentile`` would keep a map of every distinct value in one final task, which does
-not scale. Instead the rank of each wanted order statistic is narrowed down with
-counting passes whose results are bounded by the number of buckets:
-
-1. a count; while a candidate range holds too many rows, one aggregate gives
-   ``percentile_approx`` split points over it (a sketch of bounded size) and
-2. a ``groupBy(bucket)`` count over the candidate range (at most ``2 * buckets + 1``
-   rows to the driver) tells which bucket holds each wanted rank; a bucket is either a
-   single split value (heavy hitters end there) or the open range between two splits;
-3. when a candidate range holds few enough rows, one pass over it with a running count
-   returns the exact values.
+``percentile`` keeps a map of every distinct value in one final task, which does not
+scale. Instead the rank of each wanted order statistic is narrowed down with counting
+passes whose results are bounded by the number of buckets:
+
+1. one aggregate gives the count, minimum and maximum;
+2. while a candidate range [lo, hi] holds too many rows, one ``groupBy(bucket)`` pass
+   over it returns, per bucket, the row count and the smallest and largest value (at
+   most ``buckets`` rows reach the driver). The bucket holding the wanted rank becomes
+   the next range, bounded by that bucket's own minimum and maximum. Buckets are
+   equal-width; if a round does not at least halve the candidates (very uneven
+   spacing), the next round splits at ``percentile_approx`` points instead, which
+   bounds the rows per bucket whatever the value distribution. A range whose minimum
+   equals its maximum is resolved at once, so a value held by a third of all rows
+   costs nothing extra;
+3. a range with few rows is resolved by one pass with a running count.
 
 The range filters are literals, so they reach the Parquet scan. Linear interpolation
 between the two neighbouring order statistics gives the same number as pandas
@@ -28,18 +32,20 @@ from pyspark.sql import functions as F
 _V = "_qv"
 
 
-def _in_range(c: Column, lo, lo_incl: bool, hi, hi_incl: bool) -> Column:
-    cond = F.lit(True)
-    if lo is not None:
-        cond = cond & ((c >= F.lit(lo)) if lo_incl else (c > F.lit(lo)))
-    if hi is not None:
-        cond = cond & ((c <= F.lit(hi)) if hi_incl else (c < F.lit(hi)))
-    return cond
+def _in_range(lo: float, hi: float) -> Column:
+    return (F.col(_V) >= F.lit(lo)) & (F.col(_V) <= F.lit(hi))
 
 
-def _bucket(c: Column, splits: Sequence[float]) -> Column:
-    """Bucket id by binary search: 2i for the open range below splits[i] (2k above the
-    last), 2i+1 for a value equal to splits[i]."""
+def _width_bucket(lo: float, hi: float, buckets: int) -> Column:
+    # monotone in the value, so every bucket is a contiguous run of values
+    pos = F.floor((F.col(_V) - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(buckets)))
+    return F.least(F.greatest(pos, F.lit(0)), F.lit(buckets - 1)).cast("int")
+
+
+def _split_bucket(splits: Sequence[float]) -> Column:
+    """Bucket id by binary search over sorted split points: 2i for the open range below
+    splits[i] (2k above the last), 2i+1 for a value equal to splits[i]."""
+    c = F.col(_V)
 
     def build(a: int, b: int) -> Column:
         if a == b:
@@ -54,36 +60,82 @@ def _bucket(c: Column, splits: Sequence[float]) -> Column:
     return build(0, len(splits))
 
 
-def _select_ranks(vals: DataFrame, ranks: dict, max_local_rows: int) -> dict:
-    """Resolve ``ranks`` (rank -> state) by a running count over a small range."""
-    out = {}
-    groups: dict = {}
-    for r, st in ranks.items():
-        groups.setdefault(st["range"], []).append((r, st["offset"]))
-    for rng, members in groups.items():
-        sub = vals.where(_in_range(F.col(_V), *rng)).groupBy(_V).agg(F.count(F.lit(1)).alias("_n"))
-        w = Window.orderBy(_V).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        sub = sub.withColumn("_cum", F.sum("_n").over(w))
-        cond = F.lit(False)
+def _range_id(ranges: Sequence[tuple[float, float]]) -> Column:
+    """Index of the (disjoint) range holding the value, NULL outside all of them."""
+    expr = None
+    for i, (lo, hi) in enumerate(ranges):
+        cond = _in_range(lo, hi)
+        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
+    return expr
+
+
+def _resolve_small(vals: DataFrame, groups: list) -> dict:
+    """Exact values for ranks inside small ranges, all ranges in one job: a running count
+    over the distinct values of each range (bounded: the caller checked the row counts).
+
+    ``groups`` holds ((lo, hi), [(rank, offset), ...]) with disjoint ranges.
+    """
+    rid = _range_id([rng for rng, _ in groups])
+    sub = (
+        vals.select(rid.alias("_r"), _V)
+        .where(F.col("_r").isNotNull())
+        .groupBy("_r", _V)
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    w = Window.partitionBy("_r").orderBy(_V).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sub = sub.withColumn("_cum", F.sum("_n").over(w))
+    hit = F.lit(False)
+    for i, (_, members) in enumerate(groups):
         for r, off in members:
-            local = r - off
-            cond = cond | ((F.col("_cum") - F.col("_n") <= F.lit(local)) & (F.col("_cum") > F.lit(local)))
-        hits = sub.where(cond).select(_V, "_cum", "_n").collect()
+            local = F.lit(r - off)
+            hit = hit | (
+                (F.col("_r") == F.lit(i)) & (F.col("_cum") - F.col("_n") <= local) & (F.col("_cum") > local)
+            )
+    rows = sub.where(hit).select("_r", _V, "_cum", "_n").collect()
+    out = {}
+    for i, (_, members) in enumerate(groups):
         for r, off in members:
-            local = r - off
-            for h in hits:
-                if h["_cum"] - h["_n"] <= local < h["_cum"]:
-                    out[r] = h[_V]
+            for row in rows:
+                if row["_r"] == i and row["_cum"] - row["_n"] <= r - off < row["_cum"]:
+                    out[r] = row[_V]
     return out
 
 
+def _refine(vals: DataFrame, ranges: list, buckets: int) -> dict:
+    """One counting pass over all ``ranges`` ((lo, hi, by_rank) each, disjoint); returns
+    per range the sorted (bucket, count, min, max) rows."""
+    rid = _range_id([(lo, hi) for lo, hi, _ in ranges])
+    bucket = None
+    for i, (lo, hi, by_rank) in enumerate(ranges):
+        if by_rank or not math.isfinite(hi - lo):
+            fracs = [k / buckets for k in range(1, buckets)]
+            cand = vals.where(_in_range(lo, hi))
+            splits = cand.agg(F.percentile_approx(_V, fracs, 64 * buckets)).first()[0] or []
+            b = _split_bucket(sorted(set(splits)))
+        else:
+            b = _width_bucket(lo, hi, buckets)
+        cond = F.col("_r") == F.lit(i)
+        bucket = F.when(cond, b) if bucket is None else bucket.when(cond, b)
+    stats = (
+        vals.select(rid.alias("_r"), _V)
+        .where(F.col("_r").isNotNull())
+        .groupBy("_r", bucket.alias("_b"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(_V).alias("_lo"), F.max(_V).alias("_hi"))
+        .collect()
+    )
+    out: dict = {i: [] for i in range(len(ranges))}
+    for row in stats:
+        out[row["_r"]].append((row["_b"], row["_n"], row["_lo"], row["_hi"]))
+    return {i: sorted(v) for i, v in out.items()}
+
+
 def exact_quantiles(
     df: DataFrame,
     col: str | Column,
     probs: Sequence[float],
-    buckets: int = 256,
-    max_local_rows: int = 2_000_000,
-    max_rounds: int = 12,
+    buckets: int = 1024,
+    max_local_rows: int = 50_000,
+    max_rounds: int = 64,
 ) -> list:
     """Exact quantiles with linear interpolation; NULL and NaN are ignored.
 
@@ -91,60 +143,43 @@ def exact_quantiles(
     """
     c = col if isinstance(col, Column) else F.col(col)
     vals = df.select(c.cast("double").alias(_V)).where(F.col(_V).isNotNull() & ~F.isnan(_V))
-    fracs = [i / buckets for i in range(1, buckets)]
-    n = vals.count()
+    first = vals.agg(
+        F.count(F.lit(1)).alias("n"), F.min(_V).alias("lo"), F.max(_V).alias("hi")
+    ).first()
+    n = first["n"]
     if n == 0:
         return [None for _ in probs]
     positions = [(n - 1) * p for p in probs]
     wanted = sorted({math.floor(h) for h in positions} | {math.ceil(h) for h in positions})
-    full = (None, True, None, True)
-    state = {r: {"range": full, "offset": 0, "count": n} for r in wanted}
-    splits = None
+    # per wanted rank: the value range holding it, rows below that range, rows inside it
+    state = {r: (first["lo"], first["hi"], 0, n, False) for r in wanted}
     resolved: dict = {}
-    rounds = 0
-    while True:
-        open_ranks = {r: st for r, st in state.items() if r not in resolved}
-        if not open_ranks:
+    for round_no in range(max_rounds + 1):
+        ranges: dict = {}
+        for r, (lo, hi, off, cnt, by_rank) in state.items():
+            if r in resolved:
+                continue
+            if lo == hi:
+                resolved[r] = lo
+            else:
+                ranges.setdefault((lo, hi, cnt, by_rank), []).append((r, off))
+        if not ranges:
             break
-        small = {r: st for r, st in open_ranks.items() if st["count"] <= max_local_rows}
-        if small or rounds >= max_rounds:
-            todo = open_ranks if rounds >= max_rounds else small
-            resolved.update(_select_ranks(vals, todo, max_local_rows))
-            continue
-        rounds += 1
-        by_range: dict = {}
-        for r, st in open_ranks.items():
-            by_range.setdefault(st["range"], []).append(r)
-        for rng, members in by_range.items():
-            cand = vals.where(_in_range(F.col(_V), *rng))
-            splits = cand.agg(F.percentile_approx(_V, fracs, 64 * buckets)).first()[0]
-            pts = sorted(set(splits or []))
-            counts = {
-                row["b"]: row["n"]
-                for row in cand.groupBy(_bucket(F.col(_V), pts).alias("b"))
-                .agg(F.count(F.lit(1)).alias("n"))
-                .collect()
-            }
-            for r in members:
-                st = state[r]
-                local = r - st["offset"]
-                before = 0
-                for b in range(2 * len(pts) + 1):
-                    nb = counts.get(b, 0)
-                    if before <= local < before + nb:
-                        if b % 2 == 1:
-                            resolved[r] = pts[(b - 1) // 2]
-                        else:
-                            i = b // 2
-                            lo, lo_incl = (pts[i - 1], False) if i > 0 else rng[:2]
-                            hi, hi_incl = (pts[i], False) if i < len(pts) else rng[2:]
-                            state[r] = {
-                                "range": (lo, lo_incl, hi, hi_incl),
-                                "offset": st["offset"] + before,
-                                "count": nb,
-                            }
-                        break
-                    before += nb
+        last = round_no == max_rounds
+        small = [((lo, hi), m) for (lo, hi, cnt, _), m in ranges.items() if cnt <= max_local_rows or last]
+        big = [(key, m) for key, m in ranges.items() if not (key[2] <= max_local_rows or last)]
+        if small:
+            resolved.update(_resolve_small(vals, small))
+        if big:
+            stats = _refine(vals, [(lo, hi, by_rank) for (lo, hi, _, by_rank), _ in big], buckets)
+            for i, ((_, _, cnt, _), members) in enumerate(big):
+                for r, off in members:
+                    before = off
+                    for _b, nb, blo, bhi in stats[i]:
+                        if before <= r < before + nb:
+                            state[r] = (blo, bhi, before, nb, nb > cnt // 2)
+                            break
+                        before += nb
     result = []
     for h in positions:
         lo_v, hi_v = resolved[math.floor(h)], resolved[math.ceil(h)]
