@@ -75,3 +75,23 @@ def test_payment_mart_types(spark):
     row = out.first()
     assert row["successful_payments"] == 1 and row["preferred_payment_method"] == "credit_card"
     assert str(row["total_revenue"]) == "14.98"
+
+
+def test_null_user_group_keeps_its_mode(spark):
+    views = spark.createDataFrame(
+        [("v1", None, "m", "t", "Drama", 60, True, None), ("v2", None, "m", "t", "Drama", 60, None, None),
+         ("v3", None, "m", "t", "Action", 60, False, None), ("v4", "u", "m", "t", "Crime", 60, False, None)],
+        V,
+    )
+    rows = {r["user_id"]: r for r in marts.mart_user_activity(views).collect()}
+    assert rows[None]["favorite_genre"] == "Drama" and rows[None]["total_views"] == 3
+    assert rows["u"]["favorite_genre"] == "Crime"
+    pays = spark.createDataFrame(
+        [("p1", None, None, 1.0, "paypal", None, "completed"), ("p2", None, None, 1.0, "paypal", None, "x"),
+         ("p3", "u", None, 1.0, "gift_card", None, "x")],
+        "payment_id string, user_id string, payment_date timestamp_ntz, amount double, "
+        "payment_method string, subscription_plan string, status string",
+    )
+    got = {(r["user_id"], r["subscription_plan"]): r["preferred_payment_method"]
+           for r in marts.mart_payment_analysis(pays).collect()}
+    assert got == {(None, None): "paypal", ("u", None): "gift_card"}
