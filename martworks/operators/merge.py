@@ -41,17 +41,16 @@ def _pick_one(df: DataFrame, keys: Sequence[str], order_by: Sequence, last: bool
         raise ValueError("order_by is required: it defines which row is first or last")
     cols = df.columns
     order = F.struct(*[as_col(o) for o in order_by])
-    payload = F.struct(*[F.col(c) for c in cols])
+    # the keys come back from the grouping, so the carried row holds the other columns
+    rest = [c for c in cols if c not in keys]
+    payload = F.struct(*[F.col(c) for c in rest]) if rest else F.struct(F.lit(0).alias("_"))
     pick = F.max_by if last else F.min_by
     # a row with a NULL key is its own group: the extra grouping column is NULL for
     # keyed rows and a per-row id otherwise, so NULL-key rows neither merge nor pile
     # up in one partition, and the input is scanned once
     loner = F.when(_any_null(keys), F.monotonically_increasing_id()).alias("_loner")
-    return (
-        df.groupBy(*keys, loner)
-        .agg(pick(payload, order).alias(_ROW))
-        .select(f"{_ROW}.*")
-    )
+    picked = df.groupBy(*keys, loner).agg(pick(payload, order).alias(_ROW))
+    return picked.select(*[F.col(c) if c in keys else F.col(f"{_ROW}.{c}").alias(c) for c in cols])
 
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence) -> DataFrame:

@@ -166,21 +166,6 @@ def target_ddl(df: DataFrame, table: str) -> str:
     return f"CREATE TABLE {table} ({cols})"
 
 
-def target_schema_frame(df: DataFrame) -> DataFrame:
-    """T16 as a DataFrame: one row (column_name, ordinal_position, sql_type) per column."""
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.lit(i + 1).alias("ordinal_position"),
-                F.lit(kind).alias("sql_type"),
-            )
-            for i, (name, kind) in enumerate(infer_target_schema(df))
-        ]
-    )
-    return df.limit(0).groupBy().agg(F.count(F.lit(1)).alias("_n")).select(F.inline(rows))
-
-
 def add_missing_column(df: DataFrame, name: str, dtype, default=None) -> DataFrame:
     """Add a column with a default value only if it is absent."""
     if name in df.columns:
