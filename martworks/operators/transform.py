@@ -40,7 +40,11 @@ def filter_equals(df: DataFrame, col: str, value) -> DataFrame:
     return df.where(F.col(col) == F.lit(value))
 
 
-def parse_date(df: DataFrame, col: str, pattern: str = "dd-MM-yyyy HH:mm") -> DataFrame:
+# Day, month, hour and minute take one or two digits, as ``strptime``'s %d-%m-%Y %H:%M.
+SENSOR_DATE_PATTERN = "d-M-yyyy H:m"
+
+
+def parse_date(df: DataFrame, col: str, pattern: str = SENSOR_DATE_PATTERN) -> DataFrame:
     """Text in ``pattern`` -> DATE. A malformed value fails the job (ANSI mode)."""
     return df.withColumn(col, F.to_date(F.to_timestamp(F.col(col), pattern)))
 

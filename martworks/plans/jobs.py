@@ -28,7 +28,7 @@ ARRIVAL = "_arrival"
 def sensor_clean(readings: DataFrame, lo: float = 0.05, hi: float = 0.95) -> DataFrame:
     """T2 ('out/in' = 'In') -> T3 (dd-MM-yyyy HH:mm -> DATE) -> A7 on ``temp``."""
     inside = transform.filter_equals(readings, "out/in", "In")
-    dated = transform.parse_date(inside, "noted_date", "dd-MM-yyyy HH:mm")
+    dated = transform.parse_date(inside, "noted_date")
     return quantile_trim(dated, "temp", lo, hi)
 
 

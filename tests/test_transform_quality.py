@@ -103,3 +103,9 @@ def test_append_table_matches_columns_by_name(spark, tmp_path):
     writers.append_table(spark.createDataFrame([(1, "a")], "n int, s string"), "app_t")
     writers.append_table(spark.createDataFrame([("b", 2)], "s string, n int"), "app_t")
     assert sorted(tuple(r) for r in spark.table("app_t").collect()) == [(1, "a"), (2, "b")]
+
+
+def test_parse_date_one_or_two_digits(spark):
+    df = spark.createDataFrame([("03-12-2018 11:02",), ("3-2-2018 1:05",)], "d string")
+    got = [r["d"].isoformat() for r in transform.parse_date(df, "d").collect()]
+    assert got == ["2018-12-03", "2018-02-03"]
