@@ -17,7 +17,7 @@ from martworks.functions import columns as fcols
 from martworks.operators import merge, quality, topn, transform
 from martworks.operators.trim import quantile_trim
 from martworks.plans import marts
-from martworks.sinks import writers
+from martworks.sinks import merge_writers, writers
 from martworks.sources import readers
 
 ARRIVAL = "_arrival"
@@ -231,6 +231,23 @@ def replicate_collections(
     return out
 
 
+def replicate_collections_into(
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame],
+    target_paths: Mapping[str, str],
+    as_of: datetime,
+) -> None:
+    """P6 written in place: each table is a Parquet folder partitioned by ``load_date``;
+    a run replaces only the ``as_of`` day (M4 via dynamic partition overwrite)."""
+    for name, df in raw.items():
+        key = schemas.TARGET_KEYS[name]
+        nulls = df.agg(F.count_if(F.col(key).isNull()).alias("n")).first()["n"]
+        if nulls:
+            raise quality.DataQualityError(f"NULL in NOT NULL column {key} of {name}")
+        batch = replicate_batch(name, df, as_of)
+        merge_writers.reload_day_into(spark, batch, target_paths[name], [key], as_of)
+
+
 def read_collections(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
     """S5 for the four exported collections, each with an arrival-order column."""
     return {

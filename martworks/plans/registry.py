@@ -850,3 +850,57 @@ FROM (SELECT DISTINCT c_custkey FROM b) k LEFT JOIN t ON k.c_custkey = t.c_custk
 def q_x14_merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, batch, _ = _customer_target_batch(spark, sf_dir)
     return merge.merge_counts(target, batch, ["c_custkey"])
+
+
+# ---------------------------------------------------------------- merges written in place (M3, M4)
+
+from martworks.sinks import merge_writers as _mw  # noqa: E402
+
+
+@register(
+    "m3_insert_ignore_in_place",
+    _CUSTOMER_MERGE_SQL
+    + """,
+bf AS (SELECT * EXCLUDE (rn, seq) FROM (
+    SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY seq) AS rn FROM b)
+    WHERE rn = 1)
+SELECT * FROM t
+UNION ALL
+SELECT bf.*, TIMESTAMP '2024-02-01 00:00:00' AS loaded_at FROM bf
+WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.c_custkey = bf.c_custkey)
+""",
+)
+def q_m3_insert_ignore_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, batch, _ = _customer_target_batch(spark, sf_dir)
+    path = work_path(spark, "m3-customer")
+    target.write.parquet(path)
+    batch = batch.withColumn("loaded_at", transform.as_timestamp("2024-02-01 00:00:00"))
+    _mw.insert_ignore_into(spark, batch, path, ["c_custkey"], order_by=["seq"])
+    return round_doubles(spark.read.parquet(path))
+
+
+@register(
+    "m4_reload_day_in_place",
+    "SELECT *, CAST(loaded_at AS DATE) AS load_date FROM ("
+    + ORACLE_SQL["m4_reload_day"]
+    + ")",
+)
+def q_m4_reload_day_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = load(spark, sf_dir, "events")
+    path = work_path(spark, "m4-events")
+    events.withColumns({"loaded_at": F.col("ts"), "load_date": F.to_date("ts")}).write.partitionBy(
+        "load_date"
+    ).parquet(path)
+    stamp = transform.as_timestamp("2024-01-20 06:00:00")
+    ts = F.col("ts")
+    b1 = events.where(ts >= transform.as_timestamp("2024-01-15 00:00:00")).withColumns(
+        {"value": F.col("value") + 1, "loaded_at": stamp, "seq": F.lit(1)}
+    )
+    b2 = events.where(ts >= transform.as_timestamp("2024-01-25 00:00:00")).withColumns(
+        {"value": F.col("value") + 2, "loaded_at": stamp, "seq": F.lit(2)}
+    )
+    _mw.reload_day_into(
+        spark, b1.unionByName(b2), path, ["event_id"], transform.date(2024, 1, 20), order_by=["seq"]
+    )
+    out = spark.read.parquet(path)
+    return round_doubles(out.select(*events.columns, "loaded_at", "load_date"))

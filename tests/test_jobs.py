@@ -160,3 +160,17 @@ def test_replicate_and_build_marts(spark, tmp_path):
     assert out["distinct_users"].first()["unique_users"] > 0
     rates = {r["search_to_view_rate"] for r in out["mart_content_performance"].collect()}
     assert rates <= {100.0, None}
+
+
+def test_replicate_in_place_twice_same_day(spark, tmp_path):
+    raw = synth_collections(spark, scale=1, seed=3)
+    paths = write_collections(raw, str(tmp_path / "export"))
+    collections = jobs.read_collections(spark, paths)
+    targets = {name: str(tmp_path / "tables" / name) for name in collections}
+    as_of = datetime(2025, 3, 1, 6, 0)
+    jobs.replicate_collections_into(spark, collections, targets, as_of)
+    first = {k: sorted(map(tuple, spark.read.parquet(p).collect()), key=repr) for k, p in targets.items()}
+    assert len(first["movie_views"]) == 100
+    jobs.replicate_collections_into(spark, collections, targets, as_of)
+    second = {k: sorted(map(tuple, spark.read.parquet(p).collect()), key=repr) for k, p in targets.items()}
+    assert first == second
