@@ -107,9 +107,15 @@ def read_collection(
     return df.drop(*[c for c in drop if c in df.columns])
 
 
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """Scan a catalog table."""
-    return spark.table(name)
+def read_table(
+    spark: SparkSession, name_or_jdbc: str, table: str | None = None, **jdbc_options
+) -> DataFrame:
+    """Scan a catalog table, or ``table`` at a JDBC URL (see :func:`read_jdbc`)."""
+    if name_or_jdbc.startswith("jdbc:"):
+        if not table:
+            raise ValueError("a JDBC source needs the table name")
+        return read_jdbc(spark, name_or_jdbc, table, **jdbc_options)
+    return spark.table(name_or_jdbc)
 
 
 def read_jdbc(
