@@ -1,0 +1,149 @@
+"""FIXTURES edge rows for the sensor, nutrition and collection jobs."""
+
+import json
+from datetime import date, datetime
+
+import pytest
+
+from martworks import schemas
+from martworks.operators import quality, transform
+from martworks.plans import jobs
+
+HEADER = "id,room_id/id,noted_date,temp,out/in\n"
+
+
+def _csv(tmp_path, body, name="s.csv"):
+    p = tmp_path / name
+    p.write_text(HEADER + body)
+    return str(p)
+
+
+def test_sensor_edge_rows(spark, tmp_path):
+    body = "".join([
+        "a,R,01-12-2018 10:00,30,In\n",
+        "b,R,01-12-2018 10:00,30,In\n",   # tie with a at the top: arrival order
+        "c,R,02-12-2018 10:00,20,in\n",   # other case: not 'In'
+        "d,R,02-12-2018 10:00,,In\n",     # NULL temp
+        "e,R,02-12-2018 10:00,10,\n",     # NULL flag
+        "f,R,03-12-2018 10:00,25,In\n",
+        "g,R,03-12-2018 10:00,26,In\n",
+        "h,R,03-12-2018 10:00,27,In\n",
+        "i,R,03-12-2018 10:00,28,In\n",
+        "j,R,03-12-2018 10:00,29,In\n",
+    ])
+    extremes, clean = jobs.sensor_job(spark, _csv(tmp_path, body))
+    rows = extremes.collect()
+    top = [r["id"] for r in rows if r["extreme_side"] == "top"]
+    bottom = [r["id"] for r in rows if r["extreme_side"] == "bottom"]
+    assert top == ["a", "b", "j", "i", "h"]
+    assert bottom == ["e", "c", "f", "g", "h"]  # NULL temp never ranks
+    ids = sorted(r["id"] for r in clean.collect())
+    # In rows with a temp: 25..30 (7 rows); the trim keeps q05 <= t <= q95
+    assert "c" not in ids and "d" not in ids and "e" not in ids
+    assert all(r["noted_date"] in (date(2018, 12, 1), date(2018, 12, 3)) for r in clean.collect())
+
+
+def test_sensor_empty_file(spark, tmp_path):
+    extremes, clean = jobs.sensor_job(spark, _csv(tmp_path, ""))
+    assert extremes.count() == 0 and clean.count() == 0
+
+
+def _xml(tmp_path, foods):
+    p = tmp_path / "n.xml"
+    p.write_text("<nutrition>" + "".join(foods) + "</nutrition>")
+    return str(p)
+
+
+def test_nutrition_null_name_fails(spark, tmp_path):
+    path = _xml(tmp_path, ["<food><mfr>x</mfr></food>"])
+    with pytest.raises(quality.DataQualityError):
+        jobs.xml_job(spark, path, datetime(2024, 1, 1))
+
+
+def test_nutrition_empty_attribute_and_out_of_range(spark, tmp_path):
+    ok = jobs.xml_job(spark, _xml(tmp_path, ['<food><name>a</name><serving units="">3</serving></food>']),
+                      datetime(2024, 1, 1)).first()
+    assert ok["serving_units"] == "" and str(ok["serving_value"]) == "3.00"
+    big = _xml(tmp_path, ["<food><name>b</name><sodium>1e12</sodium></food>"])
+    with pytest.raises(Exception):
+        jobs.xml_job(spark, big, datetime(2024, 1, 1)).collect()
+
+
+def _write_jsonl(tmp_path, name, docs):
+    p = tmp_path / name
+    p.mkdir(exist_ok=True)
+    (p / "part.json").write_text("\n".join(json.dumps(d) for d in docs) + "\n")
+    return str(p)
+
+
+def _view(i, **kw):
+    doc = {"_id": f"o{i}", "view_id": f"v{i}", "user_id": "u1", "movie_id": "m1", "movie_title": "T",
+           "genre": "Drama", "start_time": "2025-02-01T10:00:00Z", "end_time": "2025-02-01T11:00:00Z",
+           "watch_duration_minutes": 60, "completed": True,
+           "device": {"type": "tv", "os": "webos", "browser": None}, "interactions": []}
+    doc.update(kw)
+    return doc
+
+
+def test_collection_edge_rows(spark, tmp_path):
+    as_of = datetime(2025, 3, 2, 6, 0)
+    views = _write_jsonl(tmp_path, "views", [
+        _view(1, movie_title="first"), _view(1, movie_title="second"),      # duplicate: first stays
+        _view(2, start_time="not a time", watch_duration_minutes="x"),      # bad values -> NULL
+        _view(3, device=None), _view(4),
+        {k: v for k, v in _view(5).items() if k != "device"},               # missing device
+        _view(6, interactions=[{"type": "pause", "timestamp": "2025-02-01T10:10:00Z"}]),
+    ])
+    payments = _write_jsonl(tmp_path, "payments", [
+        {"_id": "p", "payment_id": "p1", "user_id": "u1", "payment_date": "2025-01-01T08:00:00Z", "amount": 2.675,
+         "currency": "USD", "payment_method": "cash", "subscription_plan": "annual", "status": "completed",
+         "next_billing_date": "2026-01-01T08:00:00Z", "promo_code_applied": ""},
+        {"_id": "q", "payment_id": "p2", "user_id": "u1", "payment_method": None},
+    ])
+    ratings = _write_jsonl(tmp_path, "ratings", [
+        {"_id": "r", "rating_id": "r1", "user_id": "u1", "movie_id": "m1", "rating": 4, "created_at": "2025-02-01T10:00:00Z"},
+    ])
+    searches = _write_jsonl(tmp_path, "searches", [
+        {"_id": "s", "search_id": "s1", "user_id": "u1", "query": "café crème", "timestamp": "2025-02-01T10:00:00Z",
+         "filters_applied": {}, "results_count": 5, "clicked_movie_id": None, "session_id": "x"},
+    ])
+    raw = jobs.read_collections(spark, {"movie_views": views, "user_payments": payments,
+                                        "content_ratings": ratings, "search_queries": searches})
+    targets = schemas.empty_targets(spark)
+    # the target already holds v4 from an earlier day, v6 from today, and a row with NULL loaded_at
+    old = transform.conform(spark.createDataFrame(
+        [("v4", "old", datetime(2025, 3, 1, 6)), ("v6", "today", datetime(2025, 3, 2, 1)), ("v9", "nul", None)],
+        "view_id string, movie_title string, loaded_at timestamp_ntz"), schemas.TARGET_TABLES["movie_views"])
+    targets["movie_views"] = old
+    out = jobs.replicate_collections(raw, targets, as_of)
+    v = {r["view_id"]: r for r in out["movie_views"].collect()}
+    assert v["v1"]["movie_title"] == "first"
+    assert v["v2"]["start_time"] is None and v["v2"]["watch_duration_minutes"] is None
+    assert v["v3"]["device_type"] is None and v["v5"]["device_os"] is None
+    assert v["v4"]["movie_title"] == "old"              # earlier day wins
+    assert v["v6"]["interactions"] == '[{"type":"pause","timestamp":"2025-02-01T10:10:00Z"}]'  # replaced
+    assert v["v1"]["interactions"] == "[]"
+    assert v["v9"]["movie_title"] == "nul"              # NULL loaded_at kept
+    assert v["v1"]["loaded_at"] == as_of and v["v1"]["source"] == "mongodb"
+    p = {r["payment_id"]: r for r in out["user_payments"].collect()}
+    assert p["p1"]["payment_method_category"] == "other" and p["p2"]["payment_method_category"] == "other"
+    assert str(p["p1"]["amount"]) == "2.68" and p["p1"]["promo_code_applied"] == ""
+    r = out["content_ratings"].first()
+    assert r["reports_count"] == 0 and r["moderation_flag"] is False
+    s = out["search_queries"].first()
+    assert s["query_length"] == 10 and s["filters_applied"] == "{}"
+    # an empty batch changes nothing
+    empty = {"movie_views": raw["movie_views"].limit(0)}
+    same = jobs.replicate_collections(empty, {"movie_views": old}, as_of)["movie_views"]
+    assert sorted(map(tuple, same.collect()), key=repr) == sorted(map(tuple, old.collect()), key=repr)
+
+
+def test_collection_null_id_and_undeclared_column_fail(spark, tmp_path):
+    as_of = datetime(2025, 3, 2, 6, 0)
+    bad = _write_jsonl(tmp_path, "bad", [_view(1, view_id=None)])
+    raw = jobs.read_collections(spark, {"movie_views": bad})
+    with pytest.raises(quality.DataQualityError):
+        jobs.replicate_collections(raw, schemas.empty_targets(spark), as_of)
+    extra = raw["movie_views"].withColumnRenamed("genre", "genre_x")
+    with pytest.raises(transform.SchemaError):
+        jobs.replicate_batch("movie_views", extra, as_of)
