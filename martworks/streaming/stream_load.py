@@ -38,29 +38,18 @@ def read_target(spark: SparkSession, target_path: str, schema: T.StructType) ->
         return spark.createDataFrame([], schema)
 
 
-def stream_load(
+def batch_merger(
     spark: SparkSession,
-    source_dir: str,
-    schema: T.StructType,
     target_path: str,
     keys: Sequence[str],
-    checkpoint: str,
+    cols: Sequence[str],
     order_by: Sequence[str] | None = None,
-    path_glob: str | None = None,
-    source_format: str = "parquet",
-    max_files_per_trigger: int | None = None,
-    recursive: bool = False,
-) -> StreamingQuery:
-    """Start the load; it stops by itself once the files present at start are done."""
-    reader = spark.readStream.schema(schema).format(source_format)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    if path_glob:
-        reader = reader.option("pathGlobFilter", path_glob)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    source = reader.load(source_dir)
-    cols = [f.name for f in schema.fields]
+):
+    """The ``foreachBatch`` function: insert-ignore one micro-batch into its own partition.
+
+    Calling it again with the same ``batch_id`` (a replay after a failure) rewrites the
+    same partition with the same rows.
+    """
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         rows = dedupe_first(batch, keys, order_by) if order_by else batch
@@ -80,6 +69,32 @@ def stream_load(
             .parquet(target_path)
         )
 
+    return merge_batch
+
+
+def stream_load(
+    spark: SparkSession,
+    source_dir: str,
+    schema: T.StructType,
+    target_path: str,
+    keys: Sequence[str],
+    checkpoint: str,
+    order_by: Sequence[str] | None = None,
+    path_glob: str | None = None,
+    source_format: str = "parquet",
+    max_files_per_trigger: int | None = None,
+    recursive: bool = False,
+) -> StreamingQuery:
+    """Start the load; it stops by itself once the files present at start are done."""
+    reader = spark.readStream.schema(schema).format(source_format)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    if path_glob:
+        reader = reader.option("pathGlobFilter", path_glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    source = reader.load(source_dir)
+    merge_batch = batch_merger(spark, target_path, keys, [f.name for f in schema.fields], order_by)
     return (
         source.writeStream.foreachBatch(merge_batch)
         .option("checkpointLocation", checkpoint)
