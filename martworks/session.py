@@ -32,6 +32,19 @@ CORE_CONF = {
 }
 
 
+# Defaults for a cluster reading tens of terabytes, applied when the master is not local
+# and the deployment has not set them. AQE coalesces the shuffle partitions down to about
+# the advisory size, so the initial count only has to be large enough for the biggest
+# shuffle (20k x 256 MB = 5 TB per shuffle before skew splitting); scans read ~512 MB
+# splits, which column pruning shrinks further.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+}
+
+
 def get_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
@@ -40,8 +53,8 @@ def get_session(
 ) -> SparkSession:
     """Build (or reuse) a session with the library defaults.
 
-    On a cluster ``master`` stays ``None`` (set by spark-submit) and shuffle partitions
-    are left to the cluster config; AQE coalesces them at runtime.
+    On a cluster ``master`` stays ``None`` (set by spark-submit); ``CLUSTER_CONF`` then
+    fills in what the deployment has not set, and AQE sizes partitions at runtime.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -49,7 +62,8 @@ def get_session(
     conf = dict(CORE_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    if master and master.startswith("local"):
+    local = bool(master and master.startswith("local"))
+    if local:
         conf.setdefault("spark.ui.enabled", "false")
         conf.setdefault("spark.ui.showConsoleProgress", "false")
         conf.setdefault("spark.driver.memory", "8g")
@@ -62,6 +76,12 @@ def get_session(
         # an existing session keeps its static settings; re-apply the runtime ones
         if spark.conf.isModifiable(key):
             spark.conf.set(key, value)
+    if not local:
+        deployed = spark.sparkContext.getConf()
+        for key, value in CLUSTER_CONF.items():
+            # what the deployment (spark-submit, spark-defaults) set wins
+            if key not in conf and not deployed.contains(key):
+                spark.conf.set(key, value)
     return spark
 
 
