@@ -904,3 +904,20 @@ def q_m4_reload_day_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     out = spark.read.parquet(path)
     return round_doubles(out.select(*events.columns, "loaded_at", "load_date"))
+
+
+@register("m2_upsert_in_place", ORACLE_SQL["m2_upsert"])
+def q_m2_upsert_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, batch, cols = _customer_target_batch(spark, sf_dir)
+    path = work_path(spark, "m2-customer")
+    # the target as stored: partitioned by a hash bucket of its key
+    # buckets sized to the table (about 2k customers per bucket at sf0.1)
+    target.withColumn("key_bucket", _mw.key_bucket(["c_custkey"], 8)).hint(
+        "rebalance", "key_bucket"
+    ).write.partitionBy("key_bucket").parquet(path)
+    _mw.upsert_into(
+        spark, batch, path, ["c_custkey"], order_by=["seq"],
+        update_cols=["c_acctbal", "c_mktsegment"], stamp=("loaded_at", "2024-02-01 00:00:00"),
+        buckets=8,
+    )
+    return round_doubles(spark.read.parquet(path).select(*cols, "loaded_at"))

@@ -8,7 +8,10 @@ batch that rewrite is the dominant cost, and two of the merges never need it:
   whole merge;
 * day reload (M4) only replaces the rows loaded on the ``as_of`` day: with the target
   partitioned by its load day, that is one partition, replaced by a dynamic partition
-  overwrite. Older partitions are only read, and only their key column.
+  overwrite. Older partitions are only read, and only their key column;
+* upsert (M2) can change any stored row, but only rows whose key is in the batch: with
+  the target partitioned by a hash bucket of the key, only the buckets the batch touches
+  are read, merged and replaced.
 
 Both are idempotent: a rerun finds its keys present (M3) or replaces the same partition
 with the same rows (M4).
@@ -23,7 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martworks.operators.merge import batch_keys, dedupe_first
+from martworks.operators.merge import batch_keys, dedupe_first, upsert
 
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
@@ -116,3 +119,55 @@ def drop_partitions_after(spark: SparkSession, path: str, col: str, day: date) -
             fs.delete(status.getPath(), True)
             dropped.append(value)
     return dropped
+
+
+def key_bucket(keys: Sequence[str], buckets: int):
+    """Stable hash bucket of the key columns (NULL keys hash too, to a fixed bucket)."""
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def upsert_into(
+    spark: SparkSession,
+    batch: DataFrame,
+    target_path: str,
+    keys: Sequence[str],
+    order_by: Sequence,
+    update_cols: Sequence[str] | None = None,
+    stamp: tuple[str, object] | None = None,
+    buckets: int = 4096,
+    bucket_col: str = "key_bucket",
+) -> None:
+    """M2 written in place on a target partitioned by ``bucket_col`` = hash bucket of the
+    keys: only the buckets holding a batch key are rewritten.
+
+    The touched bucket ids (at most ``buckets`` integers) become a partition filter, so
+    untouched buckets are neither read nor written. One job reads those buckets, merges
+    and writes them with a dynamic partition overwrite: new files go to a staging folder
+    and replace the old bucket folders only at job commit, after every task has read its
+    input, so a lost executor just reruns its task. A rerun of a whole failed job merges
+    the same batch again and gives the same rows. Choose ``buckets`` so one bucket holds
+    about a gigabyte.
+    """
+    existing = _existing(spark, target_path)
+    with_bucket = batch.withColumn(bucket_col, key_bucket(keys, buckets))
+    if existing is None:
+        cols = [c for c in batch.columns if c not in {o for o in order_by if isinstance(o, str)}]
+        target = spark.createDataFrame([], batch.select(*cols).schema)
+        touched_filter = None
+    else:
+        target = existing
+        touched = [r[0] for r in with_bucket.select(bucket_col).distinct().collect()]
+        touched_filter = F.col(bucket_col).isin(touched)
+        target = existing.where(touched_filter).drop(bucket_col)
+    merged = upsert(target, batch, keys, order_by, update_cols, stamp).withColumn(
+        bucket_col, key_bucket(keys, buckets)
+    )
+    # rebalance: AQE cuts the rows of each bucket into files of the advisory size (a
+    # few files per bucket, big buckets split) instead of one file per task and bucket
+    (
+        merged.hint("rebalance", bucket_col)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(bucket_col)
+        .parquet(target_path)
+    )

@@ -77,3 +77,23 @@ def test_reload_day_into_drops_later_days(spark, tmp_path):
     assert _rows(spark.read.parquet(path), "id", "v", "load_date") == [
         ("k1", 1, date(2024, 1, 1)), ("k3", 9, date(2024, 1, 2))
     ]
+
+
+def test_upsert_into_rewrites_only_touched_buckets(spark, tmp_path):
+    from martworks.sinks.merge_writers import upsert_into
+
+    path = str(tmp_path / "t")
+    schema = "id string, v int, seq int"
+    first = spark.createDataFrame([(f"k{i}", i, 1) for i in range(200)], schema)
+    upsert_into(spark, first, path, ["id"], ["seq"], buckets=64)
+    files_before = {f for f in spark.read.parquet(path).inputFiles()}
+    batch = spark.createDataFrame([("k5", 50, 1), ("k5", 55, 2), ("new", 1, 1), (None, 7, 1)], schema)
+    upsert_into(spark, batch, path, ["id"], ["seq"], buckets=64)
+    got = spark.read.parquet(path)
+    want = merge.upsert(first.drop("seq"), batch, ["id"], ["seq"])
+    assert _rows(got, "id", "v") == _rows(want, "id", "v")
+    files_after = {f for f in got.inputFiles()}
+    assert len(files_before & files_after) >= len(files_before) - 3  # at most 3 buckets rewritten
+    before = got.count()
+    upsert_into(spark, batch, path, ["id"], ["seq"], buckets=64)  # rerun: NULL-key row inserted again
+    assert spark.read.parquet(path).count() == before + 1
