@@ -165,6 +165,12 @@ def infer_target_schema(df: DataFrame) -> list[tuple[str, str]]:
     return [(normalize_name(f.name), sql_type(f.dataType)) for f in df.schema.fields]
 
 
+def jdbc_column_types(df: DataFrame) -> str:
+    """T16 for the JDBC sink: the ``createTableColumnTypes`` option value, so the table
+    K5 creates has the mapped column types."""
+    return ", ".join(f"{n} {t}" for n, t in infer_target_schema(df) if t != "TEXT")
+
+
 def target_ddl(df: DataFrame, table: str) -> str:
     cols = ", ".join(f"{n} {t}" for n, t in infer_target_schema(df))
     return f"CREATE TABLE {table} ({cols})"

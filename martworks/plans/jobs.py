@@ -53,15 +53,23 @@ def sensor_job(spark: SparkSession, csv_path: str, out_dir: str | None = None):
 # ---------------------------------------------------------------- P2 one-time load
 
 def one_time_load(
-    spark: SparkSession, csv_path: str, parquet_path: str, table: str, table_path: str | None = None
+    spark: SparkSession, csv_path: str, parquet_path: str, table: str, table_path: str | None = None,
+    jdbc_url: str | None = None, jdbc_properties: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """S1 (inferred) -> K1 -> S2 -> T1 -> T16 -> K4 -> V4. Returns the profile."""
+    """S1 (inferred) -> K1 -> S2 -> T1 -> T16 -> K4 -> V4. Returns the profile.
+
+    With ``jdbc_url`` the table is (re)created in that database instead (K5 in overwrite
+    mode, column types from T16), and the profile reads it back over JDBC.
+    """
     raw = readers.read_csv(spark, csv_path, infer=True)
     writers.write_parquet(raw, parquet_path)
     df = transform.normalize_columns(readers.read_parquet(spark, parquet_path))
-    ddl = transform.infer_target_schema(df)
-    typed = df.select(*[F.col(n).alias(n) for n, _ in ddl])
-    writers.full_refresh(typed, table, path=table_path)
+    if jdbc_url:
+        props = dict(jdbc_properties or {})
+        props["createTableColumnTypes"] = transform.jdbc_column_types(df)
+        writers.write_jdbc(df, jdbc_url, table, mode="overwrite", properties=props)
+        return quality.table_profile(readers.read_jdbc(spark, jdbc_url, table, jdbc_properties))
+    writers.full_refresh(df, table, path=table_path)
     return quality.table_profile(readers.read_table(spark, table))
 
 

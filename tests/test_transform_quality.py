@@ -109,3 +109,8 @@ def test_parse_date_one_or_two_digits(spark):
     df = spark.createDataFrame([("03-12-2018 11:02",), ("3-2-2018 1:05",)], "d string")
     got = [r["d"].isoformat() for r in transform.parse_date(df, "d").collect()]
     assert got == ["2018-12-03", "2018-02-03"]
+
+
+def test_jdbc_column_types(spark):
+    df = spark.createDataFrame([], "`Room Id` string, temp int, big bigint, d date, x array<int>")
+    assert transform.jdbc_column_types(df) == "room_id VARCHAR(255), temp INTEGER, big BIGINT, d DATE"
