@@ -66,7 +66,7 @@ def get_session(
     if local:
         conf.setdefault("spark.ui.enabled", "false")
         conf.setdefault("spark.ui.showConsoleProgress", "false")
-        conf.setdefault("spark.driver.memory", "8g")
+        conf.setdefault("spark.driver.memory", "16g")
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
