@@ -174,3 +174,6 @@ def test_replicate_in_place_twice_same_day(spark, tmp_path):
     jobs.replicate_collections_into(spark, collections, targets, as_of)
     second = {k: sorted(map(tuple, spark.read.parquet(p).collect()), key=repr) for k, p in targets.items()}
     assert first == second
+    # the daily flow: marts over the written tables
+    out = jobs.build_marts({k: spark.read.parquet(p) for k, p in targets.items()})
+    assert out["mart_payment_analysis"].count() > 0 and out["genre_summary"].count() > 0
