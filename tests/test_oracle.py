@@ -8,6 +8,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 from tools.oracle_check import digest
+from tools.type_check import SPARK_TO_DUCKDB
 from martworks.plans.testdata import ALL_TABLES
 
 NAMES = sorted(entry.queries())
@@ -31,6 +32,10 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
+    rel = con.sql(entry.oracle_sql()[name])
+    otypes = dict(zip(rel.columns, [str(t).replace(" ", "") for t in rel.types]))
+    for col, dtype in df.dtypes:
+        assert otypes.get(col) == SPARK_TO_DUCKDB.get(dtype, dtype.upper().replace(" ", "")), col
     res = con.execute(entry.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
