@@ -24,10 +24,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from martworks.functions.columns import as_col
-from martworks.operators.transform import normalize_columns
+from martworks.operators.transform import as_timestamp, literal_for, normalize_columns
 
 _ROW = "_row"
 
@@ -70,7 +69,7 @@ def _stamp(df: DataFrame, stamp: tuple[str, object] | None) -> DataFrame:
     if stamp is None:
         return df
     name, value = stamp
-    return df.withColumn(name, F.lit(value).cast(T.TimestampNTZType()))
+    return df.withColumn(name, as_timestamp(value))
 
 
 def upsert(
@@ -202,7 +201,7 @@ def new_rows_since(
     pushed into the Parquet scan."""
     src = normalize_columns(source)
     c = F.col(col)
-    wm = F.lit(watermark)
+    wm = literal_for(watermark, src.schema[col].dataType)
     return src.where(c >= wm if inclusive else c > wm)
 
 

@@ -91,7 +91,7 @@ def add_audit_columns(
     loaded_col: str = "loaded_at", source_col: str = "source",
 ) -> DataFrame:
     """``loaded_at`` = the run time given by the caller, ``source`` = a constant."""
-    cols = {loaded_col: F.lit(as_of).cast(T.TimestampNTZType())}
+    cols = {loaded_col: as_timestamp(as_of)}
     if source is not None:
         cols[source_col] = F.lit(source)
     return df.withColumns(cols)
@@ -184,4 +184,19 @@ def add_missing_column(df: DataFrame, name: str, dtype, default=None) -> DataFra
 
 
 def as_timestamp(value: date | datetime | str) -> F.Column:
-    return F.lit(value).cast(T.TimestampNTZType())
+    """A TIMESTAMP_NTZ literal built from text, so no time zone (of the Python process
+    or of the session) can shift the wall-clock value."""
+    if isinstance(value, datetime):
+        text = value.isoformat(sep=" ")
+    elif isinstance(value, date):
+        text = value.isoformat() + " 00:00:00"
+    else:
+        text = str(value)
+    return F.lit(text).cast(T.TimestampNTZType())
+
+
+def literal_for(value, dtype: T.DataType) -> F.Column:
+    """A literal of ``value`` for comparison with a column of ``dtype``."""
+    if isinstance(dtype, T.TimestampNTZType) and isinstance(value, (datetime, date, str)):
+        return as_timestamp(value)
+    return F.lit(value)

@@ -11,3 +11,17 @@ def test_work_paths_live_under_the_checkpoint_dir(spark):
 def test_core_settings_applied(spark):
     for key in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"):
         assert spark.conf.get(key) == CORE_CONF[key]
+
+
+def test_results_do_not_depend_on_the_session_time_zone(spark):
+    import __spark_entry__ as entry
+    from tests.conftest import SF_SMALL
+
+    names = ["m6_incremental_load", "t15_conform_customer", "m4_reload_day", "t4_coerce_timestamp"]
+    base = {n: sorted(map(tuple, entry.queries()[n](spark, SF_SMALL).collect()), key=repr) for n in names}
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        other = {n: sorted(map(tuple, entry.queries()[n](spark, SF_SMALL).collect()), key=repr) for n in names}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert base == other
