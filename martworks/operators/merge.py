@@ -84,20 +84,40 @@ def upsert(
 
     New keys are inserted; on an existing key ``update_cols`` (default: every non-key
     column) take the batch's values, the others keep the target's. Within the batch the
-    last row by ``order_by`` wins. ``stamp=(column, as_of)`` sets that column on every
-    inserted or updated row (``loaded_at = CURRENT_TIMESTAMP``).
+    rows of a key apply in ``order_by`` order: the update columns end with the last row's
+    values, the other columns of a new key with the first row's (it was inserted, later
+    rows only updated it). ``stamp=(column, as_of)`` sets that column on every inserted or
+    updated row (``loaded_at = CURRENT_TIMESTAMP``).
     """
     cols = target.columns
     stamp_col = stamp[0] if stamp else None
     update = [c for c in (update_cols if update_cols is not None else cols) if c not in keys]
     keep = [c for c in cols if c not in keys and c not in update and c != stamp_col]
-    batch_cols = [c for c in cols if c in batch.columns]
-    b = dedupe_last(
-        batch.select(*batch_cols, *[as_col(o).alias(f"_o{i}") for i, o in enumerate(order_by)]),
-        keys,
-        [f"_o{i}" for i in range(len(order_by))],
+    batch_cols = [c for c in cols if c in batch.columns and c not in keys]
+    # Row at a time, the first batch row of a new key is inserted and later rows only
+    # update ``update``: so the update columns come from the last row, the others from
+    # the first. One aggregation picks both.
+    last_cols = [c for c in batch_cols if c in update or c == stamp_col]
+    first_cols = [c for c in batch_cols if c in keep]
+    order = F.struct(*[as_col(o) for o in order_by])
+    picks = []
+    if last_cols:
+        picks.append(F.max_by(F.struct(*last_cols), order).alias("_last"))
+    if first_cols:
+        picks.append(F.min_by(F.struct(*first_cols), order).alias("_first"))
+    if not picks:
+        picks.append(F.count(F.lit(1)).alias("_n"))
+    loner = F.when(_any_null(keys), F.monotonically_increasing_id()).alias("_loner")
+    grouped = batch.groupBy(*keys, loner).agg(*picks)
+    b = grouped.select(
+        *[
+            F.col(c) if c in keys
+            else F.col(f"_last.{c}").alias(c) if c in last_cols
+            else F.col(f"_first.{c}").alias(c) if c in first_cols
+            else F.lit(None).cast(target.schema[c].dataType).alias(c)
+            for c in cols
+        ]
     )
-    b = b.select(*[F.col(c) if c in batch_cols else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in cols])
     b = _stamp(b, stamp)
     if keep:
         # only target rows whose key is in the batch: the semi join streams the target

@@ -27,3 +27,15 @@ def test_quantile_trim_bounds_and_nulls(spark):
 def test_quantile_trim_empty(spark):
     df = spark.createDataFrame([(None,)], "t double")
     assert quantile_trim(df, "t").count() == 0
+
+
+def test_exact_quantiles_with_infinities(spark):
+    vals = [1.0, 2.0, 3.0, float("inf"), float("-inf"), 2.0]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    probs = [0.0, 0.25, 0.5, 0.75]
+    # sorted: -inf 1 2 2 3 inf; positions 0, 1.25, 2.5, 3.75 (numpy's interpolation
+    # formula turns the exact order statistic -inf at q=0 into nan)
+    want = ["-inf", "1.25", "2.0", "2.75"]
+    for mlr in (100, 1):
+        got = exact_quantiles(df, "v", probs, buckets=4, max_local_rows=mlr)
+        assert [str(x) for x in got] == want
