@@ -295,14 +295,18 @@ def _customer_target_batch(spark: SparkSession, sf_dir: str):
     + """,
 bl AS (SELECT * EXCLUDE (rn, seq) FROM (
     SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY seq DESC) AS rn FROM b)
+    WHERE rn = 1),
+bf AS (SELECT * EXCLUDE (rn, seq) FROM (
+    SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY seq) AS rn FROM b)
     WHERE rn = 1)
 SELECT t.* FROM t WHERE NOT EXISTS (SELECT 1 FROM bl WHERE bl.c_custkey = t.c_custkey)
 UNION ALL
 SELECT bl.c_custkey,
-       CASE WHEN t.c_custkey IS NOT NULL THEN t.c_name ELSE bl.c_name END AS c_name,
-       CASE WHEN t.c_custkey IS NOT NULL THEN t.c_nationkey ELSE bl.c_nationkey END AS c_nationkey,
+       CASE WHEN t.c_custkey IS NOT NULL THEN t.c_name ELSE bf.c_name END AS c_name,
+       CASE WHEN t.c_custkey IS NOT NULL THEN t.c_nationkey ELSE bf.c_nationkey END AS c_nationkey,
        bl.c_acctbal, bl.c_mktsegment, TIMESTAMP '2024-02-01 00:00:00' AS loaded_at
-FROM bl LEFT JOIN t ON bl.c_custkey = t.c_custkey
+FROM bl JOIN bf ON bl.c_custkey = bf.c_custkey
+LEFT JOIN t ON bl.c_custkey = t.c_custkey
 """,
 )
 def q_m2_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
