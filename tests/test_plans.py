@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from martworks.plans.registry import QUERIES
 from tests.conftest import SF_SMALL
 
 
@@ -10,7 +11,7 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_in_plans(spark, name):
     plan = _plan(entry.queries()[name](spark, SF_SMALL))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan

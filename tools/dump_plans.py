@@ -12,7 +12,7 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-import __spark_entry__ as entry  # noqa: E402
+from martworks.plans.registry import QUERIES  # noqa: E402
 from martworks.session import get_session  # noqa: E402
 
 
@@ -31,7 +31,7 @@ def main() -> None:
     out = ["# Physical plans", "",
            f"Initial physical plans (before AQE re-planning) of every registered query, read at `{sf_dir}`.",
            "Operators computed on the driver before the plan (quantile bounds, watermarks) appear as literals.", ""]
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         out += [f"## {name}", "", "```", tree(fn(spark, sf_dir)), "```", ""]
     with open(os.path.join(ROOT, "docs", "PLANS.md"), "w") as fh:
         fh.write("\n".join(out))
