@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martworks.llm import minhash_dedup
+from martworks.llm import minhash_dedup, packing
 from martworks.llm.common import read_table, staged
 
 
@@ -17,8 +17,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return minhash_dedup.keep_one_of_each(docs)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, packed into sequences of 2048 tokens."""
+    return packing.pack(docs)
+
+
 STAGES = [
     ("near_dedup", near_dedup),
+    ("pack", pack),
 ]
 
 #: SQL cannot express the model and the alignment stages; see tests/llm.

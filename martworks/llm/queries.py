@@ -8,6 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martworks.llm.common import read_table
 from martworks.llm.minhash_dedup import minhash_components
+from martworks.llm.packing import pack
+from martworks.llm.token_counts import count_tokens
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(read_table(spark, sf_dir, "documents"))
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_table(spark, sf_dir, "documents"))
 
 
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +25,8 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_token_counts": op5_token_counts,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
 
