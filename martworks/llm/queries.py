@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from martworks.llm.common import read_table
+from martworks.llm.language_id import identify
 from martworks.llm.minhash_dedup import minhash_components
 from martworks.llm.packing import pack
 from martworks.llm.token_counts import count_tokens
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(read_table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"))
 
@@ -25,6 +30,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_language_id": op4_language_id,
     "op5_token_counts": op5_token_counts,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op10_minhash_dedup": op10_minhash_dedup,
