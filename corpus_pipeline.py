@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martworks.llm import minhash_dedup, packing
+from martworks.llm import decontaminate, minhash_dedup, packing
 from martworks.llm.common import read_table, staged
 
 
@@ -17,6 +17,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return minhash_dedup.keep_one_of_each(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return decontaminate.decontaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, packed into sequences of 2048 tokens."""
     return packing.pack(docs)
@@ -24,6 +29,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
     ("pack", pack),
 ]
 

@@ -7,12 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from martworks.llm.common import read_table
+from martworks.llm.decontaminate import contaminated
 from martworks.llm.language_id import identify
 from martworks.llm.minhash_dedup import minhash_components
 from martworks.llm.packing import pack
 from martworks.llm.token_counts import count_tokens
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each contaminated document and benchmark item found in it."""
+    return contaminated(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read_table(spark, sf_dir, "documents"))
 
@@ -30,6 +38,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op4_language_id": op4_language_id,
     "op5_token_counts": op5_token_counts,
     "op7_best_fit_packing": op7_best_fit_packing,
