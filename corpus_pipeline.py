@@ -8,10 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martworks.llm import decontaminate, minhash_dedup, packing
+from martworks.llm import decontaminate, minhash_dedup, packing, toxicity
 from martworks.llm.common import read_table, staged
 
 
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted toxic go."""
+    return toxicity.clean_documents(docs, read_table(spark, sf_dir, "labels"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays (five words, Jaccard 0.8)."""
     return minhash_dedup.keep_one_of_each(docs)
@@ -28,6 +33,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", toxic),
     ("near_dedup", near_dedup),
     ("decontamination", decontamination),
     ("pack", pack),

@@ -12,6 +12,7 @@ from martworks.llm.language_id import identify
 from martworks.llm.minhash_dedup import minhash_components
 from martworks.llm.packing import pack
 from martworks.llm.token_counts import count_tokens
+from martworks.llm.toxicity import score_documents
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,12 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    )
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read_table(spark, sf_dir, "documents"))
 
@@ -39,6 +46,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op3_toxicity": op3_toxicity,
     "op4_language_id": op4_language_id,
     "op5_token_counts": op5_token_counts,
     "op7_best_fit_packing": op7_best_fit_packing,
