@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from martworks.llm import quality, toxicity
 from martworks.llm.common import read_table
 from martworks.llm.decontaminate import contaminated
 from martworks.llm.language_id import identify
 from martworks.llm.minhash_dedup import minhash_components
 from martworks.llm.packing import pack
 from martworks.llm.token_counts import count_tokens
-from martworks.llm.toxicity import score_documents
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +23,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_documents(
+    return toxicity.score_documents(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     )
 
@@ -40,6 +40,12 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    )
+
+
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_components(read_table(spark, sf_dir, "documents"), 3, 85, 100)
 
@@ -50,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_token_counts": op5_token_counts,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_quality": op8_quality,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
 
