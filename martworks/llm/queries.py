@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martworks.llm import quality, toxicity
+from martworks.llm import quality, suffix_tree_lm, toxicity
 from martworks.llm.common import read_table
 from martworks.llm.decontaminate import contaminated
 from martworks.llm.language_id import identify
@@ -22,6 +22,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree_lm.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
@@ -52,6 +56,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_suffix_tree_lm": op2_suffix_tree_lm,
     "op3_toxicity": op3_toxicity,
     "op4_language_id": op4_language_id,
     "op5_token_counts": op5_token_counts,
