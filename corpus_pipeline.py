@@ -7,8 +7,9 @@ and read again as the next stage's docs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martworks.llm import decontaminate, minhash_dedup, packing, toxicity
+from martworks.llm import decontaminate, minhash_dedup, packing, surrogates, toxicity
 from martworks.llm.common import read_table, staged
 
 
@@ -27,6 +28,16 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.decontaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Entities become surrogates; n_chars follows the new text."""
+    out = surrogates.pseudonymize(docs)
+    if "n_chars" not in docs.columns:
+        return out
+    kind = docs.schema["n_chars"].dataType
+    length = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text"))
+    return out.withColumn("n_chars", length.cast(kind))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, packed into sequences of 2048 tokens."""
     return packing.pack(docs)
@@ -36,6 +47,7 @@ STAGES = [
     ("toxicity", toxic),
     ("near_dedup", near_dedup),
     ("decontamination", decontamination),
+    ("pii", pii),
     ("pack", pack),
 ]
 

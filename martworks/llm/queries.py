@@ -12,6 +12,7 @@ from martworks.llm.decontaminate import contaminated
 from martworks.llm.language_id import identify
 from martworks.llm.minhash_dedup import minhash_components
 from martworks.llm.packing import pack
+from martworks.llm.surrogates import pseudonymize
 from martworks.llm.token_counts import count_tokens
 
 
@@ -50,6 +51,12 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, with surrogates in place of their entities."""
+    docs = read_table(spark, sf_dir, "documents")
+    return pseudonymize(docs.select("doc_id", "text"))
+
+
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_components(read_table(spark, sf_dir, "documents"), 3, 85, 100)
 
@@ -62,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_quality": op8_quality,
+    "op9_pii_surrogates": op9_pii_surrogates,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
 
