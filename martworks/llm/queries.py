@@ -14,6 +14,7 @@ from martworks.llm.minhash_dedup import minhash_components
 from martworks.llm.packing import pack
 from martworks.llm.surrogates import pseudonymize
 from martworks.llm.token_counts import count_tokens
+from martworks.llm.topk_search import search
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +42,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"))
 
 
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(read_table(spark, sf_dir, "embeddings"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"))
 
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_language_id": op4_language_id,
     "op5_token_counts": op5_token_counts,
+    "op6_topk_search": op6_topk_search,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_quality": op8_quality,
     "op9_pii_surrogates": op9_pii_surrogates,
