@@ -54,19 +54,12 @@ def join_array(c, sep: str = ", ") -> Column:
 
 
 def map_values(c, mapping: dict, default=None) -> Column:
-    """Look a value up in a fixed mapping; anything else, NULL included -> default."""
+    """Look a value up in a fixed mapping; anything else -> default, NULL and keys
+    mapped to None included."""
     col = as_col(c)
     if not mapping:
         return F.lit(default)
-    if len(mapping) <= 64:
-        expr = None
-        for key, value in mapping.items():
-            cond = col == F.lit(key)
-            expr = F.when(cond, F.lit(value)) if expr is None else expr.when(cond, F.lit(value))
-        return expr.otherwise(F.lit(default))
-    pairs = []
-    for key, value in mapping.items():
-        pairs += [F.lit(key), F.lit(value)]
+    pairs = [F.lit(x) for pair in mapping.items() for x in pair]
     looked_up = F.when(col.isNotNull(), F.try_element_at(F.create_map(*pairs), col))
     return F.coalesce(looked_up, F.lit(default))
 

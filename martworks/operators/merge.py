@@ -9,11 +9,12 @@ Key rules shared by every operator here, as a relational UNIQUE key behaves:
   conflicts with another row, in the batch or in the target;
 * "first"/"last" need an explicit arrival order (``order_by``): Spark has no row order.
 
-Scale notes: deduplication is an aggregation (``min_by``/``max_by`` of the whole row),
-not a window, so rows of a hot key are combined map-side before the shuffle and no task
-has to sort all rows of one key. Rows with NULL keys get a per-row group id instead of
-sharing one (they would all hash to one partition). Anti joins are plain equi-joins; AQE turns them into broadcast
-joins at runtime when the measured batch side is small.
+Scale notes: deduplication is ``row_number() = 1``, which Spark plans with a group limit
+before the shuffle: each task keeps one row of a hot key, so no task sorts all rows of it.
+Rows with NULL keys get a per-row group id instead of sharing one (they would all hash to
+one partition). Join sides built from a batch are its distinct keys; the in-place writers
+stage them and broadcast them when their real size is small, so a small batch does not
+shuffle the target. The pure operators leave that choice to AQE.
 """
 
 from __future__ import annotations
@@ -22,16 +23,22 @@ from collections.abc import Sequence
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martworks.functions.columns import as_col
-from martworks.operators.transform import as_timestamp, literal_for, normalize_columns
+from martworks.operators.transform import (
+    SchemaError,
+    as_timestamp,
+    literal_for,
+    normalize_columns,
+)
 
-_ROW = "_row"
+_LONER = "_loner"
+_RANK = "_rank"
 
 
-def _any_null(keys: Sequence[str]) -> Column:
+def any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
@@ -39,17 +46,19 @@ def _pick_one(df: DataFrame, keys: Sequence[str], order_by: Sequence, last: bool
     if not order_by:
         raise ValueError("order_by is required: it defines which row is first or last")
     cols = df.columns
-    order = F.struct(*[as_col(o) for o in order_by])
-    # the keys come back from the grouping, so the carried row holds the other columns
-    rest = [c for c in cols if c not in keys]
-    payload = F.struct(*[F.col(c) for c in rest]) if rest else F.struct(F.lit(0).alias("_"))
-    pick = F.max_by if last else F.min_by
     # a row with a NULL key is its own group: the extra grouping column is NULL for
     # keyed rows and a per-row id otherwise, so NULL-key rows neither merge nor pile
     # up in one partition, and the input is scanned once
-    loner = F.when(_any_null(keys), F.monotonically_increasing_id()).alias("_loner")
-    picked = df.groupBy(*keys, loner).agg(pick(payload, order).alias(_ROW))
-    return picked.select(*[F.col(c) if c in keys else F.col(f"{_ROW}.{c}").alias(c) for c in cols])
+    loner = F.when(any_null(keys), F.monotonically_increasing_id())
+    order = [as_col(o).desc_nulls_last() if last else as_col(o).asc_nulls_first() for o in order_by]
+    w = Window.partitionBy(*keys, _LONER).orderBy(*order)
+    ranked = df.withColumn(_LONER, loner).withColumn(_RANK, F.row_number().over(w))
+    return ranked.where(F.col(_RANK) == 1).select(*cols)
+
+
+def one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence | None) -> DataFrame:
+    """One row per key: the first by ``order_by``, else a fixed one of them (by hash)."""
+    return dedupe_first(df, keys, order_by or [F.xxhash64(*df.columns)])
 
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence) -> DataFrame:
@@ -79,6 +88,7 @@ def upsert(
     order_by: Sequence,
     update_cols: Sequence[str] | None = None,
     stamp: tuple[str, object] | None = None,
+    known_keys: DataFrame | None = None,
 ) -> DataFrame:
     """M2: ``INSERT ... ON CONFLICT (keys) DO UPDATE SET update_cols``.
 
@@ -87,8 +97,10 @@ def upsert(
     rows of a key apply in ``order_by`` order: the update columns end with the last row's
     values, the other columns of a new key with the first row's (it was inserted, later
     rows only updated it). ``stamp=(column, as_of)`` sets that column on every inserted or
-    updated row (``loaded_at = CURRENT_TIMESTAMP``).
+    updated row (``loaded_at = CURRENT_TIMESTAMP``). ``known_keys``: the batch's distinct
+    non-NULL keys, if the caller has them (staged, or marked for broadcast).
     """
+    touched = batch_keys(batch, keys) if known_keys is None else known_keys
     cols = target.columns
     stamp_col = stamp[0] if stamp else None
     update = [c for c in (update_cols if update_cols is not None else cols) if c not in keys]
@@ -96,22 +108,21 @@ def upsert(
     batch_cols = [c for c in cols if c in batch.columns and c not in keys]
     # Row at a time, the first batch row of a new key is inserted and later rows only
     # update ``update``: so the update columns come from the last row, the others from
-    # the first. One aggregation picks both.
+    # the first. One aggregation picks both; without the others the last row is enough.
     last_cols = [c for c in batch_cols if c in update or c == stamp_col]
     first_cols = [c for c in batch_cols if c in keep]
     order = F.struct(*[as_col(o) for o in order_by])
-    picks = []
-    if last_cols:
-        picks.append(F.max_by(F.struct(*last_cols), order).alias("_last"))
     if first_cols:
-        picks.append(F.min_by(F.struct(*first_cols), order).alias("_first"))
-    if not picks:
-        picks.append(F.count(F.lit(1)).alias("_n"))
-    loner = F.when(_any_null(keys), F.monotonically_increasing_id()).alias("_loner")
-    grouped = batch.groupBy(*keys, loner).agg(*picks)
+        picks = [F.min_by(F.struct(*first_cols), order).alias("_first")]
+        if last_cols:
+            picks.append(F.max_by(F.struct(*last_cols), order).alias("_last"))
+        loner = F.when(any_null(keys), F.monotonically_increasing_id()).alias(_LONER)
+        grouped = batch.groupBy(*keys, loner).agg(*picks)
+    else:
+        grouped = dedupe_last(batch, keys, order_by)
     b = grouped.select(
         *[
-            F.col(c) if c in keys
+            F.col(c) if c in keys or (c in batch_cols and not first_cols)
             else F.col(f"_last.{c}").alias(c) if c in last_cols
             else F.col(f"_first.{c}").alias(c) if c in first_cols
             else F.lit(None).cast(target.schema[c].dataType).alias(c)
@@ -120,10 +131,8 @@ def upsert(
     )
     b = _stamp(b, stamp)
     if keep:
-        # only target rows whose key is in the batch: the semi join streams the target
-        # and builds on the batch keys, so a small batch is broadcast at runtime and the
-        # target is not shuffled
-        t_keep = _present_in(target.where(~_any_null(keys)), batch, keys).select(
+        # only target rows whose key is in the batch take part in the join
+        t_keep = target.join(touched, on=list(keys), how="left_semi").select(
             *keys, *[F.col(c).alias(f"_t_{c}") for c in keep], F.lit(True).alias("_hit")
         )
         b = b.join(t_keep, on=list(keys), how="left").select(
@@ -134,14 +143,14 @@ def upsert(
                 for c in cols
             ]
         )
-    untouched = target.join(batch_keys(batch, keys), on=list(keys), how="left_anti")
+    untouched = target.join(touched, on=list(keys), how="left_anti")
     return untouched.unionByName(b.select(*cols))
 
 
 def batch_keys(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The distinct non-NULL keys of a batch. Duplicates of a hot key are combined
     map-side, so the join side built from it has one row per key."""
-    return batch.select(*keys).where(~_any_null(keys)).distinct()
+    return batch.select(*keys).where(~any_null(keys)).distinct()
 
 
 def _present_in(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -156,17 +165,21 @@ def insert_ignore(
     order_by: Sequence | None = None,
 ) -> DataFrame:
     """M3: ``INSERT ... ON CONFLICT (keys) DO NOTHING``: only keys the target lacks are
-    added; an existing row always wins. With ``order_by`` the batch is first reduced to
-    its first row per key (M1); without it the batch must already be unique per key."""
-    b = dedupe_first(batch, keys, order_by) if order_by else batch
+    added, one row each; an existing row always wins. Within the batch the first row by
+    ``order_by`` wins (M1), without it a fixed one of the key's rows."""
+    b = one_per_key(batch.select(*_with(target.columns, order_by)), keys, order_by)
     b = b.select(*target.columns)
-    # reduce the target to the keys the batch has before the anti join: with a small
-    # batch the semi join is broadcast and only matching target keys are shuffled
+    # reduce the target to the keys the batch has before the anti join
     present = _present_in(target.select(*keys), batch, keys)
     new = b.join(present, on=list(keys), how="left_anti")
     return target.unionByName(new)
 
 
+def _with(cols: Sequence[str], order_by: Sequence | None) -> list:
+    """``cols`` and the order columns that are not among them."""
+    return [*cols, *[o for o in order_by or [] if not isinstance(o, str) or o not in cols]]
+
+
 def reload_day(
     target: DataFrame,
     batch: DataFrame,
@@ -225,6 +238,14 @@ def new_rows_since(
     return src.where(c >= wm if inclusive else c > wm)
 
 
+def only_declared(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``df`` with the columns ``cols``; other columns raise, as an INSERT naming them."""
+    extra = [c for c in df.columns if c not in cols]
+    if extra:
+        raise SchemaError(f"columns not declared by the target: {extra}")
+    return df.select(*cols)
+
+
 def incremental_load(
     source: DataFrame,
     target: DataFrame,
@@ -236,16 +257,19 @@ def incremental_load(
 ) -> DataFrame:
     """M6: append the source rows newer than the target's high watermark (M5).
 
-    Columns are matched by name (K3). With ``inclusive=True`` rows of the last loaded
-    day are taken again and ``keys`` drop the ones already present (M3), which avoids
-    the loss the strict ``>`` has (X8). ``flag_col`` adds a boolean marking new rows.
+    Columns are matched by name (K3); a source column that the target lacks raises. With
+    ``inclusive=True`` rows of the last loaded day are taken again and ``keys`` drop the
+    ones already present, one row per key (M3), which avoids the loss the strict ``>`` has
+    (X8). ``flag_col`` adds a boolean marking new rows.
     """
     wm = high_watermark(target, col, default)
-    new = new_rows_since(source, col, wm, inclusive).select(*target.columns)
+    new = only_declared(new_rows_since(source, col, wm, inclusive), target.columns)
     if inclusive:
         if not keys:
             raise ValueError("inclusive loading needs keys to skip rows already present")
-        new = new.join(target.select(*keys), on=list(keys), how="left_anti")
+        new = one_per_key(new, keys, None)
+        present = _present_in(target.select(*keys), new, keys)
+        new = new.join(present, on=list(keys), how="left_anti")
     if flag_col:
         return target.withColumn(flag_col, F.lit(False)).unionByName(
             new.withColumn(flag_col, F.lit(True))
@@ -264,7 +288,7 @@ def merge_counts(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Da
     keyed = batch_keys(batch, keys).join(hits, on=list(keys), how="left").select(
         F.col("_hit").isNull().alias("_ins"), F.coalesce(F.col("_hit"), F.lit(False)).alias("_upd")
     )
-    loners = batch.where(_any_null(keys)).select(F.lit(True).alias("_ins"), F.lit(False).alias("_upd"))
+    loners = batch.where(any_null(keys)).select(F.lit(True).alias("_ins"), F.lit(False).alias("_upd"))
     return keyed.unionByName(loners).agg(
         F.count_if(F.col("_ins")).alias("inserted"), F.count_if(F.col("_upd")).alias("updated")
     )

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martworks.functions.columns import as_col
+from martworks.functions.columns import as_col, to_float
 
 
 class SchemaError(ValueError):
@@ -59,9 +59,19 @@ def coerce_timestamp(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def coerce_numeric(df: DataFrame, cols: Sequence[str], dtype="double") -> DataFrame:
-    """T5: text or number -> number of ``dtype``; a bad value becomes NULL."""
+    """T5: text or number -> number of ``dtype``; a bad value becomes NULL.
+
+    Text is read as T6 reads it (``5d`` is no number), whole numbers by way of double
+    (``12.0`` is 12, a fraction is cut off as in T6).
+    """
     present = [c for c in cols if c in df.columns]
-    return df.withColumns({c: F.col(c).try_cast(dtype) for c in present})
+
+    def parse(c):
+        if not isinstance(df.schema[c].dataType, T.StringType):
+            return F.col(c).try_cast(dtype)
+        return to_float(c).try_cast(dtype)
+
+    return df.withColumns({c: parse(c) for c in present})
 
 
 def flatten_struct(
@@ -81,8 +91,11 @@ def flatten_struct(
 
 
 def to_json_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Nested columns -> JSON text (empty array ``[]``, empty struct ``{}``, NULL stays)."""
-    present = [c for c in cols if c in df.columns]
+    """Nested columns -> JSON text (empty array ``[]``, empty struct ``{}``, NULL stays).
+    A text column holds the JSON text of its source already and stays."""
+    present = [
+        c for c in cols if c in df.columns and not isinstance(df.schema[c].dataType, T.StringType)
+    ]
     return df.withColumns({c: F.to_json(F.col(c)) for c in present})
 
 

@@ -1,24 +1,16 @@
 """Exact quantiles and the quantile trim.
 
 ``percentile`` keeps a map of every distinct value in one final task, which does not
-scale. Instead the rank of each wanted order statistic is narrowed down with counting
-passes whose results are bounded by the number of buckets:
-
-1. one aggregate gives the count, minimum and maximum;
-2. while a candidate range [lo, hi] holds too many rows, one ``groupBy(bucket)`` pass
-   over it returns, per bucket, the row count and the smallest and largest value (at
-   most ``buckets`` rows reach the driver). The bucket holding the wanted rank becomes
-   the next range, bounded by that bucket's own minimum and maximum. Buckets are
-   equal-width; if a round does not at least halve the candidates (very uneven
-   spacing), the next round splits at ``percentile_approx`` points instead, which
-   bounds the rows per bucket whatever the value distribution. A range whose minimum
-   equals its maximum is resolved at once, so a value held by a third of all rows
-   costs nothing extra;
-3. a range with few rows is resolved by one pass with a running count.
-
-The range filters are literals, so they reach the Parquet scan. Linear interpolation
-between the two neighbouring order statistics gives the same number as pandas
-``quantile`` and SQL ``quantile_cont``.
+scale. Here the column's distinct values with their counts (a value held by a third of all
+rows is one row after the map-side combine) are range-partitioned by value and staged.
+Ranges are cut from a sample, so any spacing of the values gives even parts. One row per
+part reaches the driver: its rows, smallest and largest value. The parts that hold the
+wanted ranks are read again and a running count inside each finds the values. That is a
+fixed number of jobs, whatever the values look like.
+
+Linear interpolation between the two neighbouring order statistics gives the same number
+as pandas ``quantile`` and SQL ``quantile_cont``. The trim itself is a literal range
+filter, which reaches the Parquet scan.
 """
 
 from __future__ import annotations
@@ -29,178 +21,67 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_V = "_qv"
-
-
-def _in_range(lo: float, hi: float) -> Column:
-    return (F.col(_V) >= F.lit(lo)) & (F.col(_V) <= F.lit(hi))
-
-
-def _width_bucket(lo: float, hi: float, buckets: int) -> Column:
-    # monotone in the value, so every bucket is a contiguous run of values
-    pos = F.floor((F.col(_V) - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(buckets)))
-    return F.least(F.greatest(pos, F.lit(0)), F.lit(buckets - 1)).cast("int")
-
-
-def _split_bucket(splits: Sequence[float]) -> Column:
-    """Bucket id by binary search over sorted split points: 2i for the open range below
-    splits[i] (2k above the last), 2i+1 for a value equal to splits[i]."""
-    c = F.col(_V)
-
-    def build(a: int, b: int) -> Column:
-        if a == b:
-            return F.lit(2 * a)
-        m = (a + b) // 2
-        return (
-            F.when(c < F.lit(splits[m]), build(a, m))
-            .when(c == F.lit(splits[m]), F.lit(2 * m + 1))
-            .otherwise(build(m + 1, b))
-        )
-
-    return build(0, len(splits))
-
-
-def _range_id(ranges: Sequence[tuple[float, float]]) -> Column:
-    """Index of the (disjoint) range holding the value, NULL outside all of them."""
-    expr = None
-    for i, (lo, hi) in enumerate(ranges):
-        cond = _in_range(lo, hi)
-        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    return expr
+from martworks.session import work_path
 
-
-def _resolve_small(vals: DataFrame, groups: list) -> dict:
-    """Exact values for ranks inside small ranges, all ranges in one job: a running count
-    over the distinct values of each range (bounded: the caller checked the row counts).
-
-    ``groups`` holds ((lo, hi), [(rank, offset), ...]) with disjoint ranges.
-    """
-    rid = _range_id([rng for rng, _ in groups])
-    sub = (
-        vals.select(rid.alias("_r"), _V)
-        .where(F.col("_r").isNotNull())
-        .groupBy("_r", _V)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    w = Window.partitionBy("_r").orderBy(_V).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sub = sub.withColumn("_cum", F.sum("_n").over(w))
-    hit = F.lit(False)
-    for i, (_, members) in enumerate(groups):
-        for r, off in members:
-            local = F.lit(r - off)
-            hit = hit | (
-                (F.col("_r") == F.lit(i)) & (F.col("_cum") - F.col("_n") <= local) & (F.col("_cum") > local)
-            )
-    rows = sub.where(hit).select("_r", _V, "_cum", "_n").collect()
-    out = {}
-    for i, (_, members) in enumerate(groups):
-        for r, off in members:
-            for row in rows:
-                if row["_r"] == i and row["_cum"] - row["_n"] <= r - off < row["_cum"]:
-                    out[r] = row[_V]
-    return out
-
-
-def _refine(vals: DataFrame, ranges: list, buckets: int) -> dict:
-    """One counting pass over all ``ranges`` ((lo, hi, by_rank) each, disjoint); returns
-    per range the sorted (bucket, count, min, max) rows."""
-    rid = _range_id([(lo, hi) for lo, hi, _ in ranges])
-    bucket = None
-    for i, (lo, hi, by_rank) in enumerate(ranges):
-        if by_rank or not math.isfinite(hi - lo):
-            fracs = [k / buckets for k in range(1, buckets)]
-            cand = vals.where(_in_range(lo, hi))
-            splits = cand.agg(F.percentile_approx(_V, fracs, 64 * buckets)).first()[0] or []
-            b = _split_bucket(sorted(set(splits)))
-        else:
-            b = _width_bucket(lo, hi, buckets)
-        cond = F.col("_r") == F.lit(i)
-        bucket = F.when(cond, b) if bucket is None else bucket.when(cond, b)
-    stats = (
-        vals.select(rid.alias("_r"), _V)
-        .where(F.col("_r").isNotNull())
-        .groupBy("_r", bucket.alias("_b"))
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(_V).alias("_lo"), F.max(_V).alias("_hi"))
-        .collect()
-    )
-    out: dict = {i: [] for i in range(len(ranges))}
-    for row in stats:
-        out[row["_r"]].append((row["_b"], row["_n"], row["_lo"], row["_hi"]))
-    return {i: sorted(v) for i, v in out.items()}
+_V = "_qv"
 
 
-def exact_quantiles(
-    df: DataFrame,
-    col: str | Column,
-    probs: Sequence[float],
-    buckets: int = 1024,
-    max_local_rows: int = 50_000,
-    max_rounds: int = 64,
-) -> list:
+def exact_quantiles(df: DataFrame, col: str | Column, probs: Sequence[float]) -> list:
     """Exact quantiles with linear interpolation; NULL and NaN are ignored.
 
     Returns ``None`` for every probability when there is no value.
     """
+    spark = df.sparkSession
     c = col if isinstance(col, Column) else F.col(col)
     vals = df.select(c.cast("double").alias(_V)).where(F.col(_V).isNotNull() & ~F.isnan(_V))
-    first = vals.agg(
-        F.count(F.lit(1)).alias("n"), F.min(_V).alias("lo"), F.max(_V).alias("hi")
-    ).first()
-    n = first["n"]
-    if n == 0:
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counted = (
+        vals.groupBy(_V)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .repartitionByRange(parts, _V)
+        .withColumn("part", F.spark_partition_id())
+    )
+    # staged: the ranges come from a sample and must not be drawn again between the passes
+    path = work_path(spark, "quantiles")
+    counted.write.parquet(path)
+    counted = spark.read.schema(counted.schema).parquet(path)
+    rows = counted.groupBy("part").agg(F.sum("n").alias("n"), F.min(_V).alias("lo")).collect()
+    total = sum(r["n"] for r in rows)
+    if not total:
         return [None for _ in probs]
-    positions = [(n - 1) * p for p in probs]
+    positions = [(total - 1) * p for p in probs]
     wanted = sorted({math.floor(h) for h in positions} | {math.ceil(h) for h in positions})
-    # per wanted rank: the value range holding it, rows below that range, rows inside it
-    state = {r: (first["lo"], first["hi"], 0, n, False) for r in wanted}
-    resolved: dict = {}
-    for round_no in range(max_rounds + 1):
-        ranges: dict = {}
-        for r, (lo, hi, off, cnt, by_rank) in state.items():
-            if r in resolved:
-                continue
-            if lo == hi:
-                resolved[r] = lo
-            else:
-                ranges.setdefault((lo, hi, cnt, by_rank), []).append((r, off))
-        if not ranges:
-            break
-        last = round_no == max_rounds
-        small = [((lo, hi), m) for (lo, hi, cnt, _), m in ranges.items() if cnt <= max_local_rows or last]
-        big = [(key, m) for key, m in ranges.items() if not (key[2] <= max_local_rows or last)]
-        if small:
-            resolved.update(_resolve_small(vals, small))
-        if big:
-            stats = _refine(vals, [(lo, hi, by_rank) for (lo, hi, _, by_rank), _ in big], buckets)
-            for i, ((_, _, cnt, _), members) in enumerate(big):
-                for r, off in members:
-                    before = off
-                    for _b, nb, blo, bhi in stats[i]:
-                        if before <= r < before + nb:
-                            state[r] = (blo, bhi, before, nb, nb > cnt // 2)
-                            break
-                        before += nb
+    before, ranks = 0, []
+    for row in sorted(rows, key=lambda r: r["lo"]):
+        ranks += [(r, row["part"], r - before) for r in wanted if before <= r < before + row["n"]]
+        before += row["n"]
+    upto = Window.partitionBy("part").orderBy(_V)
+    inside = counted.where(F.col("part").isin(sorted({p for _, p, _ in ranks})))
+    inside = inside.withColumn("upto", F.sum("n").over(upto))
+    hit = F.lit(False)
+    for _, part, local in ranks:
+        held = (F.col("upto") - F.col("n") <= local) & (F.col("upto") > local)
+        hit = hit | ((F.col("part") == part) & held)
+    found = inside.where(hit).collect()
+    value = {
+        r: next(
+            row[_V]
+            for row in found
+            if row["part"] == part and row["upto"] - row["n"] <= local < row["upto"]
+        )
+        for r, part, local in ranks
+    }
     result = []
     for h in positions:
-        lo_v, hi_v = resolved[math.floor(h)], resolved[math.ceil(h)]
+        lo, hi = value[math.floor(h)], value[math.ceil(h)]
         frac = h - math.floor(h)
-        result.append(lo_v if frac == 0 else lo_v + (hi_v - lo_v) * frac)
+        result.append(lo if frac == 0 else lo + (hi - lo) * frac)
     return result
 
 
-def quantile_trim(
-    df: DataFrame, col: str, lo: float = 0.05, hi: float = 0.95, method: str = "exact"
-) -> DataFrame:
-    """Keep rows with ``q_lo <= col <= q_hi``; NULL drops.
-
-    ``method="exact"`` matches pandas; ``method="approx"`` uses one
-    ``percentile_approx`` pass (bounded sketch, not equal to pandas on every input).
-    """
-    if method == "approx":
-        q = df.agg(F.percentile_approx(F.col(col).cast("double"), [lo, hi], 100_000)).first()[0]
-        q_lo, q_hi = (q or [None, None])
-    else:
-        q_lo, q_hi = exact_quantiles(df, col, [lo, hi])
+def quantile_trim(df: DataFrame, col: str, lo: float = 0.05, hi: float = 0.95) -> DataFrame:
+    """Keep rows with ``q_lo <= col <= q_hi``, as pandas does; NULL drops."""
+    q_lo, q_hi = exact_quantiles(df, col, [lo, hi])
     if q_lo is None or q_hi is None:
         return df.where(F.lit(False))
     return df.where(F.col(col).between(F.lit(q_lo), F.lit(q_hi)))

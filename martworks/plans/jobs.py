@@ -6,7 +6,7 @@ Transform steps return lazy DataFrames; only the explicit sink calls write. Cloc
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
@@ -22,6 +22,7 @@ from martworks.sinks import merge_writers, writers
 from martworks.sources import readers
 
 ARRIVAL = "_arrival"
+UNDECLARED = "_undeclared"
 
 
 # ---------------------------------------------------------------- P1 sensor readings
@@ -83,15 +84,24 @@ def incremental_job(
     default,
     as_of: date,
 ) -> DataFrame:
-    """T17 -> M5 -> M6 -> K3 -> V3. Appends only the new rows; returns the report."""
+    """T17 -> M5 -> M6 -> K3 -> V3. Appends only the new rows; returns the report.
+
+    A table without the date column gets it, with ``as_of`` as the value of its old rows.
+    """
+    writers.recover_table(spark, table)
+    target = None
     if spark.catalog.tableExists(table):
-        target = transform.add_missing_column(spark.table(table), date_col, "date", as_of)
-    else:
-        target = None
+        if date_col not in spark.table(table).columns:
+            # the default is kept in the table's schema and read for the rows already there
+            spark.sql(
+                f"ALTER TABLE {table} ADD COLUMNS ({date_col} DATE DEFAULT DATE'{as_of.isoformat()}')"
+            )
+            spark.catalog.refreshTable(table)
+        target = spark.table(table)
     watermark = merge.high_watermark(target, date_col, default)
     new = merge.new_rows_since(source, date_col, watermark)
     if target is not None:
-        new = new.select(*target.columns)
+        new = merge.only_declared(new, target.columns)
     # the number of appended rows is observed on the write itself: no second pass
     seen = Observation("appended")
     writers.append_table(new.observe(seen, F.count(F.lit(1)).alias("rows")), table, spark)
@@ -131,6 +141,7 @@ def json_job(
     )
     if table:
         writers.replace_table(spark, out, table)
+        return spark.table(table)
     return out
 
 
@@ -150,10 +161,9 @@ def xml_job(
 ) -> DataFrame:
     """P5: S4 -> V5 -> T14 -> T6 -> T7 -> V6 -> M2 into an empty table -> K4."""
     foods = readers.read_xml_records(
-        spark, path, "food", schemas.FOOD, direct_children_only=direct_children_only
+        spark, path, "food", schemas.FOOD, direct_children_only=direct_children_only,
+        position_col=ARRIVAL,
     )
-    # position in the read: increasing in document order within each file
-    foods = foods.withColumn(ARRIVAL, F.monotonically_increasing_id())
     batch = nutrition_batch(quality.require_records(foods, "nutrition document"))
     quality.require_not_null(batch, ["name"], "nutrition_data")
     empty = spark.createDataFrame([], schemas.NUTRITION_TABLE)
@@ -185,11 +195,12 @@ def _payments(df: DataFrame) -> DataFrame:
 
 def _ratings(df: DataFrame) -> DataFrame:
     df = transform.coerce_timestamp(df, ["created_at"])
-    return transform.coerce_numeric(df, ["rating"], "int")
+    return transform.coerce_numeric(df, ["rating", "helpful_count", "reports_count"], "int")
 
 
 def _searches(df: DataFrame) -> DataFrame:
     df = transform.coerce_timestamp(df, ["timestamp"])
+    df = transform.coerce_numeric(df, ["results_count"], "int")
     df = df.withColumn("query_length", fcols.text_length("query"))
     return transform.to_json_columns(df, ["filters_applied"])
 
@@ -206,7 +217,7 @@ def replicate_batch(name: str, raw: DataFrame, as_of: datetime, source: str = "m
                     order_col: str = ARRIVAL) -> DataFrame:
     """One collection: M1 -> T4/T5 -> T8/T9/T11/T12 -> T13 -> T15 -> V6 on the key."""
     key = schemas.TARGET_KEYS[name]
-    raw = raw.drop("_id")
+    raw = raw.drop("_id", UNDECLARED)
     deduped = merge.dedupe_first(raw, [key], [order_col]).drop(order_col)
     shaped = transform.add_audit_columns(_TRANSFORMS[name](deduped), as_of, source)
     return transform.conform(shaped, schemas.TARGET_TABLES[name], schemas.TARGET_DEFAULTS.get(name))
@@ -226,52 +237,66 @@ def replicate_collections(
     out = {}
     for name, df in raw.items():
         key = schemas.TARGET_KEYS[name]
-        # one narrow pass over the raw rows answers both gates: NULL ids (X20) and an
-        # empty batch (X13); deduplication keeps every NULL-id row, so the raw counts hold
-        stats = df.agg(
-            F.count(F.lit(1)).alias("rows"), F.count_if(F.col(key).isNull()).alias("null_keys")
-        ).first()
-        if check_keys and stats["null_keys"]:
-            raise quality.DataQualityError(f"NULL in NOT NULL column {key} of {name}")
+        rows = _gate(name, df, check_keys)
         batch = replicate_batch(name, df, as_of)
-        out[name] = merge.reload_day(
-            targets[name], batch, [key], as_of, batch_is_empty=stats["rows"] == 0
-        )
+        out[name] = merge.reload_day(targets[name], batch, [key], as_of, batch_is_empty=rows == 0)
     return out
 
 
+def _gate(name: str, raw: DataFrame, check_keys: bool = True) -> int:
+    """One narrow pass over the raw rows: NULL ids (X20) and undeclared fields (X21) raise;
+    the number of rows tells an empty batch (X13). Deduplication keeps every NULL-id row,
+    so the raw counts hold."""
+    key = schemas.TARGET_KEYS[name]
+    found = [
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(key).isNull()).alias("null_keys"),
+    ]
+    if UNDECLARED in raw.columns:
+        found.append(F.max(F.array_join(UNDECLARED, ", ")).alias("undeclared"))
+    stats = raw.agg(*found).first()
+    if check_keys and stats["null_keys"]:
+        raise quality.DataQualityError(f"NULL in NOT NULL column {key} of {name}")
+    if UNDECLARED in raw.columns and stats["undeclared"]:
+        raise transform.SchemaError(f"fields of {name} not declared: {stats['undeclared']}")
+    return stats["rows"]
+
+
 def replicate_collections_into(
     spark: SparkSession,
     raw: Mapping[str, DataFrame],
     target_paths: Mapping[str, str],
     as_of: datetime,
-) -> None:
+) -> dict[str, dict[str, int]]:
     """P6 written in place: each table is a Parquet folder partitioned by ``load_date``;
-    a run replaces only the ``as_of`` day (M4 via dynamic partition overwrite).
+    a run replaces only the ``as_of`` day (M4 via dynamic partition overwrite). Returns the
+    rows written for each collection (X14).
 
     The collections are independent, so their loads are submitted from a small thread
     pool and run as concurrent Spark jobs; a failure in any of them is raised.
     """
 
-    def load_one(name: str) -> None:
-        df = raw[name]
+    def load_one(name: str) -> dict[str, int]:
+        _gate(name, raw[name])
+        batch = replicate_batch(name, raw[name], as_of)
         key = schemas.TARGET_KEYS[name]
-        nulls = df.agg(F.count_if(F.col(key).isNull()).alias("n")).first()["n"]
-        if nulls:
-            raise quality.DataQualityError(f"NULL in NOT NULL column {key} of {name}")
-        batch = replicate_batch(name, df, as_of)
-        merge_writers.reload_day_into(spark, batch, target_paths[name], [key], as_of)
+        return merge_writers.reload_day_into(
+            spark, batch, target_paths[name], [key], as_of, unique_keys=True
+        )
 
     with ThreadPoolExecutor(max_workers=max(1, min(4, len(raw)))) as pool:
-        for future in [pool.submit(load_one, name) for name in raw]:
-            future.result()
+        futures = {name: pool.submit(load_one, name) for name in raw}
+        return {name: future.result() for name, future in futures.items()}
 
 
 def read_collections(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
     """S5 for the four exported collections, each with an arrival-order column."""
     return {
         name: topn.with_arrival_order(
-            readers.read_collection(spark, path, schemas.RAW_COLLECTIONS[name], drop=()), ARRIVAL
+            readers.read_collection(
+                spark, path, schemas.RAW_COLLECTIONS[name], drop=(), undeclared_col=UNDECLARED
+            ),
+            ARRIVAL,
         )
         for name, path in paths.items()
     }
@@ -279,22 +304,37 @@ def read_collections(spark: SparkSession, paths: Mapping[str, str]) -> dict[str,
 
 # ---------------------------------------------------------------- P7 marts
 
-def build_marts(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """V2 on the sources, then E1-E3 and R1-R4 (write each with K4)."""
-    quality.require_nonempty(
-        {k: tables[k] for k in ("movie_views", "content_ratings", "search_queries", "user_payments")}
-    )
-    activity = marts.mart_user_activity(tables["movie_views"])
-    content = marts.mart_content_performance(
-        tables["movie_views"], tables["content_ratings"], tables["search_queries"]
-    )
-    payments = marts.mart_payment_analysis(tables["user_payments"])
-    return {
-        "mart_user_activity": activity,
-        "mart_content_performance": content,
-        "mart_payment_analysis": payments,
-        "genre_summary": marts.mart_genre_summary(content),
-        "favourite_genre_summary": marts.mart_favourite_genre_summary(activity),
-        "plan_summary": marts.mart_plan_summary(payments),
-        "distinct_users": marts.distinct_users(tables["user_payments"]),
-    }
+MARTS = {
+    "mart_user_activity": ("movie_views",),
+    "mart_content_performance": ("movie_views", "content_ratings", "search_queries"),
+    "mart_payment_analysis": ("user_payments",),
+}
+_BUILD = {
+    "mart_user_activity": marts.mart_user_activity,
+    "mart_content_performance": marts.mart_content_performance,
+    "mart_payment_analysis": marts.mart_payment_analysis,
+}
+_SUMMARIES = {
+    "genre_summary": ("mart_content_performance", marts.mart_genre_summary),
+    "favourite_genre_summary": ("mart_user_activity", marts.mart_favourite_genre_summary),
+    "plan_summary": ("mart_payment_analysis", marts.mart_plan_summary),
+}
+
+
+def build_marts(
+    tables: Mapping[str, DataFrame], out_dir: str, names: Sequence[str] = tuple(MARTS)
+) -> dict[str, DataFrame]:
+    """For each mart V2 on its sources, E1-E3, K1 to ``out_dir``; R1-R3 read what was
+    written, R4 the payments. Returns the written marts and the summaries."""
+    out = {}
+    for name in names:
+        quality.require_nonempty({k: tables[k] for k in MARTS[name]})
+        path = f"{out_dir.rstrip('/')}/{name}"
+        writers.write_parquet(_BUILD[name](*[tables[k] for k in MARTS[name]]), path)
+        out[name] = readers.read_parquet(tables[MARTS[name][0]].sparkSession, path)
+    for name, (mart, summary) in _SUMMARIES.items():
+        if mart in out:
+            out[name] = summary(out[mart])
+    if "mart_payment_analysis" in names:
+        out["distinct_users"] = marts.distinct_users(tables["user_payments"])
+    return out

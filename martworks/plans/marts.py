@@ -17,7 +17,7 @@ from martworks.functions.aggs import (
     mode_table,
     safe_pct,
 )
-from martworks.operators.joins import left_join_facts, preaggregated_star
+from martworks.operators.joins import preaggregated_star
 
 
 def mart_user_activity(views: DataFrame) -> DataFrame:
@@ -106,65 +106,40 @@ def mart_content_performance(
     )
 
 
-def mart_content_performance_naive(
-    views: DataFrame, ratings: DataFrame, searches: DataFrame
-) -> DataFrame:
-    """E2 as the reference writes it: J1 (views x ratings x searches per movie) + GROUP BY.
-
-    Kept for equivalence tests on small inputs only; its intermediate row count is the
-    product of the per-movie fact counts.
-    """
-    joined = left_join_facts(
-        views,
-        [(ratings, "movie_id"), (searches, "clicked_movie_id")],
-        key="movie_id",
-    )
-    mv, cr, sq = "_base", "_f0", "_f1"
-    joined = joined.select(
-        F.col(f"{mv}.movie_id").alias("movie_id"),
-        F.col(f"{mv}.movie_title").alias("movie_title"),
-        F.col(f"{mv}.genre").alias("genre"),
-        F.col(f"{mv}.view_id").alias("view_id"),
-        F.col(f"{mv}.user_id").alias("user_id"),
-        F.col(f"{mv}.watch_duration_minutes").alias("watch_duration_minutes"),
-        F.col(f"{cr}.rating").alias("rating"),
-        F.col(f"{cr}.rating_id").alias("rating_id"),
-        F.col(f"{sq}.search_id").alias("search_id"),
-        F.col(f"{sq}.clicked_movie_id").alias("clicked_movie_id"),
-    )
-    return joined.groupBy(*_CONTENT_KEYS).agg(
-        count_distinct("view_id").alias("total_views"),
-        count_distinct("user_id").alias("unique_viewers"),
-        F.avg("watch_duration_minutes").alias("avg_watch_duration"),
-        F.avg("rating").alias("avg_rating"),
-        count_distinct("rating_id").alias("total_ratings"),
-        count_distinct("search_id").alias("search_appearances"),
-        safe_pct(
-            count_distinct_if(F.col("clicked_movie_id") == F.col("movie_id"), "search_id"),
-            count_distinct("search_id"),
-        ).alias("search_to_view_rate"),
-    )
-
-
 def mart_payment_analysis(payments: DataFrame) -> DataFrame:
     """Per (user, plan), payments, revenue (pending included, X11), first/last,
     average amount, preferred method, completed payments."""
     keys = ["user_id", "subscription_plan"]
-    main = payments.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("total_payments"),
-        F.sum("amount").alias("total_revenue"),
-        F.min("payment_date").alias("first_payment"),
-        F.max("payment_date").alias("last_payment"),
-        F.avg("amount").alias("avg_payment_amount"),
-        count_if(F.col("status") == F.lit("completed")).alias("successful_payments"),
+    # one scan: by payment method first, which the preferred method needs, then by group
+    mean_type = payments.select(F.avg("amount")).schema[0].dataType
+    by_method = payments.groupBy(*keys, "payment_method").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("amount").alias("revenue"),
+        F.count("amount").alias("amounts"),
+        F.min("payment_date").alias("first"),
+        F.max("payment_date").alias("last"),
+        count_if(F.col("status") == F.lit("completed")).alias("completed"),
     )
-    preferred = mode_table(payments, keys, "payment_method", "preferred_payment_method")
-    return _join_group_tables(main, preferred, keys).select(
-        *keys, "total_payments", "total_revenue", "first_payment", "last_payment",
-        "avg_payment_amount", "preferred_payment_method", "successful_payments",
+    method = F.col("payment_method")
+    mean = F.sum("revenue") / F.nullif(F.sum("amounts"), F.lit(0))
+    return by_method.groupBy(*keys).agg(
+        F.sum("n").alias("total_payments"),
+        F.sum("revenue").cast(_sum_type(payments)).alias("total_revenue"),
+        F.min("first").alias("first_payment"),
+        F.max("last").alias("last_payment"),
+        mean.cast(mean_type).alias("avg_payment_amount"),
+        # the most frequent method, the smallest on ties; NULL is none
+        F.min_by(method, F.when(method.isNotNull(), F.struct(-F.col("n"), method))).alias(
+            "preferred_payment_method"
+        ),
+        F.sum("completed").alias("successful_payments"),
     )
 
 
+def _sum_type(payments: DataFrame):
+    return payments.select(F.sum("amount")).schema[0].dataType
+
+
 def mart_genre_summary(content_mart: DataFrame) -> DataFrame:
     """Per genre, number of mart rows and the mean of ``avg_rating``."""
     return content_mart.groupBy("genre").agg(

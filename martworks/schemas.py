@@ -15,7 +15,7 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 
 # ---------------------------------------------------------------- sensor readings (CSV)
-SENSOR_CSV = _struct(("id", S), ("room_id/id", S), ("noted_date", S), ("temp", I), ("out/in", S))
+SENSOR_CSV = _struct(("id", S), ("room_id/id", S), ("noted_date", S), ("temp", T.DoubleType()), ("out/in", S))
 
 # ---------------------------------------------------------------- pets (JSON object with an array)
 PET = _struct(
@@ -78,30 +78,29 @@ NUTRITION_KEYS = ("name", "manufacturer")
 
 # ---------------------------------------------------------------- document collections (JSON lines)
 DEVICE = _struct(("type", S), ("os", S), ("browser", S))
-INTERACTION = _struct(("type", S), ("timestamp", S))
-FILTERS = _struct(("genre", S), ("year_from", I), ("rating_min", I))
 
+# Numbers and the fields that are kept as JSON text are declared as text: T5 parses the
+# numbers whether the document holds 90, 90.0 or "90", and no nested field is cut off.
 RAW_COLLECTIONS = {
     "movie_views": _struct(
         ("_id", S), ("view_id", S), ("user_id", S), ("movie_id", S), ("movie_title", S),
-        ("genre", S), ("start_time", S), ("end_time", S), ("watch_duration_minutes", I),
-        ("completed", T.BooleanType()), ("device", DEVICE),
-        ("interactions", T.ArrayType(INTERACTION)),
+        ("genre", S), ("start_time", S), ("end_time", S), ("watch_duration_minutes", S),
+        ("completed", T.BooleanType()), ("device", DEVICE), ("interactions", S),
     ),
     "user_payments": _struct(
         ("_id", S), ("payment_id", S), ("user_id", S), ("payment_date", S),
-        ("amount", T.DoubleType()), ("currency", S), ("payment_method", S),
+        ("amount", S), ("currency", S), ("payment_method", S),
         ("subscription_plan", S), ("status", S), ("next_billing_date", S),
         ("promo_code_applied", S),
     ),
     "content_ratings": _struct(
         ("_id", S), ("rating_id", S), ("user_id", S), ("movie_id", S), ("movie_title", S),
-        ("rating", I), ("review_text", S), ("created_at", S), ("helpful_count", I),
-        ("reports_count", I), ("moderation_flag", T.BooleanType()),
+        ("rating", S), ("review_text", S), ("created_at", S), ("helpful_count", S),
+        ("reports_count", S), ("moderation_flag", T.BooleanType()),
     ),
     "search_queries": _struct(
         ("_id", S), ("search_id", S), ("user_id", S), ("query", S), ("timestamp", S),
-        ("filters_applied", FILTERS), ("results_count", I), ("clicked_movie_id", S),
+        ("filters_applied", S), ("results_count", S), ("clicked_movie_id", S),
         ("session_id", S),
     ),
 }

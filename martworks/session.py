@@ -26,7 +26,8 @@ CORE_CONF = {
     # them); AQE broadcasts a join side after its shuffle stage has run and its real
     # size is known to be under the limit.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # The limit is compared with compressed shuffle bytes, so it is kept low.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "16MB",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
 }
@@ -101,6 +102,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: on a cluster intermediate tables need a folder "
+            "that the driver and all executors share"
+        )
     local = tempfile.mkdtemp(prefix="martworks-ckpt-")
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)

@@ -27,12 +27,15 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", "true").csv(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``; None only if there is no such folder or it holds no
+    data files. Any other analysis error is raised."""
     try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except AnalysisException:
-        return False
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def append_table(df: DataFrame, target: str, spark: SparkSession | None = None) -> None:
@@ -42,9 +45,9 @@ def append_table(df: DataFrame, target: str, spark: SparkSession | None = None)
     """
     spark = spark or df.sparkSession
     if "/" in target:
-        if _exists(spark, target):
-            cols = spark.read.parquet(target).columns
-            df = df.select(*cols)
+        existing = stored_table(spark, target)
+        if existing is not None:
+            df = df.select(*existing.columns)
         df.write.mode("append").parquet(target)
         return
     # saveAsTable in append mode resolves columns by name, unlike insertInto
@@ -82,11 +85,12 @@ def replace_table(spark: SparkSession, df: DataFrame, table: str) -> None:
     """Replace ``table`` by ``df`` even when ``df`` reads ``table`` (merges).
 
     ``df`` is written in full to ``<table>__stg`` first; only then the old table is
-    dropped and the staging table renamed. Call :func:`recover_table` before reading
-    the table in a run that follows a failure.
+    dropped and the staging table renamed. A swap that an earlier run left half done is
+    finished first. Call :func:`recover_table` before reading the table in a run that
+    follows a failure.
     """
+    recover_table(spark, table)
     stage = f"{table}__stg"
-    spark.sql(f"DROP TABLE IF EXISTS {stage}")
     df.write.mode("overwrite").saveAsTable(stage)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"ALTER TABLE {stage} RENAME TO {table}")

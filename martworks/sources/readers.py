@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martworks.operators.topn import with_arrival_order
+
 
 def read_csv(
     spark: SparkSession,
@@ -45,11 +47,12 @@ def read_json_records(
 
     ``multi_line=True`` reads files that each hold one JSON object (one task per file);
     ``False`` reads JSON lines where every line is such a document, which splits.
-    A document without the array, or with an empty one, gives no rows.
-    ``position_col`` adds the arrival order (file, element index) as a struct.
+    A document without the array, or with an empty one, gives no rows; a malformed one
+    fails the job. ``position_col`` adds the arrival order (file, element index) as a struct.
     """
     schema = T.StructType([T.StructField(field, T.ArrayType(element_schema))])
-    docs = spark.read.schema(schema).option("multiLine", str(multi_line).lower()).json(path)
+    reader = spark.read.schema(schema).option("mode", "FAILFAST")
+    docs = reader.option("multiLine", str(multi_line).lower()).json(path)
     if position_col is None:
         return docs.select(F.inline(F.col(field)))
     exploded = docs.select(
@@ -67,6 +70,7 @@ def read_xml_records(
     schema: T.StructType,
     direct_children_only: bool = False,
     ignore_surrounding_spaces: bool = False,
+    position_col: str | None = None,
 ) -> DataFrame:
     """One row per ``row_tag`` element; attributes are fields ``_name``, element text
     with attributes is ``_VALUE``; missing elements are NULL.
@@ -75,18 +79,29 @@ def read_xml_records(
     as arrays and take element 0 to get the first one (X2). ``rowTag`` also matches
     ``row_tag`` elements nested deeper; with ``direct_children_only`` every file is
     parsed whole and only children of the root element are kept (X1), one task per file.
+    A malformed document fails the job. ``position_col`` adds the arrival order (file,
+    position in it) as a struct, so that files come in the order of their names.
     """
-    opts = {"ignoreSurroundingSpaces": str(ignore_surrounding_spaces).lower()}
+    opts = {
+        "ignoreSurroundingSpaces": str(ignore_surrounding_spaces).lower(),
+        "mode": "FAILFAST",
+    }
     if not direct_children_only:
         reader = spark.read.format("xml").option("rowTag", row_tag).schema(schema)
         for key, value in opts.items():
             reader = reader.option(key, value)
-        return reader.load(path)
+        rows = reader.load(path)
+        return with_arrival_order(rows, position_col) if position_col else rows
     doc = T.StructType([T.StructField(row_tag, T.ArrayType(schema))])
     files = spark.read.text(path, wholetext=True)
-    return files.select(F.from_xml("value", doc, opts).alias("_doc")).select(
-        F.inline(F.col(f"_doc.{row_tag}"))
+    parsed = files.select(
+        F.col("_metadata.file_path").alias("_file"), F.from_xml("value", doc, opts).alias("_doc")
     )
+    rows = parsed.select("_file", F.posexplode(F.col(f"_doc.{row_tag}")).alias("_pos", "_rec"))
+    if position_col is None:
+        return rows.select("_rec.*")
+    place = F.struct(F.col("_file").alias("file"), F.col("_pos").alias("pos"))
+    return rows.select("_rec.*", place.alias(position_col))
 
 
 def read_collection(
@@ -94,16 +109,28 @@ def read_collection(
     path: str,
     schema: T.StructType,
     drop: Sequence[str] = ("_id",),
+    undeclared_col: str | None = None,
 ) -> DataFrame:
     """Full scan of an exported document collection (JSON lines) without ``_id``.
 
-    Timestamp fields declared in the schema accept ISO text with up to microseconds.
+    Timestamp fields declared in the schema accept ISO text with up to microseconds; a
+    field declared as text takes the document's own text for it, be it a number or nested.
+    A malformed line fails the job. ``undeclared_col`` adds the names of the fields that a
+    document has and the schema lacks (an array, NULL if there are none).
     """
-    df = (
-        spark.read.schema(schema)
-        .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
-        .json(path)
-    )
+    opts = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]", "mode": "FAILFAST"}
+    if undeclared_col is None:
+        df = spark.read.schema(schema).options(**opts).json(path)
+    else:
+        lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
+        names = F.array(*[F.lit(f.name) for f in schema.fields])
+        extra = F.array_except(F.json_object_keys("value"), names)
+        lines = lines.select(
+            F.from_json("value", schema, opts).alias("_doc"),
+            F.when(F.size(extra) > 0, extra).alias(undeclared_col),
+            F.col("_metadata"),
+        )
+        df = lines.select("_doc.*", undeclared_col)
     return df.drop(*[c for c in drop if c in df.columns])
 
 

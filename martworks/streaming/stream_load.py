@@ -5,37 +5,49 @@ list of files it has processed in the checkpoint, so every file is read once, an
 ``trigger(availableNow=True)`` processes what has arrived and stops (a scheduled batch
 run with streaming bookkeeping).
 
-The target is a Parquet folder partitioned by micro-batch id. Each micro-batch
+The target is a Parquet folder partitioned by run and micro-batch id. The run id is the
+one the checkpoint carries: a restart continues its run, a new checkpoint starts another
+one and never touches partitions of earlier runs. Each micro-batch
 
-* reduces itself to its first row per key (M1),
+* reduces itself to one row per key (M1),
 * drops keys the target already holds outside its own partition (M3), and
 * overwrites only its own partition (dynamic partition overwrite).
 
 A micro-batch that is replayed after a failure therefore rewrites exactly the rows it
-wrote before; nothing is lost or doubled.
+wrote before; nothing is lost or doubled. The micro-batch is staged first; its distinct
+keys are broadcast when they are few, so a small one does not shuffle the target.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from martworks.operators.merge import batch_keys, dedupe_first
+from martworks.operators.merge import one_per_key
+from martworks.operators.transform import SchemaError
+from martworks.sinks.merge_writers import Staging
+from martworks.sinks.writers import stored_table
 
-BATCH_COL = "_batch_id"
+RUN_COL, BATCH_COL = "_run_id", "_batch_id"
 
 
 def read_target(spark: SparkSession, target_path: str, schema: T.StructType) -> DataFrame:
-    """The loaded rows, without the batch partition column."""
-    try:
-        return spark.read.parquet(target_path).drop(BATCH_COL)
-    except AnalysisException:
+    """The loaded rows, without the partition columns."""
+    stored = stored_table(spark, target_path)
+    if stored is None:
         return spark.createDataFrame([], schema)
+    return stored.drop(RUN_COL, BATCH_COL)
+
+
+def checkpoint_run(spark: SparkSession, checkpoint: str) -> str:
+    """The id that the checkpoint gave its query; it stays the same over restarts."""
+    line = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return json.loads(line)["id"]
 
 
 def batch_merger(
@@ -44,30 +56,37 @@ def batch_merger(
     keys: Sequence[str],
     cols: Sequence[str],
     order_by: Sequence[str] | None = None,
+    run_id: str | Callable[[], str] = "manual",
 ):
     """The ``foreachBatch`` function: insert-ignore one micro-batch into its own partition.
 
-    Calling it again with the same ``batch_id`` (a replay after a failure) rewrites the
-    same partition with the same rows.
+    Calling it again with the same run and ``batch_id`` (a replay after a failure) rewrites
+    the same partition with the same rows. A target without the two partition columns was
+    written by something else and raises.
     """
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = dedupe_first(batch, keys, order_by) if order_by else batch
-        try:
-            existing = spark.read.parquet(target_path).where(F.col(BATCH_COL) != F.lit(batch_id))
-            # only the target keys this micro-batch carries take part in the anti join
-            present = existing.select(*keys).join(batch_keys(rows, keys), on=list(keys), how="left_semi")
-            fresh = rows.join(present, on=list(keys), how="left_anti")
-        except AnalysisException:
-            fresh = rows
-        (
-            fresh.select(*cols)
-            .withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BATCH_COL)
-            .parquet(target_path)
-        )
+        run = run_id if isinstance(run_id, str) else run_id()
+        with Staging(spark) as staging:
+            staged = staging.table(batch, "micro-batch")
+            fresh = one_per_key(staged, keys, order_by)
+            stored = stored_table(spark, target_path)
+            if stored is not None:
+                if not {RUN_COL, BATCH_COL} <= set(stored.columns):
+                    raise SchemaError(f"{target_path} is not partitioned by {RUN_COL}, {BATCH_COL}")
+                own = (F.col(RUN_COL) == F.lit(run)) & (F.col(BATCH_COL) == F.lit(batch_id))
+                # only the target keys this micro-batch carries take part in the anti join
+                carried = staging.keys(staged, keys)
+                present = stored.where(~own).select(*keys).join(carried, list(keys), "left_semi")
+                fresh = fresh.join(present, on=list(keys), how="left_anti")
+            (
+                fresh.select(*cols)
+                .withColumns({RUN_COL: F.lit(run), BATCH_COL: F.lit(batch_id).cast("long")})
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(RUN_COL, BATCH_COL)
+                .parquet(target_path)
+            )
 
     return merge_batch
 
@@ -94,7 +113,10 @@ def stream_load(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     source = reader.load(source_dir)
-    merge_batch = batch_merger(spark, target_path, keys, [f.name for f in schema.fields], order_by)
+    merge_batch = batch_merger(
+        spark, target_path, keys, [f.name for f in schema.fields], order_by,
+        run_id=lambda: checkpoint_run(spark, checkpoint),
+    )
     return (
         source.writeStream.foreachBatch(merge_batch)
         .option("checkpointLocation", checkpoint)

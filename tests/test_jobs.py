@@ -155,7 +155,7 @@ def test_replicate_and_build_marts(spark, tmp_path):
     assert {r["payment_method_category"] for r in pay} <= {"card", "digital", "voucher"}
     searches = frozen["search_queries"].collect()
     assert {r["filters_applied"] for r in searches if r["filters_applied"].startswith("{}")} <= {"{}"}
-    out = jobs.build_marts(frozen)
+    out = jobs.build_marts(frozen, str(tmp_path / "marts"))
     assert out["mart_user_activity"].count() > 0
     assert out["distinct_users"].first()["unique_users"] > 0
     rates = {r["search_to_view_rate"] for r in out["mart_content_performance"].collect()}
@@ -175,5 +175,5 @@ def test_replicate_in_place_twice_same_day(spark, tmp_path):
     second = {k: sorted(map(tuple, spark.read.parquet(p).collect()), key=repr) for k, p in targets.items()}
     assert first == second
     # the daily flow: marts over the written tables
-    out = jobs.build_marts({k: spark.read.parquet(p) for k, p in targets.items()})
+    out = jobs.build_marts({k: spark.read.parquet(p) for k, p in targets.items()}, str(tmp_path / "marts"))
     assert out["mart_payment_analysis"].count() > 0 and out["genre_summary"].count() > 0

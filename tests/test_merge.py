@@ -129,14 +129,16 @@ def test_reload_day_prunes_load_day_partitions(spark, tmp_path):
     assert got["k19"] == 9 and got["new"] == 9 and "k20" not in got and got["k18"] == 18
 
 
-def test_hot_key_and_null_keys_dedupe_without_window(spark):
+def test_hot_key_is_cut_down_before_the_shuffle(spark):
     # a third of the rows share one key; many rows have a NULL key
     rows = [("hot", 1, i, "x", i) for i in range(300)] + [(f"k{i}", 1, i, "y", i) for i in range(300)]
     rows += [(None, 1, i, "n", i) for i in range(300)]
     batch = spark.createDataFrame(rows, B_SCHEMA)
     out = merge.dedupe_first(batch, ["k", "k2"], ["seq"])
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan
+    # one row per task and key goes into the exchange
+    final, exchange, partial = (plan.index(x) for x in ("row_number(), 1, Final", "Exchange", "row_number(), 1, Partial"))
+    assert final < exchange < partial
     got = out.collect()
     assert len(got) == 1 + 300 + 300
     assert [r["a"] for r in got if r["k"] == "hot"] == [0]

@@ -33,7 +33,7 @@ def test_stream_load_equals_batch_insert_ignore(spark, tmp_path):
 
 
 def test_replayed_micro_batch_neither_loses_nor_doubles(spark, tmp_path):
-    from martworks.streaming.stream_load import BATCH_COL, batch_merger
+    from martworks.streaming.stream_load import BATCH_COL, RUN_COL, batch_merger
 
     target = str(tmp_path / "target")
     merge_batch = batch_merger(spark, target, ["id"], ["id", "v"])
@@ -41,6 +41,34 @@ def test_replayed_micro_batch_neither_loses_nor_doubles(spark, tmp_path):
     b1 = spark.createDataFrame([(2, "late"), (3, "c")], "id long, v string")
     merge_batch(b0, 0)
     merge_batch(b1, 1)
-    once = _rows(spark.read.parquet(target).drop(BATCH_COL))
+    once = _rows(spark.read.parquet(target).drop(RUN_COL, BATCH_COL))
     merge_batch(b1, 1)  # the same micro-batch again, as after a failure before its commit
-    assert _rows(spark.read.parquet(target).drop(BATCH_COL)) == once == [(1, "a"), (2, "b"), (3, "c")]
+    assert _rows(spark.read.parquet(target).drop(RUN_COL, BATCH_COL)) == once == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_new_checkpoint_keeps_what_an_earlier_run_loaded(spark, tmp_path):
+    target = str(tmp_path / "target")
+    schema = "id long, v string"
+    for run, rows in enumerate([[(1, "a"), (2, "b")], [(2, "late"), (3, "c")]]):
+        src = tmp_path / f"landing{run}"
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(src / "f"))
+        run_stream_load(
+            spark, str(src), spark.createDataFrame([], schema).schema, target, ["id"],
+            str(tmp_path / f"ckpt{run}"), recursive=True, path_glob="*.parquet",
+        )
+    got = read_target(spark, target, spark.createDataFrame([], schema).schema)
+    assert _rows(got) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_target_of_another_layout_is_refused(spark, tmp_path):
+    import pytest
+
+    from martworks.operators.transform import SchemaError
+    from martworks.streaming.stream_load import batch_merger
+
+    target = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "a")], "id long, v string")
+    rows.write.parquet(target)
+    with pytest.raises(SchemaError):
+        batch_merger(spark, target, ["id"], ["id", "v"])(rows, 0)
+    assert _rows(spark.read.parquet(target)) == [(1, "a")]

@@ -11,7 +11,7 @@ def test_exact_quantiles_match_numpy_through_narrowing(spark, seed):
     vals += [0.25] * 1500  # a heavy hitter: a third of the rows
     df = spark.createDataFrame([(float(v),) for v in vals] + [(None,)], "v double")
     probs = [0.0, 0.05, 0.5, 0.95, 1.0]
-    got = exact_quantiles(df, "v", probs, buckets=8, max_local_rows=100)
+    got = exact_quantiles(df, "v", probs)
     want = np.quantile(np.array(vals), probs)
     assert np.allclose(got, want, rtol=0, atol=1e-12)
 
@@ -36,6 +36,19 @@ def test_exact_quantiles_with_infinities(spark):
     # sorted: -inf 1 2 2 3 inf; positions 0, 1.25, 2.5, 3.75 (numpy's interpolation
     # formula turns the exact order statistic -inf at q=0 into nan)
     want = ["-inf", "1.25", "2.0", "2.75"]
-    for mlr in (100, 1):
-        got = exact_quantiles(df, "v", probs, buckets=4, max_local_rows=mlr)
-        assert [str(x) for x in got] == want
+    got = exact_quantiles(df, "v", probs)
+    assert [str(x) for x in got] == want
+
+
+def test_exact_quantiles_of_unevenly_spaced_values(spark):
+    rng = np.random.default_rng(4)
+    vals = np.concatenate([10 ** rng.uniform(-12, 12, 4000), -(10 ** rng.uniform(-3, 9, 2000))])
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double").repartition(4)
+    probs = [0.0, 0.01, 0.333, 0.5, 0.95, 1.0]
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("quantiles", "")
+    got = exact_quantiles(df, "v", probs)
+    n = len(jobs.getJobIdsForGroup("quantiles"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert np.allclose(got, np.quantile(vals, probs), rtol=1e-12, atol=0)
+    assert n <= 10
