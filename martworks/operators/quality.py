@@ -36,6 +36,31 @@ def require_nonempty(tables: Mapping[str, DataFrame]) -> None:
             raise DataQualityError(f"Source table {name} is empty")
 
 
+def gate_report(
+    nonempty: Mapping[str, DataFrame],
+    records: Mapping[str, DataFrame],
+    not_null: Mapping[str, tuple[DataFrame, Sequence[str]]],
+) -> DataFrame:
+    """V2, V5 and V6 as rows (gate, table_name, failures) instead of an error: 1 for an
+    empty table, the number of NULLs for a NOT NULL column (``table.column``)."""
+    parts = []
+    for gate, tables in (("V2", nonempty), ("V5", records)):
+        for name, df in tables.items():
+            empty = (F.count(F.lit(1)) == 0).cast("bigint")
+            parts.append(df.agg(empty.alias("failures")).withColumn("at", F.lit(f"{gate}|{name}")))
+    for name, (df, cols) in not_null.items():
+        counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+        rows = F.explode(F.array(*[
+            F.struct(F.col(c).alias("failures"), F.lit(f"V6|{name}.{c}").alias("at")) for c in cols
+        ]))
+        parts.append(counts.select(rows.alias("r")).select("r.*"))
+    return reduce(DataFrame.unionByName, parts).select(
+        F.split_part("at", F.lit("|"), F.lit(1)).alias("gate"),
+        F.split_part("at", F.lit("|"), F.lit(2)).alias("table_name"),
+        "failures",
+    )
+
+
 def load_report(table: DataFrame, date_col: str, new_flag: str | None = None) -> DataFrame:
     """V3: total rows, first and last date, and rows added in this run.
 

@@ -125,13 +125,17 @@ def pets_batch(records: DataFrame) -> DataFrame:
 
 
 def json_job(
-    spark: SparkSession, path: str, target: DataFrame | None, as_of: datetime, table: str | None = None
+    spark: SparkSession, path: str, target: DataFrame | None, as_of: datetime, table: str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """S3 -> V5 -> T10 -> T14 -> M2 (keys name, species, birthyear; last wins).
 
-    Returns the new table; with ``table`` it is also written by the staged swap.
+    Returns the new table; with ``table`` it is also written by the staged swap. For large
+    inputs use JSON lines, one document a line (``multi_line=False``): they split.
     """
-    records = readers.read_json_records(spark, path, "pets", schemas.PET, position_col=ARRIVAL)
+    records = readers.read_json_records(
+        spark, path, "pets", schemas.PET, multi_line=multi_line, position_col=ARRIVAL
+    )
     batch = pets_batch(quality.require_records(records, "pets document"))
     if target is None:
         target = spark.createDataFrame([], schemas.PETS_TABLE)

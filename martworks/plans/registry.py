@@ -67,14 +67,6 @@ def q_e1_user_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(_user_activity(spark, sf_dir))
 
 
-@register(
-    "r2_favourite_genre_summary",
-    f"SELECT favorite_genre, COUNT(*) AS users FROM ({_E1_SQL}) GROUP BY favorite_genre",
-)
-def q_r2_favourite_genre_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.mart_favourite_genre_summary(_user_activity(spark, sf_dir))
-
-
 _E2_FROM = """
 WITH mv AS (
     SELECT o_orderkey AS view_id, CAST(year(o_orderdate) AS INTEGER) AS user_id,
@@ -126,18 +118,6 @@ def q_e2_content_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(_content(spark, sf_dir))
 
 
-@register(
-    "r1_genre_summary",
-    _E2_FROM
-    + """
-SELECT genre, COUNT(*) AS total_movies, ROUND(AVG(avg_rating), 6) AS avg_rating
-FROM content GROUP BY genre
-""",
-)
-def q_r1_genre_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_doubles(marts.mart_genre_summary(_content(spark, sf_dir)))
-
-
 _E3_SQL = """
 SELECT o_custkey AS user_id, o_orderpriority AS subscription_plan,
        COUNT(*) AS total_payments,
@@ -161,14 +141,6 @@ def q_e3_payment_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.mart_payment_analysis(_payments(spark, sf_dir))
 
 
-@register(
-    "r3_plan_summary",
-    f"SELECT subscription_plan, COUNT(*) AS users FROM ({_E3_SQL}) GROUP BY subscription_plan",
-)
-def q_r3_plan_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.mart_plan_summary(marts.mart_payment_analysis(_payments(spark, sf_dir)))
-
-
 @register("r4_distinct_users", "SELECT COUNT(DISTINCT o_custkey) AS unique_users FROM orders")
 def q_r4_distinct_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.distinct_users(_payments(spark, sf_dir))
@@ -387,12 +359,6 @@ def _wm_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.where(F.col("ts") < transform.as_timestamp("2024-01-15 00:00:00"))
 
 
-@register("m5_high_watermark", f"SELECT MAX(ts) AS watermark FROM ({_WM_TARGET})")
-def q_m5_high_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the operator itself returns a scalar; as a query it is the one-row aggregate
-    return _wm_target(spark, sf_dir).agg(F.max("ts").alias("watermark"))
-
-
 _M6_SQL = f"""
 SELECT *, false AS is_new FROM ({_WM_TARGET})
 UNION ALL
@@ -617,7 +583,7 @@ def q_v4_table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Each writes whole tables to a fresh folder under the shared checkpoint folder and
 # reads them back with the operator under test.
 
-from martworks.session import work_path  # noqa: E402
+from martworks.session import is_folder, table_path, work_path  # noqa: E402
 from martworks.sinks import writers  # noqa: E402
 from martworks.sources import readers  # noqa: E402
 from martworks.streaming.stream_load import read_target, run_stream_load  # noqa: E402
@@ -691,7 +657,10 @@ def q_k4_full_refresh_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = "mw_" + path.rsplit("-", 1)[-1]
     writers.full_refresh(part.where(F.col("p_size") < 10), table, path=path)
     writers.full_refresh(part, table, path=path)
-    return readers.read_table(spark, table)
+    out = readers.read_table(spark, table)
+    out.schema  # noqa: B018  (resolved before the catalog entry goes; the files stay)
+    spark.sql(f"DROP TABLE {table}")
+    return out
 
 
 @register("m7_stream_load", "SELECT * FROM events")
@@ -699,10 +668,13 @@ def q_m7_stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     events_schema = load(spark, sf_dir, "events").schema
     target = work_path(spark, "m7-target")
     checkpoint = work_path(spark, "m7-checkpoint")
+    source = table_path(sf_dir, "events")
+    # a table is a folder of files, or one file beside the other tables
+    where = (source, {}) if is_folder(spark, source) else (sf_dir, {"path_glob": "events.parquet"})
     for _ in range(2):  # the second run finds no new file and adds nothing
         run_stream_load(
-            spark, sf_dir, events_schema, target, ["event_id"], checkpoint,
-            order_by=["ts"], path_glob="events.parquet",
+            spark, where[0], events_schema, target, ["event_id"], checkpoint,
+            order_by=["ts"], **where[1],
         )
     return read_target(spark, target, events_schema)
 
@@ -937,3 +909,6 @@ def q_m2_upsert_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
         buckets=8,
     )
     return round_doubles(spark.read.parquet(path).select(*cols, "loaded_at"))
+
+
+from martworks.plans import registry_jobs  # noqa: E402,F401  (registers the job queries)

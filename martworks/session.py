@@ -119,5 +119,11 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{base}/work/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getFileStatus(target).isDirectory()
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
