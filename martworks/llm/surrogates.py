@@ -79,16 +79,17 @@ PATTERNS = {
     r"(?<=\.\p{L}{2,24})",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-    "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|(?:AKIA|ASIA)[0-9A-Z]{16}"
+    "secret": r"(?<![\p{L}\p{N}])(?:(?=[a-f]*\d)[0-9a-f]{32,128}|(?=[A-F]*\d)[0-9A-F]{32,128}|(?:AKIA|ASIA)[0-9A-Z]{16}"
     r"|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9]{20,})(?![\p{L}\p{N}])",
     "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}"
     r"|(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4})(?!\d)",
     "ssn": r"(?<![\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{N}-])",
     "card": r"(?<![\p{L}\p{N}])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\p{L}\p{N}])",
-    "person": rf"(?<![\p{{L}}\p{{N}}])(?:(?:{'|'.join(ADDRESS.values())})\.? {_NAME}(?: {_NAME}){{0,2}}"
+    "person": rf"(?=[\p{{Lu}}г])(?<![\p{{L}}\p{{N}}])(?:(?:{'|'.join(ADDRESS.values())})\.? {_NAME}(?: {_NAME}){{0,2}}"
     rf"|(?:{_KNOWN}) {_NAME})(?![\p{{L}}\p{{N}}])",
 }
 _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+_OTHER = "|".join(f"(?:{p})" for kind, p in PATTERNS.items() if kind != "person")
 _FEMALE = rf"^(?:{ADDRESS['f']})\b"
 _MALE = rf"^(?:{ADDRESS['m']})\b"
 _TITLE = rf"^(?:{'|'.join(ADDRESS.values())})\.? "
@@ -343,6 +344,16 @@ def _render(mention: Column, cores: Column) -> Column:
     )
 
 
+def _has_entity(text: Column) -> Column:
+    """Whether a text matches any pattern. All but persons hold one of a few signs, which
+    most texts lack: those are looked for first."""
+    signs = text.rlike("[0-9@]")
+    for prefix in ("AKIA", "ASIA", "sk-", "_"):
+        signs = signs | text.contains(prefix)
+    found = (signs & text.rlike(_OTHER)) | text.rlike(PATTERNS["person"])
+    return F.coalesce(found, F.lit(False))
+
+
 def _mentions(text: Column) -> tuple[Column, Column]:
     """(pattern of a text, its mentions): the entities and bare names of its persons."""
     found = F.regexp_extract_all(text, F.lit(_ANY), F.lit(0))
@@ -364,7 +375,7 @@ def pseudonymize(docs: DataFrame, column: str = "text", key: str = DEFAULT_KEY)
     tag = uuid.uuid4().hex[:8]
     h1, h2, cores = f"h1_{tag}", f"h2_{tag}", f"cores_{tag}"
     text = F.col(f"`{column}`")
-    hit = F.coalesce(text.rlike(_ANY), F.lit(False))
+    hit = _has_entity(text)
     hashes = [F.xxhash64(text).alias(h1), F.xxhash64(F.lit(tag), F.reverse(text)).alias(h2)]
     found = (
         docs.where(hit)
@@ -390,7 +401,9 @@ def pseudonymize(docs: DataFrame, column: str = "text", key: str = DEFAULT_KEY)
     rebuilt = F.concat(
         F.array_join(
             F.transform(
-                mentions, lambda m, i: F.concat(F.get(gaps, i), _render(m, F.col(cores)))
+                mentions,
+                # a mention without a replacement would stay; its text is never lost
+                lambda m, i: F.concat(F.get(gaps, i), F.coalesce(_render(m, F.col(cores)), m)),
             ),
             "",
         ),
