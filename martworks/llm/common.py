@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from martworks.session import work_path
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,13 @@ def utf8_batch(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]], off - off[0]
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 2048) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows`` rows, so that what is made of one is small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``limit`` bytes each; a longer row is a range of its own."""
     n, at = len(offsets) - 1, 0

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from martworks.llm.common import staged
 
 
-def _mark(edges: DataFrame) -> tuple:
-    """One row that changes when the set of edges does."""
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+def _staged_edges(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges written out, and a mark that changes when the set of them does."""
+    seen = Observation()
+    marks = F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")
+    edges = staged(edges.distinct().observe(seen, *marks), "edges")
+    return edges, (seen.get.get("n"), seen.get.get("x"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -23,41 +26,28 @@ def components(edges: DataFrame) -> DataFrame:
     adaptive execution. Each round is a staged table. Null ends and loops are left out;
     an empty graph gives no rows.
     """
-    edges = staged(
-        edges.where("a <> b")
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct(),
-        "edges",
+    edges = edges.where("a <> b")
+    edges, before = _staged_edges(
+        edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     )
-    before = _mark(edges)
     while True:
         # large star: both directions, link larger neighbours to the smallest known node
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select(
-            "a", F.least("a", "m").alias("m")
-        )
+        low = both.groupBy("a").agg(F.min("b").alias("m"))
+        low = low.select("a", F.least("a", "m").alias("m"))
         large = (
-            both.join(low, "a")
-            .where("b > a")
-            .select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .where("a <> b")
-            .distinct()
+            both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         )
         # small star: smaller neighbours go to the smallest of them
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(low, "a")
-        small = (
-            joined.select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .union(low.select("a", F.col("m").alias("b")))
-            .where("a <> b")
-            .distinct()
+        small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        edges, mark = _staged_edges(
+            small.union(low.select("a", F.col("m").alias("b"))).where("a <> b")
         )
-        after = staged(small, "edges")
-        mark = _mark(after)
-        edges = after
         if mark == before:
             break
         before = mark
-    roots = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
-    centres = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-    return roots.union(centres)
+    # a star for each component: its smallest node is no first end
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
+        edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+    )

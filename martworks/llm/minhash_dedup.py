@@ -2,20 +2,25 @@
 
 A document is the set of its distinct ``width``-word shingles, each one 64-bit hash. Equal
 sets form a class at once (two 64-bit sums over the set). The sketch of a class is the
-``k`` smallest hashes of its set. Inverted lists hold runs of retained values: ``r``
-neighbours in hash order. Two sets with Jaccard ``t`` or more differ in at most ``d`` =
-floor((1 - t) u) of the ``u`` values of their union, so the shared values form at most
-``d + 1`` runs and the longest has (u - d) / (d + 1) values or more: sets that fit into
-their sketch share a run for certain, larger ones but for a chance below 1e-5 at ``t``
-itself. A passage that many documents share fills few whole runs of otherwise different
-documents, so its lists stay short.
-
-Within a list the members are compared with its smallest member; members that are then
-in one component need no further comparison. What is left over is compared with more and
-more members of the list until each pair of the list is either compared or in one
-component, so no link between components is lost and no list is cut. Pairs pass a test on
-sizes, then the union-sketch estimate (five standard errors below ``t``), then the exact
-Jaccard of the full sets.
+``k`` smallest hashes of its set.
+
+Two sets with Jaccard ``t`` or more leave at most a share of 1 - t of each other unshared,
+and less if their sizes are near. Retained values are ordered by the number of classes that
+retain them, rarest first. The first value that two classes share has only unshared ones
+before it, so its place in either order is within the number they may leave unshared (five
+standard deviations more where a sketch holds only part of a set). Inverted lists hold the
+classes that have a value within that place. Most documents of a corpus have too many
+values of their own to be in any list; strongly edited members of a large group of copies
+spend their places on the values of their edits, and so does a document that shares only a
+passage with others.
+
+Within a list the members are compared with the one that has the fewest rarer values;
+members that are then in one component need no further comparison. Classes in a list that
+still holds several components are listed once more by their full sets, without any spread,
+and compared with more and more members of the list until each pair of it is either compared
+or in one component, so no link between components is lost and no list is cut. Pairs by
+sketches pass a test on sizes, then the union-sketch estimate (five standard errors below
+``t``); all links are confirmed by the exact Jaccard of the full sets.
 
 Defined cases: null or wordless text has no shingle, links with nothing and is its own
 component; fewer words than ``width`` make one shingle of the whole sequence; repeated rows
@@ -33,14 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martworks.llm.common import chunks, staged, text_of, utf8_batch
+from martworks.llm.common import chunks, sliced, staged, text_of, utf8_batch
 from martworks.llm.components import components
 from martworks.llm.words import mix, word_hashes
 
-K = 128
-MAX_RUN = 5
-WIDE_UNION = 1024
-PAIRS_IN_LIST = 128
+K = 192
+SPREAD = 5
+HUBS_IN_LIST = 4096
+WHOLE = 1 << 40
 
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 _ODD = np.uint64(0xA0761D6478BD642F)
@@ -107,62 +112,92 @@ def features(docs: DataFrame, width: int, k: int | None) -> DataFrame:
     return rows.mapInArrow(functools.partial(_featurize, width=width, k=k), _FEATURES)
 
 
-def run_lengths(n: int, num: int, den: int) -> tuple[int, ...]:
-    """Run lengths that a set of ``n`` values must list to meet each possible partner.
+def _fits(n, place, n2, num: int, den: int, k: int):
+    """A shared value at ``place`` of a set of ``n`` may be the first one that it shares
+    with a set of ``n2`` values."""
+    m, m2 = F.least(n, F.lit(k)), F.least(n2, F.lit(k))
+    need = F.lit(num / (num + den)) * (n + n2)
+    # the other sketch may reach less far among the hashes
+    reach = F.least(F.lit(1.0), (m2 / n2) / (m / n))
+    a = F.least(F.lit(1.0), F.greatest(F.lit(0.0), 1 - need / n * reach))
+    part = F.when(reach < 1, F.lit(1.0)).otherwise((n - m) / F.greatest(n - 1, F.lit(1)))
+    return place <= m * a + SPREAD * F.sqrt(m * a * (1 - a) * part) + 1e-6
 
-    For every size ``u`` of a union that the set can be part of, the length that some run
-    of shared values has for certain. Empty where only equal sets reach the threshold.
+
+def _may_link(num: int, den: int, k: int):
+    """Condition on a pair: na, nb are its sizes, pa, pb the places of a shared value."""
+    na, nb, pa_, pb = (F.col(c) for c in ("na", "nb", "pa", "pb"))
+    sized = den * F.least(na, nb) >= num * F.greatest(na, nb)
+    return sized & _fits(na, pa_, nb, num, den, k) & _fits(nb, pb, na, num, den, k)
+
+
+def _with_partners(members: DataFrame, num: int, den: int, k: int) -> DataFrame:
+    """``members`` of lists without those whose place fits no size that their list holds.
+
+    What a place allows is widest for the smallest or the largest partner.
     """
-    lengths = set()
-    for u in range(n, min(n * den // num, WIDE_UNION) + 1):
-        d = u - -(-num * u // den)
-        if d:
-            lengths.add(math.ceil((u - d) / (d + 1)))
-    if n >= WIDE_UNION:
-        lengths = {MAX_RUN}
-    return tuple(sorted({min(x, _settled(num, den)) for x in lengths}))
-
-
-@functools.lru_cache
-def _settled(num: int, den: int) -> int:
-    """The longest run that every large union has for certain, ``MAX_RUN`` at most."""
-    sure = [MAX_RUN]
-    for u in range(64, WIDE_UNION):
-        if d := u - -(-num * u // den):
-            sure.append(math.ceil((u - d) / (d + 1)))
-    return min(sure)
-
-
-def _list_runs(batches, num: int, den: int, k: int):
-    cached = functools.lru_cache(maxsize=4096)(lambda n: run_lengths(n, num, den))
+    n = F.col("n")
+    ends = members.groupBy("key").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    low = F.greatest(F.col("lo"), F.ceil(n * num / den))
+    high = F.least(F.col("hi"), F.floor(n * den / num))
+    kept = members.join(ends, "key").where(
+        _fits(n, F.col("place"), low, num, den, k) | _fits(n, F.col("place"), high, num, den, k)
+    )
+    return kept.drop("lo", "hi")
+
+
+def _retained(batches):
+    """(value, node, n) of each value of a sketch."""
     for batch in batches:
-        keys, nodes = [], []
-        for node, n, vals in zip(
-            batch.column("node").to_pylist(),
-            batch.column("n").to_pylist(),
-            batch.column("vals").to_pylist(),
-        ):
-            kept = np.frombuffer(vals, np.uint64)
-            for r in cached(min(n, WIDE_UNION)):
-                m = len(kept) - r + 1
-                if m > 0:
-                    run = _combine([kept[i : i + m] for i in range(r)])
-                    keys.append(np.unique(run))
-                    nodes.append(np.full(len(keys[-1]), node, np.int64))
-        if keys:
+        kept = [np.frombuffer(v, np.int64) for v in batch.column("vals").to_pylist()]
+        if kept:
+            times = [len(v) for v in kept]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate(keys).astype(np.int64)),
-                    pa.array(np.concatenate(nodes)),
+                    pa.array(np.concatenate(kept)),
+                    *[pa.array(np.repeat(batch.column(c).to_numpy(), times)) for c in ("node", "n")],
                 ],
-                ["key", "node"],
+                ["value", "node", "n"],
             )
 
 
+def postings(classes: DataFrame, num: int, den: int, k: int) -> DataFrame:
+    """(key, node, n, place): the values that a class may first share with another one."""
+    retained = classes.select("node", "n", "vals").mapInArrow(
+        _retained, "value long, node long, n long"
+    )
+    held = retained.groupBy("value").agg(F.count("*").alias("times"), F.min("node").alias("node"))
+    only = F.when(F.col("times") == 1, F.col("node")).alias("only")
+    held = staged(held.select("value", "times", only), "values")
+    own = held.where("times = 1").groupBy(F.col("only").alias("node"))
+    own = own.agg(F.count("*").alias("own"))
+    m, a = F.least("n", F.lit(k)), 1 - num / den
+    spread = F.when(F.col("n") * den <= k * num, F.lit(0.0)).otherwise(
+        SPREAD * F.sqrt(m * a * (1 - a))
+    )
+    most = m * a + spread + 1e-6
+    some = classes.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    some = some.where(F.col("own") <= most).select("node", "n", "vals", "own")
+    shared = (
+        some.mapInArrow(_retained, "value long, node long, n long")
+        .join(held.where("times > 1").select("value", "times"), "value")
+        .groupBy("node")
+        .agg(F.sort_array(F.collect_list(F.struct("times", "value"))).alias("values"))
+    )
+    placed = some.drop("vals").join(shared, "node")
+    placed = placed.select(
+        "node", "n", "own", most.alias("most"), F.posexplode("values").alias("at", "v")
+    )
+    place = F.col("own") + F.col("at")
+    return placed.where(place <= F.col("most")).select(
+        F.col("v.value").alias("key"), "node", "n", place.alias("place")
+    )
+
+
 def _estimated(batches, num: int, den: int, k: int):
     """Pairs that pass the union-sketch estimate; ``sure`` where it is the exact value."""
     t = num / den
-    for batch in batches:
+    for batch in sliced(batches):
         col = {name: batch.column(name).to_pylist() for name in batch.schema.names}
         a, b, sure = [], [], []
         for i in range(batch.num_rows):
@@ -190,7 +225,7 @@ def _estimated(batches, num: int, den: int, k: int):
 
 
 def _confirmed(batches, num: int, den: int):
-    for batch in batches:
+    for batch in sliced(batches):
         col = {name: batch.column(name).to_pylist() for name in batch.schema.names}
         a, b = [], []
         for i in range(batch.num_rows):
@@ -237,6 +272,10 @@ class _Links:
             return sure
         rest = rest.select("a", "b")
         nodes = rest.select(F.col("a").alias("node")).union(rest.select("b")).distinct()
+        return sure.union(self.exact(rest, self.full_sets(nodes)))
+
+    def full_sets(self, nodes: DataFrame) -> DataFrame:
+        """(node, n, vals) with all values of the classes in ``nodes`` (node)."""
         ids = nodes.join(self.classes, "node").select("rep").distinct()
         wanted = self.docs.join(ids, self.docs["doc_id"].eqNullSafe(ids["rep"]), "left_semi")
         full = features(wanted, self.width, None)
@@ -244,65 +283,114 @@ class _Links:
             nodes, "node", "left_semi"
         )
         # one row for each class, should an id or text be repeated
-        full = staged(full.dropDuplicates(["node"]), "sets")
-        exact = _with_values(rest, full, num, den).mapInArrow(
-            functools.partial(_confirmed, num=num, den=den), "a long, b long"
+        return staged(full.dropDuplicates(["node"]), "sets")
+
+    def exact(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """The pairs whose full sets reach the threshold."""
+        return _with_values(pairs, sets, self.num, self.den).mapInArrow(
+            functools.partial(_confirmed, num=self.num, den=self.den), "a long, b long"
         )
-        return sure.union(exact)
 
 
-def _roots(members: DataFrame, links: DataFrame) -> DataFrame:
-    """``members`` with the component that each node is in by the links so far."""
-    found = components(links)
-    return members.join(found, "node", "left").withColumn(
-        "root", F.coalesce("root", "node")
+def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """``comps`` (node, root) after more ``links`` (a, b), by links of whole components."""
+    one = comps.select(F.col("node").alias("a"), F.col("root").alias("ra"))
+    two = comps.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+    ends = links.join(one, "a", "left").join(two, "b", "left")
+    merged = components(
+        ends.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    ).select(F.col("node").alias("root"), F.col("root").alias("over"))
+    every = comps.union(merged.select(F.col("root").alias("node"), "root")).distinct()
+    return staged(
+        every.join(merged, "root", "left").select("node", F.coalesce("over", "root").alias("root")),
+        "components",
+    )
+
+
+def _open(members: DataFrame, comps: DataFrame, sizes: tuple[int, int, int]) -> DataFrame:
+    """Members (key, node, n, place, root, m, main) of lists over several components.
+
+    ``m`` is the length of the list, ``main`` its component with most members in lists.
+    """
+    rooted = members.join(comps, "node", "left")
+    rooted = rooted.withColumn("root", F.coalesce("root", "node"))
+    large = rooted.groupBy("root").agg(F.count("*").alias("of_root"))
+    rooted = rooted.join(large, "root")
+    lists = rooted.groupBy("key").agg(
+        F.min("root").alias("least"),
+        F.max("root").alias("most"),
+        F.max(F.struct("of_root", "root")).alias("main"),
+        F.count("*").alias("m"),
     )
+    lists = lists.where("least <> most").select("key", "m", F.col("main.root").alias("main"))
+    rooted = _with_partners(rooted.drop("of_root").join(lists, "key"), *sizes)
+    return staged(rooted, "open")
 
 
-def class_links(links: _Links, postings: DataFrame) -> DataFrame:
-    """Links (a, b) that connect what the lists connect; see the module's text."""
-    postings = postings.select("key", "node")
-    lists = postings.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("m"))
-    lists = lists.where("m > 1")
-    members = staged(postings.join(lists, "key"), "lists")
-    stars = members.where("node <> hub").select(
-        F.col("hub").alias("a"), F.col("node").alias("b")
+def _by_hubs(links: _Links, lists: DataFrame) -> DataFrame:
+    """(node, root) by the links of each list's members with its hub."""
+    hubs = lists.groupBy("key").agg(
+        F.min(F.struct("place", "node", "n")).alias("hub"), F.count("*").alias("m")
+    )
+    stars = (
+        lists.join(hubs.where("m > 1"), "key")
+        .where("node <> hub.node")
+        .select(
+            F.col("hub.node").alias("a"),
+            F.col("hub.n").alias("na"),
+            F.col("hub.place").alias("pa"),
+            F.col("node").alias("b"),
+            F.col("n").alias("nb"),
+            F.col("place").alias("pb"),
+        )
+        .where(_may_link(links.num, links.den, links.k))
+        .select("a", "b")
+        .distinct()
     )
-    found = staged(links.confirm(stars.distinct()), "links")
-    # a hub has met its whole list: it leaves the list
-    members = members.where("node <> hub").select("key", "node")
+    return staged(components(links.confirm(stars)), "components")
+
+
+def class_components(links: _Links, lists: DataFrame) -> DataFrame:
+    """(node, root) of the classes that have a link; see the module's text."""
+    num, den = links.num, links.den
+    comps = _by_hubs(links, lists)
+    left = _open(lists, comps, (num, den, links.k))
+    if left.isEmpty():
+        return comps
+    # what sketches leave open is listed anew by full sets, where a place has no spread
+    sets = links.full_sets(left.select("node").distinct())
+    members = staged(postings(sets, num, den, WHOLE), "postings")
+    possible = _may_link(num, den, WHOLE)
     step = 0
     while True:
         step += 1
-        rooted = _roots(members, found)
-        open_lists = (
-            rooted.groupBy("key")
-            .agg(
-                F.min("root").alias("least"),
-                F.max("root").alias("most"),
-                F.count("*").alias("m"),
-            )
-            .where("least <> most")
-            .select("key", "m")
-        )
-        rooted = staged(rooted.join(open_lists, "key"), "open")
-        if rooted.isEmpty():
-            return found
-        # all members of a short list, a share of a long one, meet the rest of it
-        share = F.greatest(F.lit(PAIRS_IN_LIST) / F.col("m"), F.lit(0.125))
+        left = _open(members, comps, (num, den, WHOLE))
+        if left.isEmpty():
+            return comps
+        # of a short list all, of a long one a growing share, meet the rest of it; the main
+        # component's members need not, as each pair over components has one of the others
+        share = F.greatest(F.lit(HUBS_IN_LIST) / F.col("m"), F.lit(0.0625 * 2**step))
         draw = F.pmod(F.xxhash64("node", "key", F.lit(step)), F.lit(1 << 20)) / (1 << 20)
-        hub = draw < share
-        hubs = rooted.where(hub).select(
-            "key", F.col("node").alias("a"), F.col("root").alias("ra")
+        hub = (draw < share) & (F.col("root") != F.col("main"))
+        hubs = left.where(hub).select(
+            "key",
+            F.col("node").alias("a"),
+            F.col("root").alias("ra"),
+            F.col("n").alias("na"),
+            F.col("place").alias("pa"),
         )
         pairs = (
-            rooted.join(hubs, "key")
-            .where("root <> ra and node <> a")
-            .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
+            left.withColumnsRenamed({"node": "b", "n": "nb", "place": "pb"})
+            .join(hubs, "key")
+            .where((F.col("root") != F.col("ra")) & possible)
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
             .distinct()
         )
-        found = staged(found.union(links.confirm(pairs)), "links")
-        members = rooted.where(~hub).select("key", "node")
+        found = staged(links.exact(pairs, sets), "links")
+        if not found.isEmpty():
+            comps = _joined(comps, found)
+        # hubs have met their whole list
+        members = left.where(~hub).select("key", "node", "n", "place")
 
 
 def minhash_components(
@@ -312,19 +400,16 @@ def minhash_components(
 
     Documents are linked where ``den`` * intersection >= ``num`` * union of their sets.
     """
-    feats = staged(features(docs, width, k), "features")
-    classes = staged(
-        feats.where("n > 0")
-        .groupBy("h1", "h2")
+    feats = staged(features(docs, width, 0).drop("vals"), "features")
+    sketches = features(docs, width, k).where("n > 0")
+    classes = (
+        sketches.groupBy("h1", "h2")
         .agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("vals").alias("vals"))
-        .withColumnRenamed("h1", "node"),
-        "classes",
-    )
-    postings = classes.select("node", "n", "vals").mapInArrow(
-        functools.partial(_list_runs, num=num, den=den, k=k), "key long, node long"
+        .withColumnRenamed("h1", "node")
     )
-    links = class_links(_Links(docs, classes, width, num, den, k), postings)
-    found = components(links)
+    classes = staged(classes, "classes")
+    lists = staged(postings(classes, num, den, k), "postings")
+    found = class_components(_Links(docs, classes, width, num, den, k), lists)
     grouped = classes.select("node", "h2", "rep").join(found, "node", "left")
     grouped = staged(grouped.withColumn("root", F.coalesce("root", "node")), "grouped")
     least = grouped.groupBy("root").agg(F.min("rep").alias("component_id"))

@@ -4,7 +4,7 @@ import pytest
 
 from martworks.llm import minhash_dedup
 from martworks.llm.components import components as graph_components
-from martworks.llm.minhash_dedup import keep_one_of_each, minhash_components, run_lengths
+from martworks.llm.minhash_dedup import keep_one_of_each, minhash_components
 from tests.conftest import SF_MID
 from tests.llm import reference
 from tests.llm.conftest import EDGE_ROWS, PROSE
@@ -45,7 +45,7 @@ def test_small_sketches_still_find_links(make_docs):
 
 
 def test_rounds_over_long_lists(make_docs, monkeypatch):
-    monkeypatch.setattr(minhash_dedup, "PAIRS_IN_LIST", 3)
+    monkeypatch.setattr(minhash_dedup, "HUBS_IN_LIST", 3)
     texts = variants(60, seed=9)
     want, _ = reference.components(texts, 3, 85, 100)
     rows = minhash_components(make_docs(texts), 3, 85, 100).collect()
@@ -84,19 +84,6 @@ def test_one_of_each_stays(edge_docs, no_docs):
     assert keep_one_of_each(no_docs).count() == 0
 
 
-@pytest.mark.parametrize("num", [80, 85, 90])
-def test_every_union_has_a_run(num):
-    for u in range(1, 400):
-        d = u - -(-num * u // 100)
-        if not d:
-            continue
-        longest = -(-(u - d) // (d + 1))
-        for n in range(u - d, u + 1):
-            assert any(r <= longest for r in run_lengths(n, num, 100)), (u, n)
-        shared = set.intersection(*(set(run_lengths(n, num, 100)) for n in range(u - d, u + 1)))
-        assert any(r <= longest for r in shared), u
-
-
 def test_graph_components(spark):
     draw = random.Random(2)
     pairs = [(draw.randint(0, 300), draw.randint(0, 300)) for _ in range(200)]
