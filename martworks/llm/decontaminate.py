@@ -33,9 +33,10 @@ from pyspark.sql import functions as F
 from martworks.llm.common import text_of
 from martworks.llm.ngrams import code_points, text_chunks
 
-Q = 10
+Q = 8
 SEGMENT = 100
-EDIT_SHARE = 0.08
+EDIT_SHARE = 0.1
+LEAST_SHARED = 4
 SHORTEST = 24
 INDEX_CHARS = 4_000_000
 ENTRIES_AT_ONCE = 1 << 18
@@ -91,8 +92,8 @@ def qgrams(codes: np.ndarray) -> np.ndarray:
 
 
 def budget(length: int) -> int:
-    """Edits that a pattern may have; q-grams must stay to be counted."""
-    return min(int(length * EDIT_SHARE), (length - Q) // Q)
+    """Edits that a pattern may have; over ``LEAST_SHARED`` q-grams must outlast them."""
+    return min(int(length * EDIT_SHARE), (length - Q - LEAST_SHARED) // Q)
 
 
 class Index:
