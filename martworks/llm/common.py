@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+import pickle
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +55,21 @@ def utf8_batch(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]], off - off[0]
 
 
+def _fit(batches, fit: Callable):
+    rows = [tuple(r.values()) for batch in batches for r in batch.to_pylist()]
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(rows))], pa.binary())], ["model"])
+
+
+def fitted(sample: DataFrame, fit: Callable[[list[tuple]], object]) -> object:
+    """What ``fit`` makes of the rows of a bounded sample, worked out in one task.
+
+    Only the model comes to the driver; without a task (no rows) it is fitted to nothing.
+    """
+    made = sample.coalesce(1).mapInArrow(functools.partial(_fit, fit=fit), "model binary")
+    rows = made.collect()
+    return pickle.loads(rows[0]["model"]) if rows else fit([])
+
+
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 2048) -> Iterator[pa.RecordBatch]:
     """The batches in parts of at most ``rows`` rows, so that what is made of one is small."""
     for batch in batches:

@@ -29,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martworks.llm.common import remainder, text_of
+from martworks.llm.common import fitted, remainder, text_of
 from martworks.llm.ngrams import code_points, hashed, text_chunks
 
 BITS = 11
@@ -157,8 +157,12 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5) -> Model:
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs))
     rows = rows.where(F.length("text") <= TRAIN_CHARS).join(sample, "doc_id")
     # an id with several texts could exceed the sample
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * SAMPLE).collect()
-    return Model([r["text"] for r in rows], [r["quality"] for r in rows])
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * SAMPLE)
+    return fitted(rows.select("text", "quality"), _model)
+
+
+def _model(rows: list[tuple[str, int]]) -> Model:
+    return Model([text for text, _ in rows], [label for _, label in rows])
 
 
 def _score(batches, model: Broadcast):

@@ -39,7 +39,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martworks.llm.common import remainder, text_of
+from martworks.llm.common import fitted, remainder, text_of
 from martworks.llm.ngrams import text_chunks
 from martworks.llm.units import Memory
 
@@ -47,8 +47,8 @@ DECAY = 0.65
 SPAN = 6
 LONG = 16
 LANDMARKS = 96
-SAMPLE = 2000
-TRAIN_CHARS = 20_000
+SAMPLE = 1200
+TRAIN_CHARS = 12_000
 TRAIN_SENTENCES = 20
 
 _SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n+")
@@ -147,13 +147,13 @@ class Kernel:
 
 def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float) -> np.ndarray:
     """Weights and bias of a linear SVM with squared hinge loss, by Newton steps."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     w = np.zeros(x.shape[1])
     keep = np.full(x.shape[1], ridge)
     keep[-1] = 1e-6
     for _ in range(30):
         inside = y * (x @ w) < 1
-        a, c = x[inside], cost[inside]
+        a, c = x[inside].astype(float), cost[inside]
         new = np.linalg.solve(
             (a * c[:, None]).T @ a + np.diag(keep), a.T @ (c * y[inside])
         )
@@ -180,12 +180,16 @@ def _logistic(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float) -> n
 def _favoured(texts: list[list[list[str]]], y: np.ndarray) -> dict[str, float]:
     """How far the share of toxic texts with a word is above that of clean ones (z value)."""
     n = [max(1, int((y == k).sum())) for k in (0, 1)]
-    seen = [Counter(), Counter()]
+    toxic, clean = Counter(), Counter()
+    for text, label in zip(texts, y):
+        if label == 1:
+            toxic.update({plain(w) for words in text for w in words})
     for text, label in zip(texts, y):
-        seen[int(label)].update({plain(w) for words in text for w in words})
+        if label == 0:
+            clean.update({plain(w) for words in text for w in words}.intersection(toxic))
     out = {}
-    for word, a in seen[1].items():
-        b = seen[0][word]
+    for word, a in toxic.items():
+        b = clean[word]
         share = (a + b + 1) / (n[0] + n[1] + 2)
         z = (a / n[1] - b / n[0]) / np.sqrt(share * (1 - share) * (1 / n[0] + 1 / n[1]))
         out[word] = float(z)
@@ -226,7 +230,11 @@ class Model:
         y = np.array([k for _, k in labelled], float)
         if not len(y) or y.min() == y.max():
             return model
-        texts = [sentences(t) for t, _ in labelled]
+        # each word is held once
+        pool: dict[str, str] = {}
+        texts = [
+            [[pool.setdefault(w, w) for w in words] for words in sentences(t)] for t, _ in labelled
+        ]
         favoured = _favoured(texts, y)
         landmarks = _pick_landmarks(favoured, texts)
         if not landmarks:
@@ -239,10 +247,11 @@ class Model:
         words = sorted({w for text in cut for part in text for w in part})
         at = {w: i for i, w in enumerate(words)}
         vectors = kernel.values(words) @ whiten.astype(np.float32)
-        x = np.array(
-            [vectors[[at[w] for w in part]].sum(axis=0) for text in cut for part in text]
-        )
         of = np.repeat(np.arange(len(cut)), [len(text) for text in cut])
+        x = np.empty((len(of), len(landmarks)), np.float32)
+        for i, part in enumerate(part for text in cut for part in text):
+            x[i] = vectors[[at[w] for w in part]].sum(axis=0)
+        del vectors, at, words
         told = np.array(
             [
                 max(favoured.get(plain(w), 0) for w in part)
@@ -324,7 +333,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5) -> Model:
     rows = rows.where(F.length("text") <= TRAIN_CHARS).join(sample, "doc_id")
     # an id with several texts could exceed the sample
     rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * SAMPLE)
-    return Model.fit([(r["text"], r["toxic"]) for r in rows.collect()], share)
+    return fitted(rows.select("text", "toxic"), functools.partial(Model.fit, share=share))
 
 
 def _score(batches, model: Broadcast):
