@@ -170,6 +170,16 @@ def test_toxicity_tolerates_gaps_and_inserted_characters():
     assert (model.score(["the river near the house", "", "it was long"], known) < 0.5).all()
 
 
+def test_toxicity_learns_from_late_sentences():
+    late = "the house by the river was calm. " * 40
+    calm = [f"{late} the day {i} was long." for i in range(60)]
+    rude = [f"{late} you are a stupid idiot {i}." for i in range(60)]
+    model = toxicity.Model.fit([(t, 0) for t in calm] + [(t, 1) for t in rude], 0.5)
+    known = toxicity.Memory(model._words)
+    assert model.kernel is not None
+    assert (model.score([f"{late} what an idiot he is.", late], known) > 0.5).tolist() == [True, False]
+
+
 def test_toxicity_kernel_is_the_sum_over_subsequences():
     from itertools import combinations
 
