@@ -47,8 +47,8 @@ DECAY = 0.65
 SPAN = 6
 LONG = 16
 LANDMARKS = 96
-SAMPLE = 1200
-TRAIN_CHARS = 12_000
+SAMPLE = 2000
+TRAIN_CHARS = 20_000
 ROWS_AT_ONCE = 1 << 15
 
 _SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n+")

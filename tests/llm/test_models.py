@@ -180,6 +180,15 @@ def test_toxicity_learns_from_late_sentences():
     assert (model.score([f"{late} what an idiot he is.", late], known) > 0.5).tolist() == [True, False]
 
 
+def test_toxicity_learns_from_long_texts(spark, make_docs):
+    calm = "the house by the river was calm. "
+    docs = make_docs([calm * 20 if i % 2 else calm * 450 + "what an idiot he is." for i in range(80)])
+    marks = spark.createDataFrame([(i, 1 - i % 2) for i in range(80)], "doc_id long, toxic int")
+    assert len(calm) * 450 > 12_000
+    rows = toxicity.score_documents(docs, marks).collect()
+    assert all(r["predicted"] == 1 - r["doc_id"] % 2 for r in rows)
+
+
 def test_toxicity_kernel_is_the_sum_over_subsequences():
     from itertools import combinations
 
