@@ -2,7 +2,10 @@
 
 Texts are compared as lower-case letters and digits with one space for everything between
 them. A benchmark item is cut into patterns of ``SEGMENT`` characters, half overlapping (a
-shorter item is one pattern); each may be found with ``EDIT_SHARE`` of its length in edits.
+shorter item is one pattern), and into patterns of ``EXCERPT`` characters every ``STRIDE``;
+each may be found with ``budget`` edits. An unedited excerpt of an item of
+``EXCERPT + STRIDE - 1`` characters or more holds a whole pattern and is found for certain,
+wherever it starts; a shorter one is found if it holds a pattern.
 For every pattern and band of diagonals the q-grams that it shares with a document are
 counted; bands have twice the width of the edit budget and overlap by half. A pattern of
 length L within e edits shares at least L - q + 1 - q e of them in some band; bands below
@@ -35,6 +38,8 @@ from martworks.llm.ngrams import code_points, text_chunks
 
 Q = 8
 SEGMENT = 100
+EXCERPT = 50
+STRIDE = 10
 EDIT_SHARE = 0.1
 LEAST_SHARED = 4
 SHORTEST = 24
@@ -105,11 +110,13 @@ class Index:
             codes = normalize([text or ""])[0][1:-1]
             if len(codes) < SHORTEST:
                 continue
-            last = max(0, len(codes) - SEGMENT)
-            starts = list(range(0, last, SEGMENT // 2)) + [last]
-            for a in starts:
-                self.item.append(item_id)
-                self.codes.append(codes[a : a + SEGMENT])
+            for size, step in ((SEGMENT, SEGMENT // 2), (EXCERPT, STRIDE)):
+                if size == EXCERPT and len(codes) <= EXCERPT:
+                    continue
+                last = max(0, len(codes) - size)
+                for a in [*range(0, last, step), last]:
+                    self.item.append(item_id)
+                    self.codes.append(codes[a : a + size])
         length = np.array([len(c) for c in self.codes], np.int64)
         self.length = length
         self.edits = np.array([budget(n) for n in length.tolist()], np.int64)

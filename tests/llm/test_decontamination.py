@@ -61,6 +61,18 @@ def test_against_full_alignment():
                 assert got[t, item_id][1] == min(d for d, (_, e) in zip(distances, patterns) if d <= e)
 
 
+def test_excerpts_at_every_offset():
+    draw = random.Random(3)
+    say = lambda n: " ".join("".join(draw.choice("abcdefghij") for _ in range(draw.randint(2, 8))) for _ in range(n))
+    item = say(60)[:273].strip()
+    index = Index([(1, item)])
+    for n in (59, 80, 110):
+        texts = [f"{say(12)} {item[a : a + n]} {say(12)}" for a in range(len(item) - n + 1)]
+        # a space at the edge of an excerpt is one in the text as well
+        assert {of for of, _ in hits(index, texts)} == set(range(len(texts))), n
+    assert not hits(index, [say(40) for _ in range(50)])
+
+
 def test_places():
     index = Index([(1, PROSE)])
     text = "Before. " + PROSE.upper().replace(" ", "  ") + " After."
