@@ -18,7 +18,9 @@ documents for each part.
 
 Defined cases: null or empty texts and items match nothing; items with fewer than
 ``SHORTEST`` characters after normalization are no evidence and match nothing; repeated
-rows are answered each; a null id is carried; empty tables give no rows. Long texts are
+rows are answered each; a null id is carried; items without an id, or with one that is no
+whole number, are reported with a null id unless an item with an id has the same text; empty
+tables give no rows. Long texts are
 read whole. Further columns are never looked at, and the filter keeps them as they are.
 """
 
@@ -269,7 +271,8 @@ def _matches(batches, index: Broadcast):
         ids = batch.column("doc_id").to_pylist()
         rows = []
         for lo, hi in text_chunks(texts):
-            for (of, item), got in sorted(hits(index.value, texts[lo:hi]).items()):
+            found = hits(index.value, texts[lo:hi]).items()
+            for (of, item), got in sorted(found, key=lambda x: (x[0][0], x[0][1] or 0)):
                 rows.append((ids[lo + of], item, *got))
         kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
         columns = list(zip(*rows)) or [[]] * 6
@@ -292,15 +295,18 @@ def _without(batches, index: Broadcast, column: str):
 def indexes(benchmark: DataFrame) -> list[Broadcast]:
     """The benchmark's indexes, each of about ``INDEX_CHARS`` characters at most."""
     items = benchmark.select(
-        benchmark["item_id"].cast("long").alias("item_id"), text_of(benchmark)
-    ).where("item_id is not null")
+        benchmark["item_id"].try_cast("long").alias("item_id"), text_of(benchmark)
+    )
+    # an item without id stands for its text where no other has the same
+    items = items.groupBy("text").agg(F.collect_set("item_id").alias("ids"))
+    items = items.select(F.explode_outer("ids").alias("item_id"), "text")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = math.ceil(chars / INDEX_CHARS)
     context = benchmark.sparkSession.sparkContext
     out = []
     for part in range(parts):
         of = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part
-        rows = items.where(of).distinct().orderBy("item_id", "text").collect()
+        rows = items.where(of).orderBy("item_id", "text").collect()
         out.append(context.broadcast(Index([(r["item_id"], r["text"]) for r in rows])))
     return out
 

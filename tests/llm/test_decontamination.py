@@ -118,3 +118,11 @@ def test_edge_rows(spark, edge_docs, no_docs):
     assert contaminated(edge_docs, none).count() == 0
     assert decontaminated(edge_docs, none).count() == len(EDGE_ROWS)
     assert contaminated(no_docs, bench).count() == decontaminated(no_docs, bench).count() == 0
+
+
+def test_items_without_an_id(spark, make_docs):
+    docs = make_docs({1: "Before. " + PROSE + " After.", 2: "nothing of it is here at all, only a calm day"})
+    for kind, item_id in (("long", None), ("string", "a7")):
+        bench = spark.createDataFrame([(item_id, PROSE)], f"item_id {kind}, text string")
+        assert [(r["doc_id"], r["item_id"]) for r in contaminated(docs, bench).collect()] == [(1, None)]
+        assert [r["doc_id"] for r in decontaminated(docs, bench).collect()] == [2]
