@@ -19,7 +19,8 @@ from martworks.operators import merge, quality, topn, transform
 from martworks.operators.trim import quantile_trim
 from martworks.plans import marts
 from martworks.sinks import merge_writers, writers
-from martworks.sources import readers
+from martworks.sources import footers, readers
+from martworks.sources.quarantine import Checked, read_csv_checked
 
 ARRIVAL = "_arrival"
 UNDECLARED = "_undeclared"
@@ -39,9 +40,21 @@ def sensor_extremes(readings: DataFrame, n: int = 5, order_col: str = ARRIVAL) -
     return topn.extremes(readings, n, "temp", tie_order=[order_col])
 
 
-def sensor_job(spark: SparkSession, csv_path: str, out_dir: str | None = None):
+def sensor_readings(spark: SparkSession, csv_path: str, rejects_path: str | None = None) -> Checked:
+    """S1 for P1: readings that don't parse, and indoor ones without a readable date, are
+    rejected; without ``rejects_path`` they fail the job."""
+    dated = F.try_to_timestamp("noted_date", F.lit(transform.SENSOR_DATE_PATTERN)).isNotNull()
+    readable = F.col("noted_date").isNull() | (F.col("out/in") != F.lit("In")) | dated
+    return read_csv_checked(
+        spark, csv_path, schemas.SENSOR_CSV, rejects_path, {"noted_date": readable}, ARRIVAL
+    )
+
+
+def sensor_job(
+    spark: SparkSession, csv_path: str, out_dir: str | None = None, rejects_path: str | None = None
+):
     """S1 -> {L2 -> K2} and {T2 -> T3 -> A7 -> K2}. Returns (extremes, clean)."""
-    raw = topn.with_arrival_order(readers.read_csv(spark, csv_path, schema=schemas.SENSOR_CSV), ARRIVAL)
+    raw = sensor_readings(spark, csv_path, rejects_path).good
     cols = [c for c in raw.columns if c != ARRIVAL]
     extremes = sensor_extremes(raw).orderBy(F.col("extreme_side").desc(), "extreme_rank")
     clean = sensor_clean(raw).select(*cols)
@@ -87,8 +100,8 @@ def incremental_job(
     """T17 -> M5 -> M6 -> K3 -> V3. Appends only the new rows; returns the report.
 
     A table without the date column gets it, with ``as_of`` as the value of its old rows.
+    Watermark and report come from the files' statistics where the table's files have them.
     """
-    writers.recover_table(spark, table)
     target = None
     if spark.catalog.tableExists(table):
         if date_col not in spark.table(table).columns:
@@ -98,7 +111,11 @@ def incremental_job(
             )
             spark.catalog.refreshTable(table)
         target = spark.table(table)
-    watermark = merge.high_watermark(target, date_col, default)
+    files = footers.table_files(spark, table, date_col) if target is not None else None
+    if files:
+        watermark = footers.stored_watermark(spark, files, date_col, default)
+    else:
+        watermark = merge.high_watermark(target, date_col, default)
     new = merge.new_rows_since(source, date_col, watermark)
     if target is not None:
         new = merge.only_declared(new, target.columns)
@@ -106,6 +123,9 @@ def incremental_job(
     seen = Observation("appended")
     writers.append_table(new.observe(seen, F.count(F.lit(1)).alias("rows")), table, spark)
     added = seen.get.get("rows", 0)
+    files = footers.table_files(spark, table, date_col)
+    if files:
+        return footers.stored_report(spark, files, date_col, added)
     report = quality.load_report(spark.table(table), date_col)
     return report.withColumn("new_rows", F.lit(added).cast("bigint"))
 
@@ -247,23 +267,35 @@ def replicate_collections(
     return out
 
 
-def _gate(name: str, raw: DataFrame, check_keys: bool = True) -> int:
-    """One narrow pass over the raw rows: NULL ids (X20) and undeclared fields (X21) raise;
-    the number of rows tells an empty batch (X13). Deduplication keeps every NULL-id row,
-    so the raw counts hold."""
+def _gate_counts(name: str, raw: DataFrame) -> list:
+    """What the gates of a collection need to know of its raw rows: NULL ids (X20), undeclared
+    fields (X21), the number of rows (X13). Deduplication keeps every NULL-id row, so the raw
+    counts hold."""
     key = schemas.TARGET_KEYS[name]
-    found = [
+    undeclared = F.lit(None).cast("string")
+    if UNDECLARED in raw.columns:
+        undeclared = F.max(F.array_join(UNDECLARED, ", "))
+    return [
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col(key).isNull()).alias("null_keys"),
+        undeclared.alias("undeclared"),
     ]
-    if UNDECLARED in raw.columns:
-        found.append(F.max(F.array_join(UNDECLARED, ", ")).alias("undeclared"))
-    stats = raw.agg(*found).first()
-    if check_keys and stats["null_keys"]:
-        raise quality.DataQualityError(f"NULL in NOT NULL column {key} of {name}")
-    if UNDECLARED in raw.columns and stats["undeclared"]:
-        raise transform.SchemaError(f"fields of {name} not declared: {stats['undeclared']}")
-    return stats["rows"]
+
+
+def _require(name: str, counts: Mapping, check_keys: bool = True) -> int:
+    """Raise on NULL ids and undeclared fields; the number of rows."""
+    if check_keys and counts.get("null_keys"):
+        raise quality.DataQualityError(
+            f"NULL in NOT NULL column {schemas.TARGET_KEYS[name]} of {name}"
+        )
+    if counts.get("undeclared"):
+        raise transform.SchemaError(f"fields of {name} not declared: {counts['undeclared']}")
+    return counts.get("rows", 0)
+
+
+def _gate(name: str, raw: DataFrame, check_keys: bool = True) -> int:
+    """The gates as one narrow pass over the raw rows, for batches that stay lazy."""
+    return _require(name, raw.agg(*_gate_counts(name, raw)).first().asDict(), check_keys)
 
 
 def replicate_collections_into(
@@ -274,18 +306,23 @@ def replicate_collections_into(
 ) -> dict[str, dict[str, int]]:
     """P6 written in place: each table is a Parquet folder partitioned by ``load_date``;
     a run replaces only the ``as_of`` day (M4 via dynamic partition overwrite). Returns the
-    rows written for each collection (X14).
+    rows written for each collection (X14). The gates are audited on the staged batch: a
+    collection that fails one leaves its table as it was.
 
     The collections are independent, so their loads are submitted from a small thread
     pool and run as concurrent Spark jobs; a failure in any of them is raised.
     """
 
     def load_one(name: str) -> dict[str, int]:
-        _gate(name, raw[name])
-        batch = replicate_batch(name, raw[name], as_of)
+        # write, audit, publish: the export is parsed once, into the staged batch, the gates
+        # look at what was counted on the way, and only then the target is touched
+        counts = Observation()
+        rows = raw[name].observe(counts, *_gate_counts(name, raw[name]))
+        batch = replicate_batch(name, rows, as_of)
         key = schemas.TARGET_KEYS[name]
         return merge_writers.reload_day_into(
-            spark, batch, target_paths[name], [key], as_of, unique_keys=True
+            spark, batch, target_paths[name], [key], as_of, unique_keys=True,
+            audit=lambda: _require(name, counts.get),
         )
 
     with ThreadPoolExecutor(max_workers=max(1, min(4, len(raw)))) as pool:
@@ -326,16 +363,29 @@ _SUMMARIES = {
 
 
 def build_marts(
-    tables: Mapping[str, DataFrame], out_dir: str, names: Sequence[str] = tuple(MARTS)
+    tables: Mapping[str, DataFrame],
+    out_dir: str,
+    names: Sequence[str] = tuple(MARTS),
+    publish: str | None = None,
 ) -> dict[str, DataFrame]:
     """For each mart V2 on its sources, E1-E3, K1 to ``out_dir``; R1-R3 read what was
-    written, R4 the payments. Returns the written marts and the summaries."""
+    written, R4 the payments. Returns the written marts and the summaries.
+
+    With ``publish`` (a prefix such as ``marts.``) each mart is a catalog table, replaced in one
+    metadata step when its rows are written; without it a plain folder that is overwritten.
+    """
     out = {}
     for name in names:
         quality.require_nonempty({k: tables[k] for k in MARTS[name]})
         path = f"{out_dir.rstrip('/')}/{name}"
-        writers.write_parquet(_BUILD[name](*[tables[k] for k in MARTS[name]]), path)
-        out[name] = readers.read_parquet(tables[MARTS[name][0]].sparkSession, path)
+        spark = tables[MARTS[name][0]].sparkSession
+        mart = _BUILD[name](*[tables[k] for k in MARTS[name]])
+        if publish is None:
+            writers.write_parquet(mart, path)
+            out[name] = readers.read_parquet(spark, path)
+        else:
+            writers.publish_table(mart, f"{publish}{name}", path)
+            out[name] = spark.table(f"{publish}{name}")
     for name, (mart, summary) in _SUMMARIES.items():
         if mart in out:
             out[name] = summary(out[mart])

@@ -9,46 +9,68 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martworks.functions.aggs import (
     count_distinct,
     count_distinct_if,
     count_if,
-    mode_table,
     safe_pct,
 )
 from martworks.operators.joins import preaggregated_star
 
 
-def mart_user_activity(views: DataFrame) -> DataFrame:
-    """Per user, views, watch time, distinct movies, favourite genre, completion %.
+_ACTIVITY_DIMS = ("user_id", "view_id", "movie_id", "genre")
+# grouping_id over the dimensions: a bit is set where a dimension is summed over
+_BY_VIEW, _BY_MOVIE, _BY_GENRE = 0b0011, 0b0101, 0b0110
+
+
+def activity_parts(views: DataFrame) -> DataFrame:
+    """The views counted by (user, view), (user, movie) and (user, genre) in one scan.
 
-    The favourite genre (mode, ties to the smallest) is its own two-step aggregation
-    joined back per user; inside the distinct-count rewrite it would keep a hash map for
-    every (user, view) group.
+    A user with a third of all rows is spread over their views, movies and genres here, and
+    combined map-side; the parts of different loads can be added up.
     """
-    main = views.groupBy("user_id").agg(
-        count_distinct("view_id").alias("total_views"),
-        F.sum("watch_duration_minutes").alias("total_watch_time_minutes"),
-        F.avg("watch_duration_minutes").alias("avg_watch_duration"),
-        count_distinct("movie_id").alias("unique_movies_watched"),
-        safe_pct(count_if(F.col("completed")), F.count(F.lit(1))).alias("completion_rate"),
-        F.max("start_time").alias("last_activity_date"),
-    )
-    favourite = mode_table(views, ["user_id"], "genre", "favorite_genre")
-    return _join_group_tables(main, favourite, ["user_id"]).select(
-        "user_id", "total_views", "total_watch_time_minutes", "avg_watch_duration",
-        "unique_movies_watched", "favorite_genre", "completion_rate", "last_activity_date",
+    minutes = F.col("watch_duration_minutes")
+    user = _ACTIVITY_DIMS[0]
+    sets = [[user, dim] for dim in _ACTIVITY_DIMS[1:]]
+    return views.groupingSets(sets, *_ACTIVITY_DIMS).agg(
+        F.grouping_id(*_ACTIVITY_DIMS).alias("_set"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.sum(minutes).alias("_minutes"),
+        F.count(minutes).alias("_timed"),
+        count_if(F.col("completed")).alias("_completed"),
+        F.max("start_time").alias("_last"),
     )
 
 
-def _join_group_tables(main: DataFrame, extra: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join of two per-group tables on the group keys (NULL keys match NULL keys,
-    as GROUP BY puts all NULLs in one group); both sides hold one row per key."""
-    cond = [main[k].eqNullSafe(extra[k]) for k in keys]
-    joined = main.join(extra, cond, "left")
-    return joined.select(*[main[k] for k in keys], *[c for c in main.columns if c not in keys],
-                         *[extra[c] for c in extra.columns if c not in keys])
+def mart_user_activity(views: DataFrame) -> DataFrame:
+    """Per user, views, watch time, distinct movies, favourite genre, completion %."""
+    return activity_of(activity_parts(views))
+
+
+def activity_of(parts: DataFrame) -> DataFrame:
+    """E1 from its parts (:func:`activity_parts`).
+
+    The distinct counts are the rows by view and by movie, the favourite genre (mode, ties to
+    the smallest) is the genre row with the most views, and the genre rows, which hold each
+    view once, add up to the sums.
+    """
+    by = {n: F.col("_set") == n for n in (_BY_VIEW, _BY_MOVIE, _BY_GENRE)}
+    once = by[_BY_GENRE]
+    minutes, timed = F.sum(F.when(once, F.col("_minutes"))), F.sum(F.when(once, F.col("_timed")))
+    most = F.when(once & F.col("genre").isNotNull(), F.struct(-F.col("_rows"), F.col("genre")))
+    return parts.groupBy("user_id").agg(
+        count_if(by[_BY_VIEW] & F.col("view_id").isNotNull()).alias("total_views"),
+        minutes.alias("total_watch_time_minutes"),
+        F.try_divide(minutes, timed).alias("avg_watch_duration"),
+        count_if(by[_BY_MOVIE] & F.col("movie_id").isNotNull()).alias("unique_movies_watched"),
+        F.min_by("genre", most).alias("favorite_genre"),
+        safe_pct(
+            F.sum(F.when(once, F.col("_completed"))), F.sum(F.when(once, F.col("_rows")))
+        ).alias("completion_rate"),
+        F.max("_last").alias("last_activity_date"),
+    )
 
 
 _CONTENT_KEYS = ("movie_id", "movie_title", "genre")
@@ -106,38 +128,106 @@ def mart_content_performance(
     )
 
 
+def content_view_parts(views: DataFrame) -> DataFrame:
+    """The views of each movie by view and by user, in one scan."""
+    minutes = F.col("watch_duration_minutes")
+    dims = [*_CONTENT_KEYS, "view_id", "user_id"]
+    sets = [[*_CONTENT_KEYS, dim] for dim in ("view_id", "user_id")]
+    return views.groupingSets(sets, *dims).agg(
+        F.grouping_id(*dims).alias("_set"),
+        F.sum(minutes).alias("_minutes"),
+        F.count(minutes).alias("_timed"),
+    )
+
+
+def rating_parts(ratings: DataFrame) -> DataFrame:
+    """The ratings of each movie by rating."""
+    rated = ratings.where(F.col("movie_id").isNotNull()).groupBy("movie_id", "rating_id")
+    return rated.agg(F.sum("rating").alias("_ratings"), F.count("rating").alias("_rated"))
+
+
+def search_parts(searches: DataFrame) -> DataFrame:
+    """The searches that led to each movie by search."""
+    movie = F.col("clicked_movie_id")
+    found = searches.where(movie.isNotNull()).groupBy(movie.alias("movie_id"), "search_id")
+    return found.agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def content_of(views: DataFrame, ratings: DataFrame, searches: DataFrame) -> DataFrame:
+    """E2 from the parts of its facts, joined one row per movie."""
+    by_view, by_user = F.col("_set") == 0b01, F.col("_set") == 0b10
+    base = views.groupBy(*_CONTENT_KEYS).agg(
+        count_if(by_view & F.col("view_id").isNotNull()).alias("total_views"),
+        count_if(by_user & F.col("user_id").isNotNull()).alias("unique_viewers"),
+        F.try_divide(
+            F.sum(F.when(by_user, F.col("_minutes"))), F.sum(F.when(by_user, F.col("_timed")))
+        ).alias("avg_watch_duration"),
+    )
+    rated = ratings.groupBy("movie_id").agg(
+        F.try_divide(F.sum("_ratings"), F.sum("_rated")).alias("avg_rating"),
+        count_if(F.col("rating_id").isNotNull()).alias("total_ratings"),
+    )
+    searched = searches.groupBy("movie_id").agg(
+        count_if(F.col("search_id").isNotNull()).alias("search_appearances")
+    )
+    out = preaggregated_star(
+        base, [rated, searched], key="movie_id", zero_fill=("total_ratings", "search_appearances")
+    )
+    appearances = F.col("search_appearances")
+    return out.select(
+        *_CONTENT_KEYS, "total_views", "unique_viewers", "avg_watch_duration", "avg_rating",
+        "total_ratings", "search_appearances",
+        # Numerator and denominator test the same condition
+        safe_pct(appearances, appearances).alias("search_to_view_rate"),
+    )
+
+
+_PAYMENT_KEYS = ("user_id", "subscription_plan")
+
+
+def payment_parts(payments: DataFrame) -> DataFrame:
+    """The payments of each (user, plan) by method: one scan, combined map-side."""
+    return payments.groupBy(*_PAYMENT_KEYS, "payment_method").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.sum("amount").alias("_revenue"),
+        F.count("amount").alias("_amounts"),
+        F.min("payment_date").alias("_first"),
+        F.max("payment_date").alias("_last"),
+        count_if(F.col("status") == F.lit("completed")).alias("_completed"),
+    )
+
+
 def mart_payment_analysis(payments: DataFrame) -> DataFrame:
     """Per (user, plan), payments, revenue (pending included, X11), first/last,
     average amount, preferred method, completed payments."""
-    keys = ["user_id", "subscription_plan"]
-    # one scan: by payment method first, which the preferred method needs, then by group
-    mean_type = payments.select(F.avg("amount")).schema[0].dataType
-    by_method = payments.groupBy(*keys, "payment_method").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("amount").alias("revenue"),
-        F.count("amount").alias("amounts"),
-        F.min("payment_date").alias("first"),
-        F.max("payment_date").alias("last"),
-        count_if(F.col("status") == F.lit("completed")).alias("completed"),
-    )
+    return payments_of(payment_parts(payments))
+
+
+def payments_of(parts: DataFrame) -> DataFrame:
+    """E3 from its parts (:func:`payment_parts`)."""
+    total = parts.schema["_revenue"].dataType
     method = F.col("payment_method")
-    mean = F.sum("revenue") / F.nullif(F.sum("amounts"), F.lit(0))
-    return by_method.groupBy(*keys).agg(
-        F.sum("n").alias("total_payments"),
-        F.sum("revenue").cast(_sum_type(payments)).alias("total_revenue"),
-        F.min("first").alias("first_payment"),
-        F.max("last").alias("last_payment"),
-        mean.cast(mean_type).alias("avg_payment_amount"),
+    mean = F.sum("_revenue") / F.nullif(F.sum("_amounts"), F.lit(0))
+    return parts.groupBy(*_PAYMENT_KEYS).agg(
+        F.sum("_rows").alias("total_payments"),
+        F.sum("_revenue").cast(total).alias("total_revenue"),
+        F.min("_first").alias("first_payment"),
+        F.max("_last").alias("last_payment"),
+        mean.cast(_mean_type(total)).alias("avg_payment_amount"),
         # the most frequent method, the smallest on ties; NULL is none
-        F.min_by(method, F.when(method.isNotNull(), F.struct(-F.col("n"), method))).alias(
+        F.min_by(method, F.when(method.isNotNull(), F.struct(-F.col("_rows"), method))).alias(
             "preferred_payment_method"
         ),
-        F.sum("completed").alias("successful_payments"),
+        F.sum("_completed").alias("successful_payments"),
     )
 
 
-def _sum_type(payments: DataFrame):
-    return payments.select(F.sum("amount")).schema[0].dataType
+def _mean_type(total: T.DataType) -> T.DataType:
+    """The type of the mean of values whose sum has the type ``total``."""
+    if not isinstance(total, T.DecimalType):
+        return T.DoubleType()
+    # a sum of DECIMAL(p, s) is DECIMAL(p + 10, s), its mean DECIMAL(p + 4, s + 4)
+    return T.DecimalType(min(38, total.precision - 6), min(38, total.scale + 4))
 
 
 def mart_genre_summary(content_mart: DataFrame) -> DataFrame:

@@ -679,6 +679,20 @@ def q_m7_stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_target(spark, target, events_schema)
 
 
+@register("m7_stream_seen_keys", "SELECT * FROM events")
+def q_m7_stream_seen_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys seen are kept in the state store; the landing folder holds every event twice."""
+    events = load(spark, sf_dir, "events")
+    target, landing = work_path(spark, "m7-seen-target"), work_path(spark, "m7-landing")
+    where = (target, ["event_id"], work_path(spark, "m7-seen-checkpoint"))
+    events.write.parquet(landing)
+    run_stream_load(spark, landing, events.schema, *where, seen="state")
+    again = events.withColumn("value", F.lit(-1.0))
+    again.write.mode("append").parquet(landing)
+    run_stream_load(spark, landing, events.schema, *where, seen="state")
+    return read_target(spark, target, events.schema)
+
+
 # ---------------------------------------------------------------- end-to-end replication
 # events exported as a movie_views document collection (nested device, interaction list,
 # ISO text with 'Z'), with a second, later export repeating the 'error' events; the job
@@ -844,6 +858,9 @@ def q_x14_merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 from martworks.sinks import merge_writers as _mw  # noqa: E402
 
+#: The given tables are small; a large target takes hundreds.
+_KEY_BUCKETS = 8
+
 
 @register(
     "m3_insert_ignore_in_place",
@@ -863,7 +880,9 @@ def q_m3_insert_ignore_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "m3-customer")
     target.write.parquet(path)
     batch = batch.withColumn("loaded_at", transform.as_timestamp("2024-02-01 00:00:00"))
-    _mw.insert_ignore_into(spark, batch, path, ["c_custkey"], order_by=["seq"])
+    _mw.insert_ignore_into(
+        spark, batch, path, ["c_custkey"], order_by=["seq"], key_buckets=_KEY_BUCKETS
+    )
     return round_doubles(spark.read.parquet(path))
 
 
@@ -888,7 +907,8 @@ def q_m4_reload_day_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"value": F.col("value") + 2, "loaded_at": stamp, "seq": F.lit(2)}
     )
     _mw.reload_day_into(
-        spark, b1.unionByName(b2), path, ["event_id"], transform.date(2024, 1, 20), order_by=["seq"]
+        spark, b1.unionByName(b2), path, ["event_id"], transform.date(2024, 1, 20),
+        order_by=["seq"], key_buckets=_KEY_BUCKETS,
     )
     out = spark.read.parquet(path)
     return round_doubles(out.select(*events.columns, "loaded_at", "load_date"))

@@ -17,7 +17,7 @@ from martworks import schemas
 from martworks.functions import aggs
 from martworks.operators import merge, quality, transform
 from martworks.operators.trim import quantile_trim
-from martworks.plans import jobs
+from martworks.plans import jobs, mart_states
 from martworks.plans.registry import _E1_SQL, _E2_FROM, _E3_SQL, ORACLE_SQL, register
 from martworks.plans.testdata import (
     events_as_ratings,
@@ -28,9 +28,9 @@ from martworks.plans.testdata import (
     orders_as_views,
     round_doubles,
 )
-from martworks.session import work_path
+from martworks.session import table_path, work_path
 from martworks.sinks import merge_writers, writers
-from martworks.sources import readers
+from martworks.sources import footers, readers
 
 AS_OF = datetime(2024, 2, 1, 6, 0)
 _LOADED = "TIMESTAMP '2024-02-01 06:00:00' AS loaded_at"
@@ -69,16 +69,90 @@ SELECT s.* REPLACE (ROUND(temp, 6) AS temp) FROM s, q WHERE temp BETWEEN lo AND
 def q_p1_sensor_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = load(spark, sf_dir, "events")
     path = work_path(spark, "p1-readings")
-    readings = events.select(
+    writers.write_csv(_readings(events, F.col("value")), path)
+    _, clean = jobs.sensor_job(spark, path)
+    return round_doubles(transform.normalize_columns(clean))
+
+
+_P1_EXTREMES = """
+WITH s AS (SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS room_id_id,
+                  strftime(ts, '%d-%m-%Y %H:%M') AS noted_date, ROUND(value, 6) AS temp,
+                  CASE WHEN event_type IN ('click', 'view') THEN 'In' ELSE 'Out' END AS out_in,
+                  value, event_id
+           FROM events),
+h AS (SELECT * EXCLUDE (value, event_id), 'top' AS extreme_side,
+             CAST(ROW_NUMBER() OVER (ORDER BY value DESC, event_id) AS INTEGER) AS extreme_rank FROM s),
+c AS (SELECT * EXCLUDE (value, event_id), 'bottom' AS extreme_side,
+             CAST(ROW_NUMBER() OVER (ORDER BY value, event_id) AS INTEGER) AS extreme_rank FROM s)
+SELECT * FROM h WHERE extreme_rank <= 5 UNION ALL SELECT * FROM c WHERE extreme_rank <= 5
+"""
+
+
+def _readings(events: DataFrame, temp) -> DataFrame:
+    """events as sensor readings; ``temp`` is the text or number of the reading."""
+    inside = F.col("event_type").isin("click", "view")
+    return events.select(
         _text("event_id").alias("id"),
         _text("user_id").alias("room_id/id"),
         F.date_format("ts", "dd-MM-yyyy HH:mm").alias("noted_date"),
-        F.col("value").alias("temp"),
-        F.when(F.col("event_type").isin("click", "view"), "In").otherwise("Out").alias("out/in"),
+        temp.alias("temp"),
+        F.when(inside, "In").otherwise("Out").alias("out/in"),
     )
-    writers.write_csv(readings, path)
-    _, clean = jobs.sensor_job(spark, path)
-    return round_doubles(transform.normalize_columns(clean))
+
+
+@register("p1_sensor_extremes", _P1_EXTREMES)
+def q_p1_sensor_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "p1-extremes")
+    writers.write_csv(_readings(load(spark, sf_dir, "events"), F.col("value")), path)
+    extremes, _ = jobs.sensor_job(spark, path)
+    return round_doubles(transform.normalize_columns(extremes))
+
+
+_BAD = "event_id % 97 = 0 OR event_id % 89 = 0"
+
+
+@register(
+    "p1_quarantine",
+    f"""
+WITH s AS (SELECT *, strftime(ts, '%d-%m-%Y %H:%M') AS noted,
+                  CASE WHEN event_type IN ('click', 'view') THEN 'In' ELSE 'Out' END AS side
+           FROM events)
+SELECT CAST(event_id AS VARCHAR) AS id, 'good' AS kind, ROUND(value, 6) AS temp,
+       CAST(NULL AS VARCHAR) AS line, CAST(NULL AS VARCHAR) AS at_fault
+FROM s WHERE NOT ({_BAD})
+UNION ALL
+SELECT CAST(event_id AS VARCHAR), 'rejected', NULL,
+       concat_ws(',', event_id, user_id, noted,
+                 CASE WHEN event_id % 97 = 0 THEN '"' || CAST(user_id AS VARCHAR) || ',5"'
+                      ELSE 'n/a' END, side),
+       'temp'
+FROM s WHERE {_BAD}
+""",
+)
+def q_p1_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings with a decimal comma or a word for a number are set aside, none is lost."""
+    events = load(spark, sf_dir, "events")
+    number = F.col("event_id")
+    temp = (
+        F.when(number % 97 == 0, F.concat(_text("user_id"), F.lit(",5")))
+        .when(number % 89 == 0, F.lit("n/a"))
+        .otherwise(_text("value"))
+    )
+    path = work_path(spark, "p1-bad-readings")
+    writers.write_csv(_readings(events, temp), f"{path}/csv")
+    checked = jobs.sensor_readings(spark, f"{path}/csv", f"{path}/rejects")
+    nothing = F.lit(None).cast("string")
+    good = checked.good.select(
+        "id", F.lit("good").alias("kind"), "temp", nothing.alias("line"), nothing.alias("at_fault")
+    )
+    rejected = checked.rejected.select(
+        F.split_part("line", F.lit(","), F.lit(1)).alias("id"),
+        F.lit("rejected").alias("kind"),
+        F.lit(None).cast("double").alias("temp"),
+        "line",
+        F.array_join("columns", ", ").alias("at_fault"),
+    )
+    return round_doubles(good.unionAll(rejected))
 
 
 @register(
@@ -404,6 +478,88 @@ _register_p7(
 )
 
 
+def _by_day(spark: SparkSession, sf_dir: str, mart: str) -> DataFrame:
+    """The mart after three load days and a second load of the last one."""
+    events, orders = load(spark, sf_dir, "events"), load(spark, sf_dir, "orders")
+    content = mart == "mart_content_performance"
+    rows = {
+        "movie_views": orders_as_views(orders) if content else events_as_views(events),
+        "content_ratings": events_as_ratings(events),
+        "search_queries": events_as_searches(events),
+        "user_payments": orders_as_payments(orders),
+    }
+    ids = {
+        "movie_views": "view_id", "content_ratings": "rating_id",
+        "search_queries": "search_id", "user_payments": "payment_id",
+    }
+    base = work_path(spark, "p7-by-day")
+    wanted = {mart_states.STATES[n].table for n in mart_states.MARTS[mart][0]}
+    paths = {name: f"{base}/{name}" for name in wanted}
+    made = {}
+    for day in (1, 2, 3, 3):
+        for name, path in paths.items():
+            part = rows[name].where(F.col(ids[name]) % 3 == day - 1)
+            merge_writers.reload_day_into(
+                spark, part, path, [ids[name]], date(2024, 3, day), unique_keys=True, key_buckets=8
+            )
+        made = mart_states.refresh_marts(
+            spark, paths, f"{base}/states", f"{base}/marts", date(2024, 3, day), [mart]
+        )
+    return round_doubles(made[mart])
+
+
+for _mart, _sql in (
+    ("mart_user_activity", _E1_SQL),
+    ("mart_content_performance", ORACLE_SQL["e2_content_performance"]),
+    ("mart_payment_analysis", _E3_SQL),
+):
+
+    def _query(spark: SparkSession, sf_dir: str, mart: str = _mart) -> DataFrame:
+        return _by_day(spark, sf_dir, mart)
+
+    register(f"p7_by_day_{_mart.removeprefix('mart_')}", _sql)(_query)
+
+
+# ---------------------------------------------------------------- M5, V1, V3 from file statistics
+
+
+def _stored_orders(spark: SparkSession, sf_dir: str) -> str:
+    path = work_path(spark, "footers-orders")
+    day = F.to_date("o_orderdate").alias("order_day")
+    load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", day).write.parquet(path)
+    return path
+
+
+@register("m5_stored_watermark", "SELECT MAX(CAST(o_orderdate AS DATE)) AS watermark FROM orders")
+def q_m5_stored_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mark = footers.stored_watermark(spark, _stored_orders(spark, sf_dir), "order_day", date(1970, 1, 1))
+    return spark.range(1).select(F.lit(mark).alias("watermark"))
+
+
+@register(
+    "v3_stored_report",
+    """
+SELECT COUNT(*) AS total_rows, MIN(CAST(o_orderdate AS DATE)) AS min_date,
+       MAX(CAST(o_orderdate AS DATE)) AS max_date, CAST(0 AS BIGINT) AS new_rows
+FROM orders
+""",
+)
+def q_v3_stored_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return footers.stored_report(spark, _stored_orders(spark, sf_dir), "order_day")
+
+
+@register(
+    "v1_stored_counts",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}"
+        for t in ("orders", "lineitem", "customer", "events")
+    ),
+)
+def q_v1_stored_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ("orders", "lineitem", "customer", "events")
+    return footers.stored_counts(spark, {n: table_path(sf_dir, n) for n in names})
+
+
 # ---------------------------------------------------------------- A5, A7, M4, T16, gates
 
 
@@ -457,7 +613,9 @@ def q_m4_reload_day_rerun_in_place(spark: SparkSession, sf_dir: str) -> DataFram
     path = work_path(spark, "m4-rerun")
     for day, rows in ((1, first), (2, events), (2, first.withColumn("value", F.col("value") + 1))):
         stamped = rows.withColumn("loaded_at", transform.as_timestamp(f"2024-03-0{day} 05:00:00"))
-        merge_writers.reload_day_into(spark, stamped, path, ["event_id"], date(2024, 3, day))
+        merge_writers.reload_day_into(
+            spark, stamped, path, ["event_id"], date(2024, 3, day), key_buckets=8
+        )
     return round_doubles(spark.read.parquet(path))
 
 

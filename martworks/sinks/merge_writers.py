@@ -8,15 +8,16 @@ batch that rewrite is the dominant cost, and two of the merges never need it:
   whole merge;
 * day reload (M4) only replaces the rows loaded on the ``as_of`` day: with the target
   partitioned by its load day, that is one partition, replaced by a dynamic partition
-  overwrite. Older partitions are only read, and only their key column;
+  overwrite. Older partitions stay as they are;
 * upsert (M2) can change any stored row, but only rows whose key is in the batch: with
   the target partitioned by a hash bucket of the key, only the buckets the batch touches
   are read, merged and replaced.
 
 Each batch is evaluated once, into a staged table under the shared checkpoint folder. Its
 distinct keys are staged too; when they are few (rows and bytes of the written files) they
-are broadcast, so the target is filtered where it lies, else AQE decides. The result is
-the same either way.
+are broadcast, else AQE decides. The result is the same either way. M3 and M4 compare them
+with the target's key table, of which only the batch's buckets are read, M2 with the
+target's own buckets.
 
 A rerun gives the same table for rows with a key: M3 finds its keys present, M4 replaces
 the same partition with the same rows, M2 updates to the same values. Rows with a NULL
@@ -28,8 +29,9 @@ Every writer returns the number of rows it wrote as ``{"inserted": n, "updated":
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime
+from functools import partial as partly
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +39,7 @@ from pyspark.sql import types as T
 
 from martworks.operators.merge import any_null, batch_keys, one_per_key, upsert
 from martworks.session import work_path
+from martworks.sinks.key_index import BUCKETS, KeyIndex
 from martworks.sinks.writers import stored_table
 
 BROADCAST_ROWS = 500_000
@@ -81,15 +84,6 @@ class Staging:
         return found
 
 
-def _new_rows(
-    rows: DataFrame, existing_keys: DataFrame | None, keys: Sequence[str], carried: DataFrame
-) -> DataFrame:
-    if existing_keys is None:
-        return rows
-    present = existing_keys.join(carried, on=list(keys), how="left_semi")
-    return rows.join(present, on=list(keys), how="left_anti")
-
-
 def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
@@ -101,16 +95,22 @@ def insert_ignore_into(
     target_path: str,
     keys: Sequence[str],
     order_by: Sequence | None = None,
+    key_buckets: int = BUCKETS,
 ) -> dict[str, int]:
-    """M3 written in place: append one row for each batch key that the target lacks."""
+    """M3 written in place: append one row for each batch key that the target lacks.
+
+    The target isn't read: what it holds is looked up in its key table
+    (:class:`martworks.sinks.key_index.KeyIndex`), in the buckets of the batch's keys.
+    Choose ``key_buckets`` so that one bucket's keys are some hundred megabytes.
+    """
     with Staging(spark) as staging:
         staged = staging.table(batch, "insert-ignore")
         rows = one_per_key(staged, keys, order_by)
         existing = stored_table(spark, target_path)
         if existing is not None:
-            rows = rows.select(*existing.columns)
-            existing = existing.select(*keys)
-        rows = _new_rows(rows, existing, keys, staging.keys(staged, keys))
+            index = KeyIndex(spark, target_path, keys, key_buckets)
+            present = index.present(existing, staging.keys(staged, keys))
+            rows = rows.select(*existing.columns).join(present, list(keys), "left_anti")
         rows, seen = _observed(rows)
         rows.write.mode("append").parquet(target_path)
         return {"inserted": seen.get.get("rows", 0), "updated": 0}
@@ -126,6 +126,8 @@ def reload_day_into(
     load_date_col: str = "load_date",
     order_by: Sequence | None = None,
     unique_keys: bool = False,
+    key_buckets: int = BUCKETS,
+    audit: Callable[[], object] | None = None,
 ) -> dict[str, int]:
     """M4 written in place on a target partitioned by ``load_date_col``.
 
@@ -135,22 +137,26 @@ def reload_day_into(
     as_of``). An empty batch changes nothing. Rows with a NULL load time sit in the NULL
     partition, which is never replaced. The day is written before partitions are dropped,
     so a run that fails in between is finished by running it again. ``unique_keys``: the
-    batch has one row per key already.
+    batch has one row per key already. Earlier days are not read: their keys are looked up
+    in the target's key table, in the buckets of the batch's keys (``key_buckets`` in all).
+    ``audit`` is called when the batch is staged and the target still untouched; it raises to
+    stop the load.
     """
     day = as_of.date() if isinstance(as_of, datetime) else as_of
     with Staging(spark) as staging:
         staged = staging.table(batch, "reload-day")
+        if audit is not None:
+            audit()
         if staged.isEmpty():
             return {"inserted": 0, "updated": 0}
         rows = staged if unique_keys else one_per_key(staged, keys, order_by)
         rows = rows.withColumn(load_date_col, F.lit(day))
         existing = stored_table(spark, target_path)
-        earlier = None
         if existing is not None:
-            rows = rows.select(*existing.columns)
-            ld = F.col(load_date_col)
-            earlier = existing.where(ld.isNull() | (ld < F.lit(day))).select(*keys)
-        rows = _new_rows(rows, earlier, keys, staging.keys(staged, keys))
+            index = KeyIndex(spark, target_path, keys, key_buckets)
+            loaded_before = partly(_is_earlier, col=load_date_col, day=day)
+            present = index.present(existing, staging.keys(staged, keys), loaded_before)
+            rows = rows.select(*existing.columns).join(present, list(keys), "left_anti")
         rows, seen = _observed(rows)
         (
             rows.write.mode("overwrite")
@@ -164,6 +170,15 @@ def reload_day_into(
         return {"inserted": written, "updated": 0}
 
 
+def _is_earlier(name: str, col: str, day: date) -> bool:
+    """Is the data file in a partition of ``col`` before ``day``, or in the NULL one?"""
+    value = name.split(f"{col}=", 1)[1].split("/", 1)[0]
+    try:
+        return date.fromisoformat(value) < day
+    except ValueError:  # the NULL partition (__HIVE_DEFAULT_PARTITION__)
+        return True
+
+
 def drop_partitions_after(
     spark: SparkSession, path: str, col: str, day: date, and_day: bool = False
 ) -> list[str]:

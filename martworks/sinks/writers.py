@@ -1,4 +1,4 @@
-"""Sinks (K1-K5) and the staged table swap used by merges.
+"""Sinks (K1-K5) and the table swap used by merges.
 
 Files are written through Spark's commit protocol: a lost executor re-runs its task,
 and only committed task output becomes visible.
@@ -6,6 +6,7 @@ and only committed task output becomes visible.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -55,45 +56,83 @@ def append_table(df: DataFrame, target: str, spark: SparkSession | None = None)
 
 
 def full_refresh(df: DataFrame, table: str, path: str | None = None) -> None:
-    """K4: drop, recreate and load a catalog table (optionally at an external path).
+    """K4: load a catalog table anew (optionally below an external path).
 
-    Spark refuses to overwrite a table the same job reads; use :func:`replace_table`.
+    A table that is there already is replaced in one metadata step (:func:`publish_table`):
+    readers find the old rows or the new ones, never neither.
     """
-    writer = df.write.mode("overwrite")
+    spark = df.sparkSession
+    if path or spark.catalog.tableExists(table):
+        publish_table(df, table, path)
+    else:
+        df.write.saveAsTable(table)
+
+
+VERSION = "v-"
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"].rstrip("/")
+
+
+def _versions_folder(spark: SparkSession, table: str, path: str | None, current: str | None) -> str:
     if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
+        return path.rstrip("/")
+    parent, _, name = current.rpartition("/")
+    return parent if name.startswith(VERSION) else f"{current}__versions"
 
 
-def recover_table(spark: SparkSession, table: str) -> None:
-    """Finish or undo a swap that a failed run left behind.
+def publish_table(df: DataFrame, table: str, path: str | None = None) -> str:
+    """Write ``df`` in full to a fresh folder, then point ``table`` at it; the folder.
 
-    A staging table without the target means the run died between drop and rename: its
-    content is complete, so it becomes the table. With both present the staging table
-    is incomplete and is dropped.
+    The switch is one change of the table's location, after all rows are written: a reader
+    before it sees the old version, one after it the new one, and a run that dies leaves the
+    old table as it was. ``df`` may read the table. The version that was replaced stays for the
+    readers it still has; versions before that, and folders of runs that died, are removed.
+    One writer at a time. A table whose columns change is created anew, which is two metadata
+    steps.
     """
-    stage = f"{table}__stg"
-    if not spark.catalog.tableExists(stage):
-        return
-    if spark.catalog.tableExists(table):
-        spark.sql(f"DROP TABLE {stage}")
+    spark = df.sparkSession
+    current = _location(spark, table) if spark.catalog.tableExists(table) else None
+    if current is None and not path:
+        raise ValueError("a new table needs the folder of its versions")
+    base = _versions_folder(spark, table, path, current)
+    fresh = f"{base}/{VERSION}{uuid.uuid4().hex[:12]}"
+    df.write.parquet(fresh)
+    columns = [(f.name, f.dataType) for f in df.schema.fields]
+    same = current is not None and columns == [
+        (f.name, f.dataType) for f in spark.table(table).schema.fields
+    ]
+    if same:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{fresh}'")
     else:
-        spark.sql(f"ALTER TABLE {stage} RENAME TO {table}")
+        if current is not None:
+            spark.sql(f"DROP TABLE {table}")
+        spark.catalog.createTable(table, fresh, "parquet", schema=df.schema)
+    spark.catalog.refreshTable(table)
+    _remove_old(spark, base, keep={fresh, current or fresh})
+    return fresh
+
+
+def _remove_old(spark: SparkSession, base: str, keep: set[str]) -> None:
+    """Delete the versions below ``base`` that are neither current nor just replaced."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    kept = {fs.makeQualified(path(k)).toString() for k in keep}
+    old = [status.getPath() for status in fs.globStatus(path(f"{base}/{VERSION}*")) or []]
+    if base.endswith("__versions"):  # where the table stood before its first version
+        first = path(base.removesuffix("__versions"))
+        old += [first] if fs.exists(first) else []
+    for folder in old:
+        if fs.makeQualified(folder).toString() not in kept:
+            fs.delete(folder, True)
 
 
 def replace_table(spark: SparkSession, df: DataFrame, table: str) -> None:
-    """Replace ``table`` by ``df`` even when ``df`` reads ``table`` (merges).
-
-    ``df`` is written in full to ``<table>__stg`` first; only then the old table is
-    dropped and the staging table renamed. A swap that an earlier run left half done is
-    finished first. Call :func:`recover_table` before reading the table in a run that
-    follows a failure.
-    """
-    recover_table(spark, table)
-    stage = f"{table}__stg"
-    df.write.mode("overwrite").saveAsTable(stage)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {stage} RENAME TO {table}")
+    """Replace ``table`` by ``df`` even when ``df`` reads ``table`` (merges): the new rows are
+    written in full before the table is pointed at them (see :func:`publish_table`)."""
+    full_refresh(df, table)
 
 
 def write_jdbc(

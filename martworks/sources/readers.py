@@ -19,8 +19,12 @@ def read_csv(
     infer: bool = False,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """CSV with a header row; the schema is given, or inferred when ``infer``."""
-    reader = spark.read.option("header", "true")
+    """CSV with a header row; the schema is given, or inferred when ``infer``.
+
+    A line that doesn't fit the schema in the columns that are read fails the job; to set
+    such lines aside use :func:`martworks.sources.quarantine.read_csv_checked`.
+    """
+    reader = spark.read.option("header", "true").option("mode", "FAILFAST")
     if schema is not None:
         reader = reader.schema(schema)
     elif infer:

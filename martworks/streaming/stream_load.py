@@ -14,22 +14,28 @@ one and never touches partitions of earlier runs. Each micro-batch
 * overwrites only its own partition (dynamic partition overwrite).
 
 A micro-batch that is replayed after a failure therefore rewrites exactly the rows it
-wrote before; nothing is lost or doubled. The micro-batch is staged first; its distinct
-keys are broadcast when they are few, so a small one does not shuffle the target.
+wrote before; nothing is lost or doubled. The micro-batch is staged first; its keys are
+looked up in the target's key table, of which only their buckets are read, or in the state
+that the query keeps of the keys it has seen (``seen="state"``), without reading the target.
 """
 
 from __future__ import annotations
 
+import functools
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
-from martworks.operators.merge import one_per_key
+from martworks.operators.merge import any_null, one_per_key
 from martworks.operators.transform import SchemaError
+from martworks.sinks.key_index import BUCKETS, KeyIndex
 from martworks.sinks.merge_writers import Staging
 from martworks.sinks.writers import stored_table
 
@@ -57,9 +63,13 @@ def batch_merger(
     cols: Sequence[str],
     order_by: Sequence[str] | None = None,
     run_id: str | Callable[[], str] = "manual",
+    key_buckets: int = BUCKETS,
+    own_run_is_new: bool = False,
 ):
     """The ``foreachBatch`` function: insert-ignore one micro-batch into its own partition.
 
+    ``own_run_is_new``: the keys of the run's earlier micro-batches have been left out already.
+
     Calling it again with the same run and ``batch_id`` (a replay after a failure) rewrites
     the same partition with the same rows. A target without the two partition columns was
     written by something else and raises.
@@ -74,11 +84,14 @@ def batch_merger(
             if stored is not None:
                 if not {RUN_COL, BATCH_COL} <= set(stored.columns):
                     raise SchemaError(f"{target_path} is not partitioned by {RUN_COL}, {BATCH_COL}")
-                own = (F.col(RUN_COL) == F.lit(run)) & (F.col(BATCH_COL) == F.lit(batch_id))
-                # only the target keys this micro-batch carries take part in the anti join
-                carried = staging.keys(staged, keys)
-                present = stored.where(~own).select(*keys).join(carried, list(keys), "left_semi")
-                fresh = fresh.join(present, on=list(keys), how="left_anti")
+                own = f"{RUN_COL}={run}/" + ("" if own_run_is_new else f"{BATCH_COL}={batch_id}/")
+                index = KeyIndex(spark, target_path, keys, key_buckets)
+                others = [n for n in index.stored_files(stored) if not n.startswith(own)]
+                if others:
+                    present = index.present(
+                        stored, staging.keys(staged, keys), lambda name: not name.startswith(own)
+                    )
+                    fresh = fresh.join(present, on=list(keys), how="left_anti")
             (
                 fresh.select(*cols)
                 .withColumns({RUN_COL: F.lit(run), BATCH_COL: F.lit(batch_id).cast("long")})
@@ -91,6 +104,60 @@ def batch_merger(
     return merge_batch
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    # a micro-batch uploads what changed, not the whole store
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Session settings while a query starts; the query keeps its own copy."""
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def _first_of_new(
+    key: tuple, parts: Iterator[pd.DataFrame], state: GroupState, order_by: Sequence[str]
+) -> Iterator[pd.DataFrame]:
+    """The first row of a key that no earlier micro-batch had."""
+    if state.exists:
+        return
+    state.update((True,))
+    best = None
+    for part in parts:
+        part = part if best is None else pd.concat([best, part])
+        # NULL comes first, as in the batch form
+        best = part.sort_values(list(order_by), kind="stable", na_position="first").head(1)
+    if best is not None:
+        yield best
+
+
+def new_keys(source: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None) -> DataFrame:
+    """The rows of a stream whose key no earlier row had; rows with a NULL key pass.
+
+    The keys seen are the state of a stateful operator, partitioned by key and restored from
+    the checkpoint. Without ``order_by`` any row of a new key may be the first: a built-in
+    operator. With it the rows that a micro-batch brings for a new key are compared.
+    """
+    keyed, loners = source.where(~any_null(keys)), source.where(any_null(keys))
+    if not order_by:
+        return keyed.dropDuplicates(list(keys)).unionByName(loners)
+    pick = functools.partial(_first_of_new, order_by=tuple(order_by))
+    first = keyed.groupBy(*keys).applyInPandasWithState(
+        pick, source.schema, "seen boolean", "append", "NoTimeout"
+    )
+    return first.unionByName(loners)
+
+
 def stream_load(
     spark: SparkSession,
     source_dir: str,
@@ -103,8 +170,18 @@ def stream_load(
     source_format: str = "parquet",
     max_files_per_trigger: int | None = None,
     recursive: bool = False,
+    key_buckets: int = BUCKETS,
+    seen: str = "index",
 ) -> StreamingQuery:
-    """Start the load; it stops by itself once the files present at start are done."""
+    """Start the load; it stops by itself once the files present at start are done.
+
+    ``seen``: where the keys loaded so far are looked up. ``index``: in the target's key table.
+    ``state``: in the state store (RocksDB) of the query, for loads whose micro-batches follow
+    each other closely; then only the keys of other runs, if there are any, are looked up in
+    the key table.
+    """
+    if seen not in ("index", "state"):
+        raise ValueError("seen must be 'index' or 'state'")
     reader = spark.readStream.schema(schema).format(source_format)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
@@ -113,16 +190,17 @@ def stream_load(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     source = reader.load(source_dir)
+    if seen == "state":
+        source = new_keys(source, keys, order_by)
     merge_batch = batch_merger(
         spark, target_path, keys, [f.name for f in schema.fields], order_by,
-        run_id=lambda: checkpoint_run(spark, checkpoint),
-    )
-    return (
-        source.writeStream.foreachBatch(merge_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+        run_id=lambda: checkpoint_run(spark, checkpoint), key_buckets=key_buckets,
+        own_run_is_new=seen == "state",
     )
+    writer = source.writeStream.foreachBatch(merge_batch)
+    writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    with _settings(spark, _STATE_CONF if seen == "state" else {}):
+        return writer.start()
 
 
 def run_stream_load(*args, **kwargs) -> None:

@@ -125,11 +125,9 @@ def test_a_small_batch_does_not_shuffle_the_target(spark, tmp_path):
         staged = staging.table(batch, "b")
         target = spark.read.parquet(path)
         carried = staging.keys(staged, ["id"])
-        fresh = mw._new_rows(staged, target.select("id"), ["id"], carried)
         merged = merge.upsert(target, staged, ["id"], ["v"], known_keys=carried)
-        assert [r["id"] for r in fresh.collect()] == ["new"]
         assert merged.count() == 50_001
-        for frame, kind in ((fresh, "LeftSemi"), (merged, "LeftAnti")):
+        for frame, kind in ((merged, "LeftAnti"),):
             frame.collect()
             plan = frame._jdf.queryExecution().executedPlan().toString()
             final = plan.split("== Initial Plan ==")[0]
@@ -141,23 +139,6 @@ def test_a_small_batch_does_not_shuffle_the_target(spark, tmp_path):
             assert not any("Exchange hashpartitioning" in x for x in below)
 
 
-def test_a_half_done_swap_is_finished_first(spark):
-    table = "mw_swap_case"
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"DROP TABLE IF EXISTS {table}__stg")
-    # the run died between drop and rename: only the staging table is there, complete
-    spark.range(3).write.saveAsTable(f"{table}__stg")
-    writers.recover_table(spark, table)
-    grown = spark.table(table).union(spark.range(3, 5))
-    writers.replace_table(spark, grown, table)
-    assert sorted(r[0] for r in spark.table(table).collect()) == [0, 1, 2, 3, 4]
-    # the same death, and a caller that goes straight to the next swap
-    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__stg")
-    writers.replace_table(spark, spark.range(1), table)
-    assert spark.table(table).count() == 1 and not spark.catalog.tableExists(f"{table}__stg")
-    spark.sql(f"DROP TABLE {table}")
-
-
 def test_only_a_missing_table_counts_as_empty(spark, tmp_path):
     assert writers.stored_table(spark, str(tmp_path / "none")) is None
     (tmp_path / "bad").mkdir()

@@ -1,6 +1,7 @@
-from pyspark.sql import functions as F
+import pytest
 
 from martworks.operators import merge
+from martworks.sinks.key_index import KeyIndex
 from martworks.streaming.stream_load import read_target, run_stream_load
 
 
@@ -61,8 +62,6 @@ def test_new_checkpoint_keeps_what_an_earlier_run_loaded(spark, tmp_path):
 
 
 def test_target_of_another_layout_is_refused(spark, tmp_path):
-    import pytest
-
     from martworks.operators.transform import SchemaError
     from martworks.streaming.stream_load import batch_merger
 
@@ -72,3 +71,68 @@ def test_target_of_another_layout_is_refused(spark, tmp_path):
     with pytest.raises(SchemaError):
         batch_merger(spark, target, ["id"], ["id", "v"])(rows, 0)
     assert _rows(spark.read.parquet(target)) == [(1, "a")]
+
+
+def _land(spark, src, name, rows, schema="id long, v string, seq long"):
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(src / name))
+
+
+@pytest.mark.parametrize("order_by", [None, ["seq"]])
+def test_seen_keys_in_state_equal_batch_insert_ignore(spark, tmp_path, monkeypatch, order_by):
+    """Restarts, late files and NULL keys; the target is never looked at within a run."""
+    looked = []
+    present = KeyIndex.present
+    monkeypatch.setattr(
+        KeyIndex, "present", lambda self, *a, **k: looked.append(1) or present(self, *a, **k)
+    )
+    schema = "id long, v string, seq long"
+    kinds = spark.createDataFrame([], schema).schema
+    src, target, ckpt = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "c")
+    loads = [
+        [(1, "a", 2), (1, "first", 1), (2, "b", 1), (None, "n", 1)],
+        [(2, "late", 0), (3, "c", 5), (None, "n", 1)],
+        [(1, "later", 9), (3, "x", 0), (4, "d", None), (4, "e", 1)],
+    ]
+    for i, rows in enumerate(loads):
+        _land(spark, src, f"f{i}", rows)
+        for _ in range(2):  # the second start finds nothing new
+            run_stream_load(spark, str(src), kinds, target, ["id"], ckpt, order_by=order_by,
+                            path_glob="*.parquet", recursive=True, seen="state")
+    got = read_target(spark, target, kinds)
+    want = spark.createDataFrame([], kinds)
+    for rows in loads:
+        want = merge.insert_ignore(want, spark.createDataFrame(rows, schema), ["id"], order_by)
+    cols = ["id", "v", "seq"] if order_by else ["id"]
+    assert _rows(got.select(*cols)) == _rows(want.select(*cols))
+    assert not looked
+    assert "RocksDB" in str(_providers(tmp_path / "c"))
+    # another checkpoint: what the first run loaded counts, looked up in the key table
+    run_stream_load(spark, str(src), kinds, target, ["id"], str(tmp_path / "c2"),
+                    order_by=order_by, path_glob="*.parquet", recursive=True, seen="state")
+    keyed = read_target(spark, target, kinds).where("id is not null")
+    assert _rows(keyed.select(*cols)) == _rows(want.where("id is not null").select(*cols))
+    assert looked
+
+
+def _providers(checkpoint):
+    return [p.read_text() for p in checkpoint.glob("offsets/*") if not p.name.startswith(".")]
+
+
+def test_replayed_micro_batch_with_state(spark, tmp_path):
+    """A run that wrote its rows and died before the commit makes the same partition again."""
+    kinds = spark.createDataFrame([], "id long, v string, seq long").schema
+    src, target, ckpt = tmp_path / "in", str(tmp_path / "t"), tmp_path / "c"
+    args = (spark, str(src), kinds, target, ["id"], str(ckpt))
+    more = {"path_glob": "*.parquet", "recursive": True, "seen": "state"}
+    _land(spark, src, "f0", [(1, "a", 1), (2, "b", 1)])
+    run_stream_load(*args, **more)
+    _land(spark, src, "f1", [(2, "late", 2), (3, "c", 2)])
+    run_stream_load(*args, **more)
+    once = _rows(read_target(spark, target, kinds))
+    commits = sorted(p for p in (ckpt / "commits").iterdir() if p.name.isdigit())
+    for path in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
+        path.unlink(missing_ok=True)
+    run_stream_load(*args, **more)
+    assert _rows(read_target(spark, target, kinds)) == once == [
+        (1, "a", 1), (2, "b", 1), (3, "c", 2),
+    ]
