@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
+import gc
 import pickle
 from collections.abc import Callable, Iterator
 
@@ -20,17 +23,48 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+#: Files of a staged table for each core of the cluster, at most.
+FILES_PER_CORE = 8
+
+
+def staged(df: DataFrame, name: str, tasks: int | None = None) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back.
 
-    Cuts the lineage: a lost executor costs the tasks that run, not the steps before.
+    Cuts the lineage: a lost executor costs the tasks that run, not the steps before. It is
+    written by at most ``tasks`` tasks, by default ``FILES_PER_CORE`` for each core: a table
+    that comes out of a shuffle with many more partitions would be that many small files.
+    ``tasks=0`` leaves the partitions and their order as they are.
     """
     spark = df.sparkSession
     path = work_path(spark, name)
-    df.write.parquet(path)
+    if tasks is None:
+        tasks = FILES_PER_CORE * spark.sparkContext.defaultParallelism
+    (df.coalesce(tasks) if tasks else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _give_back() -> None:
+    """Hand memory that is free in this process back to the system: the worker waits for its
+    next task beside others, and what it holds is theirs to use."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def frugal(work: Callable) -> Callable:
+    """A function for ``mapInArrow`` that leaves no free memory behind at the end of a task."""
+
+    @functools.wraps(work)
+    def run(batches, *args, **kwargs):
+        try:
+            yield from work(batches, *args, **kwargs)
+        finally:
+            _give_back()
+
+    return run
+
+
 def remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor
@@ -55,6 +89,7 @@ def utf8_batch(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]], off - off[0]
 
 
+@frugal
 def _fit(batches, fit: Callable):
     rows = [tuple(r.values()) for batch in batches for r in batch.to_pylist()]
     yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(rows))], pa.binary())], ["model"])
@@ -70,6 +105,26 @@ def fitted(sample: DataFrame, fit: Callable[[list[tuple]], object]) -> object:
     return pickle.loads(rows[0]["model"]) if rows else fit([])
 
 
+def labelled_sample(
+    docs: DataFrame, marked: DataFrame, label: str, per_label: int, most_chars: int
+) -> DataFrame:
+    """(text, label): ``per_label`` texts of each label 0 and 1 at most, drawn by id.
+
+    ``marked`` has one label for each doc_id. Only texts of up to ``most_chars`` characters can
+    be drawn, one of each id; what is too long or missing is left out before the draw, so it
+    costs no place in it.
+    """
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs))
+    rows = rows.where(F.length("text") <= most_chars).withColumn("mark", F.xxhash64("text"))
+    able = rows.groupBy("doc_id").agg(F.min("mark").alias("mark")).join(marked, "doc_id")
+    by_id = [F.xxhash64("doc_id"), F.col("doc_id")]
+    drawn = [able.where(F.col(label) == k).orderBy(*by_id).limit(per_label) for k in (0, 1)]
+    # three numbers for each row, per_label rows of each label: bounded
+    rows = rows.join(F.broadcast(drawn[0].union(drawn[1])), ["doc_id", "mark"])
+    rows = rows.groupBy("doc_id", label).agg(F.min("text").alias("text"))
+    return rows.orderBy(*by_id).limit(2 * per_label).select("text", label)
+
+
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 2048) -> Iterator[pa.RecordBatch]:
     """The batches in parts of at most ``rows`` rows, so that what is made of one is small."""
     for batch in batches:

@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from martworks.llm.common import staged
+from martworks.llm.common import FILES_PER_CORE, staged
 
 
-def _staged_edges(edges: DataFrame) -> tuple[DataFrame, tuple]:
+#: Edges that a task writes in a round, by the number of edges of the round before.
+EDGES_IN_TASK = 100_000
+
+
+def _staged_edges(edges: DataFrame, before: int | None = None) -> tuple[DataFrame, tuple]:
     """The edges written out, and a mark that changes when the set of them does."""
     seen = Observation()
     marks = F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")
-    edges = staged(edges.distinct().observe(seen, *marks), "edges")
+    tasks = None
+    if before is not None:
+        most = FILES_PER_CORE * edges.sparkSession.sparkContext.defaultParallelism
+        tasks = min(most, before // EDGES_IN_TASK + 1)
+    edges = staged(edges.distinct().observe(seen, *marks), "edges", tasks)
     return edges, (seen.get.get("n"), seen.get.get("x"))
 
 
@@ -42,7 +50,7 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges, mark = _staged_edges(
-            small.union(low.select("a", F.col("m").alias("b"))).where("a <> b")
+            small.union(low.select("a", F.col("m").alias("b"))).where("a <> b"), before[0] or 0
         )
         if mark == before:
             break

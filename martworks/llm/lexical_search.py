@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martworks.llm.common import staged, text_of, utf8_batch
+from martworks.llm.common import frugal, staged, text_of, utf8_batch
 
 K = 10
 HASHES = 5
@@ -47,7 +47,7 @@ BLOCK_DOCS = 2048
 BLOCK_BYTES = 1 << 20
 PART_TERMS = 50_000
 #: Document counts that a task gathers before it hands them on.
-HELD_TERMS = 500_000
+HELD_TERMS = 200_000
 #: Up to so many rows of candidates or terms are broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -136,6 +136,7 @@ def _width(times: np.ndarray) -> int:
     return min(max(LEAST_BITS, 1 << (entries * ENTRY_BITS - 1).bit_length()), MOST_BITS)
 
 
+@frugal
 def _signatures(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     waiting: dict[int, _Gathered] = {}
     held: Counter = Counter()
@@ -194,6 +195,7 @@ def build_index(docs: DataFrame) -> DataFrame:
 # -- items ---------------------------------------------------------------------------------
 
 
+@frugal
 def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, off = utf8_batch(batch.column("text"))
@@ -290,6 +292,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(i, 1).to_pylist()[0]
 
 
+@frugal
 def _highest(batches: Iterator[pa.RecordBatch], part: Part, k: int) -> Iterator[pa.RecordBatch]:
     """The k documents of the task's blocks with the highest bounds, for each item."""
     best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -312,6 +315,7 @@ def _highest(batches: Iterator[pa.RecordBatch], part: Part, k: int) -> Iterator[
         )
 
 
+@frugal
 def _open(
     batches: Iterator[pa.RecordBatch], part: Part, least: dict[int, tuple[int, int]]
 ) -> Iterator[pa.RecordBatch]:
@@ -330,6 +334,7 @@ def _open(
 # -- exact scores --------------------------------------------------------------------------
 
 
+@frugal
 def _scores(batches: Iterator[pa.RecordBatch], part: Part) -> Iterator[pa.RecordBatch]:
     schema = _arrow("qid long, uid long, doc_id long, score long")
     number = {t: i for i, t in enumerate(part.terms)}

@@ -78,7 +78,7 @@ def numbered(rows: DataFrame, group: str, order: list[str]) -> tuple[DataFrame,
     ascending = [F.asc_nulls_first(c) for c in [group, *order]]
     # the identifier carries the partition in its upper bits, partitions are in order
     at = F.monotonically_increasing_id()
-    in_order = staged(rows.orderBy(*ascending).select("*", at.alias("at")), "merkle-sorted")
+    in_order = staged(rows.orderBy(*ascending).select("*", at.alias("at")), "merkle-sorted", 0)
     in_order = in_order.withColumn("part", F.shiftright("at", 33))
     runs = in_order.groupBy(group, "part").agg(
         F.count(F.lit(1)).alias("rows"), F.min("at").alias("first")

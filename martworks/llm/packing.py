@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from martworks.llm.common import staged, text_of
+from martworks.llm.common import frugal, staged, text_of
 from martworks.llm.units import BYTE_LEVEL, Memory
 
 CAPACITY = 2048
@@ -83,6 +83,7 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(starts, [*starts[1:], length])]
 
 
+@frugal
 def _pieces(batches, json_path: str, rank_path: str, capacity: int):
     ids_of = encoder(json_path, rank_path).ids
     end = array.array("I", [SEPARATOR]).tobytes()
@@ -178,6 +179,7 @@ def slots(fillings: list[tuple[dict[int, int], int]]) -> dict[int, list[tuple[in
     return dict(at)
 
 
+@frugal
 def _place(batches, places: dict[int, list[tuple[int, ...]]]):
     firsts = {size: [x[0] for x in entries] for size, entries in places.items()}
     for batch in batches:
