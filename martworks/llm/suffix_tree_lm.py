@@ -1,19 +1,22 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-The symbols are the ``ALPHABET`` most frequent words, ``CLASSES`` classes that all other
-words fall into by their last two bytes, and the end of a text. A context is a run of up
-to ``DEPTH`` symbols that makes up at least ``LEAST_SHARE`` of all training tokens, so
-there are at most ``1 / LEAST_SHARE`` of each length. It is kept if its next-symbol
-distribution diverges from that of its longest proper suffix (Kullback-Leibler divergence
-over ``LEAST_DIVERGENCE`` nats, and significant for its count); suffixes of what is kept
-are kept. Distributions are smoothed towards that of the suffix, down to add-one at the
-root. A token is scored in the state of the longest kept suffix of what stands before it;
-a word of a class also takes its add-one share of the class, unseen words as one.
+The symbols are the frequent words, ``CLASSES`` classes that all other words fall into by
+their last two bytes, and the end of a text. A word is a symbol, and a run of up to ``DEPTH``
+symbols a context, from ``least`` occurrences among the N training tokens on: an eighth of the
+square root of N, so that alphabet and tree grow with the corpus, and stay small against it (at
+most ``8 * sqrt(N)`` contexts of a length; ``LEAST_ALPHABET`` words at least are symbols). A
+context is kept if its next-symbol distribution diverges from that of its longest proper suffix
+(Kullback-Leibler divergence over ``LEAST_DIVERGENCE`` nats, and significant for its count);
+suffixes of what is kept are kept. Distributions are smoothed towards that of the suffix, down
+to add-one at the root; next symbols seen fewer than ``LEAST_NEXT`` times leave their share to
+the suffix, so a context holds what it has seen, not a row of the alphabet. A token is scored
+in the state of the longest kept suffix of what stands before it; a word of a class also
+takes its add-one share of the class, unseen words as one.
 
 Word counts cover all training tokens and are one Spark aggregation. The ``KNOWN`` most
 frequent words at most go to the workers with their counts (a bound on memory); the other
 tokens of the documents are joined with the counts. Symbols are staged once, so that the
-passes for each length read no text.
+passes for each length read no text; what follows each context is counted and summed by Spark.
 
 Defined cases: null and wordless text is the end token alone; without training rows N and
 V are 0 and every score is that of an untrained tree; ties in frequency go to the smaller
@@ -32,18 +35,23 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martworks.llm.common import chunks, remainder, sliced, staged, text_of, utf8_batch
+from martworks.llm.common import chunks, frugal, remainder, sliced, staged, text_of, utf8_batch
 from martworks.llm.words import word_hashes
 
-ALPHABET = 1000
+LEAST_ALPHABET = 1000
 CLASSES = 128
-END = ALPHABET + CLASSES
-SYMBOLS = END + 1
 DEPTH = 3
-LEAST_SHARE = 5e-4
+LEAST_NEXT = 2
 LEAST_DIVERGENCE = 0.01
 TOWARDS_SUFFIX = 50.0
 KNOWN = 1 << 20
+#: Counts that a task gathers before it sums equal ones.
+GATHERED = 1 << 21
+
+
+def least_count(tokens: float) -> float:
+    """Occurrences that make a word a symbol and a run a context, of so many tokens."""
+    return max(2.0, math.sqrt(tokens) / 8)
 
 
 def _tokens(batch):
@@ -65,6 +73,7 @@ def _tokens(batch):
     return np.concatenate(hashes), np.concatenate(classes), np.concatenate(firsts)
 
 
+@frugal
 def _count_words(batches):
     for batch in sliced(batches):
         h, cls, _ = _tokens(batch)
@@ -82,22 +91,26 @@ class Words:
         """``totals``: words counted and distinct by class, over all training words."""
         order = np.argsort(word)
         self.word, self.n = word[order], n[order]
-        rank = np.lexsort((self.word, -self.n))[:ALPHABET]
-        self.symbol = np.full(len(word), -1, np.int64)
-        self.symbol[rank] = np.arange(len(rank))
         tokens, distinct = np.zeros(CLASSES), np.zeros(CLASSES)
         for c, (a, b) in totals.items():
             tokens[c], distinct[c] = a, b
         self.texts = texts
         self.tokens = int(tokens.sum()) + texts
         self.distinct = int(distinct.sum()) + (texts > 0)
+        self.least = least_count(self.tokens)
+        frequent = max(LEAST_ALPHABET, int((n >= self.least).sum()))
+        rank = np.lexsort((self.word, -self.n))[:frequent]
+        self.alphabet = len(rank)
+        self.end = self.alphabet + CLASSES
+        self.symbol = np.full(len(word), -1, np.int64)
+        self.symbol[rank] = np.arange(len(rank))
         of = cls[order][rank]
-        self.root = np.zeros(SYMBOLS)
-        self.root[: len(rank)] = self.n[rank]
+        self.root = np.zeros(self.end + 1)
+        self.root[: self.alphabet] = self.n[rank]
         tokens -= np.bincount(of, self.n[rank], CLASSES)
         distinct -= np.bincount(of, minlength=CLASSES)
-        self.root[ALPHABET:END] = tokens
-        self.root[END] = texts
+        self.root[self.alphabet : self.end] = tokens
+        self.root[self.end] = texts
         self.class_size = np.log10(tokens + distinct + 1)
 
 
@@ -135,6 +148,7 @@ _SYMBOL_ROWS = (
 )
 
 
+@frugal
 def _symbol_rows(batches, words: Broadcast):
     """The symbols of each text, sums of log10(c + 1), and the words to look up."""
     w = words.value
@@ -149,14 +163,14 @@ def _symbol_rows(batches, words: Broadcast):
         symbol = np.where(hit, w.symbol[at], -1) if len(w.word) else np.full(len(distinct), -1)
         logs, hit, symbol = np.log10(count + 1.0)[inverse], hit[inverse], symbol[inverse]
         in_class = symbol < 0
-        symbol = np.where(in_class, ALPHABET + cls, symbol).astype(np.int16)
+        symbol = np.where(in_class, w.alphabet + cls, symbol).astype(np.int32)
         out = {k: [] for k in ("n", "known", "all", "class", "symbols", "rare")}
         for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
             out["n"].append(b - a + 1)
             out["known"].append(int(hit[a:b].sum()) + end_known)
             out["all"].append(float(logs[a:b].sum()) + end_log)
             out["class"].append(float(logs[a:b][in_class[a:b]].sum()))
-            out["symbols"].append(np.append(symbol[a:b], np.int16(END)).tobytes())
+            out["symbols"].append(np.append(symbol[a:b], np.int32(w.end)).tobytes())
             out["rare"].append(h[a:b][~hit[a:b]].tobytes())
         yield pa.RecordBatch.from_arrays(
             [
@@ -176,7 +190,7 @@ def _symbol_rows(batches, words: Broadcast):
 
 def _joined(column) -> tuple[np.ndarray, np.ndarray]:
     """The symbols of a batch in a row, and for each its place in its text."""
-    rows = [np.frombuffer(x, np.int16) for x in column.to_pylist()]
+    rows = [np.frombuffer(x, np.int32) for x in column.to_pylist()]
     if not rows:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return (
@@ -186,145 +200,206 @@ def _joined(column) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Contexts:
-    """Contexts of one length by a code: the number of its suffix, then its first symbol."""
+    """Contexts of one length by a code: the number of its suffix, then its first symbol.
+
+    ``nexts`` are the codes (context, next symbol) seen after them, ``times`` how often,
+    ``size`` is what each context has seen in all and ``rest`` what ``times`` leaves out.
+    """
 
     def __init__(self, codes: np.ndarray):
         self.codes = np.sort(codes)
+        self.nexts, self.times = np.zeros(0, np.int64), np.zeros(0)
+        self.size = self.rest = np.zeros(len(codes))
 
     def find(self, codes: np.ndarray) -> np.ndarray:
         """Numbers of the codes, -1 where there is none."""
-        if not len(self.codes):
-            return np.full(len(codes), -1)
-        at = np.searchsorted(self.codes, codes)
-        at[at == len(self.codes)] = 0
-        return np.where(self.codes[at] == codes, at, -1)
+        return _find(self.codes, codes)
+
+    def follow(self, nexts: np.ndarray, times: np.ndarray, size: np.ndarray, symbols: int):
+        order = np.argsort(nexts)
+        self.nexts, self.times, self.size = nexts[order], times[order].astype(float), size
+        own = np.bincount(self.nexts // symbols, self.times, len(size))
+        self.rest = size - own
+
+    def smoothed(self, number, symbol, suffix, symbols: int) -> np.ndarray:
+        """Probability of ``symbol`` after context ``number``, ``suffix`` is that after its
+        longest proper suffix."""
+        at = _find(self.nexts, number * symbols + symbol)
+        n = np.where(at >= 0, self.times[at], 0.0) if len(self.times) else 0.0
+        wide = TOWARDS_SUFFIX + self.rest[number]
+        return (n + wide * suffix) / (self.size[number] + TOWARDS_SUFFIX)
 
 
-def _number(symbols: np.ndarray, place: np.ndarray, levels: list[Contexts]):
+def _find(sorted_codes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    if not len(sorted_codes):
+        return np.full(len(codes), -1)
+    at = np.searchsorted(sorted_codes, codes)
+    at[at == len(sorted_codes)] = 0
+    return np.where(sorted_codes[at] == codes, at, -1)
+
+
+def _number(symbols: np.ndarray, place: np.ndarray, levels: list[Contexts], base: int):
     """For each length, the number of the context before each symbol, or -1."""
     out, suffix = [], np.zeros(len(symbols), np.int64)
     for depth, level in enumerate(levels, 1):
         number = np.full(len(symbols), -1)
         ok = np.flatnonzero((place >= depth) & (suffix >= 0))
-        number[ok] = level.find(suffix[ok] * SYMBOLS + symbols[ok - depth])
+        number[ok] = level.find(suffix[ok] * base + symbols[ok - depth])
         out.append(number)
         suffix = number
     return out
 
 
-def _count_next(batches, levels: Broadcast):
+def _summed(codes: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    codes, times = np.concatenate(codes), np.concatenate(times)
+    found, at = np.unique(codes, return_inverse=True)
+    return found, np.bincount(at, times, len(found)).astype(np.int64)
+
+
+@frugal
+def _count_next(batches, levels: Broadcast, base: int):
     """(code, n) of context number and next symbol, contexts of the last length."""
     levels = levels.value
-    counts = np.zeros(len(levels[-1].codes) * SYMBOLS, np.int64)
+    codes, times = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for batch in sliced(batches):
         symbols, place = _joined(batch.column("symbols"))
-        number = _number(symbols, place, levels)[-1]
+        number = _number(symbols, place, levels, base)[-1]
         ok = number >= 0
-        counts += np.bincount(number[ok] * SYMBOLS + symbols[ok], minlength=len(counts))
-    used = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["code", "n"])
+        found, n = np.unique(number[ok] * base + symbols[ok], return_counts=True)
+        codes.append(found)
+        times.append(n)
+        if sum(map(len, codes)) > GATHERED:
+            found, n = _summed(codes, times)
+            codes, times = [found], [n]
+            if len(found) > GATHERED // 2:
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["code", "n"])
+                codes, times = [found[:0]], [n[:0]]
+    found, n = _summed(codes, times)
+    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["code", "n"])
 
 
 class Tree:
-    """Kept contexts and log10 of their next-symbol distributions."""
+    """Kept contexts with what follows them, over the symbols counted in ``root``."""
 
     def __init__(self, root: np.ndarray):
+        self.base = len(root)
+        self.root = (root + 1) / (root.sum() + self.base)
         self.levels: list[Contexts] = []
-        self.state: list[np.ndarray] = []
-        self.log_p = np.log10((root + 1) / (root.sum() + SYMBOLS))[None, :].astype(np.float32)
 
-    def grow(self, symbols: DataFrame) -> None:
+    def grow(self, symbols: DataFrame, least: float) -> None:
         """Adds the contexts of ``symbols``, one pass for each length."""
         context = symbols.sparkSession.sparkContext
-        root = 10.0 ** self.log_p[0].astype(float)
-        total = symbols.agg(F.sum(F.octet_length("symbols"))).first()[0] or 0
-        least = max(2.0, total / 2 * LEAST_SHARE)
-        levels, counts, smooth = [], [], [root[None, :]]
-        codes = np.arange(END)
-        for _ in range(DEPTH):
+        levels: list[Contexts] = []
+        codes = np.arange(self.base - 1)
+        while len(codes) and len(levels) < DEPTH:
             levels.append(Contexts(codes))
             sent = context.broadcast(levels)
-            table = (
-                symbols.select("symbols")
-                .mapInArrow(functools.partial(_count_next, levels=sent), "code long, n long")
-                .groupBy("code")
-                .agg(F.sum("n").alias("n"))
-                .toArrow()
-            )
-            n = np.zeros(len(codes) * SYMBOLS)
-            n[table.column("code").to_numpy()] = table.column("n").to_numpy()
-            counts.append(n.reshape(-1, SYMBOLS))
-            parent = smooth[-1][levels[-1].codes // SYMBOLS]
-            size = counts[-1].sum(axis=1, keepdims=True)
-            smooth.append((counts[-1] + TOWARDS_SUFFIX * parent) / (size + TOWARDS_SUFFIX))
-            # contexts one symbol longer: the symbol before, then this context
-            codes = self._longer(levels, counts, least)
-            if not len(codes):
-                break
-        self._keep(levels, counts, smooth)
-
-    @staticmethod
-    def _longer(levels, counts, least) -> np.ndarray:
+            count = functools.partial(_count_next, levels=sent, base=self.base)
+            table = symbols.select("symbols").mapInArrow(count, "code long, n long")
+            table = staged(table.groupBy("code").agg(F.sum("n").alias("n")), "nexts")
+            of = F.floor(F.col("code") / self.base).cast("long")
+            # one number for each context; next symbols seen LEAST_NEXT times or more
+            sizes = table.groupBy(of.alias("number")).agg(F.sum("n").alias("n")).toArrow()
+            nexts = table.where(F.col("n") >= LEAST_NEXT).toArrow()
+            sent.destroy()
+            size = np.zeros(len(codes))
+            size[sizes.column("number").to_numpy()] = sizes.column("n").to_numpy()
+            found, times = (nexts.column(c).to_numpy() for c in ("code", "n"))
+            levels[-1].follow(found, times, size, self.base)
+            codes = self._longer(levels, least)
+        self._keep(levels)
+
+    def _append(self, levels, depth: int, number: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """Numbers of the contexts of ``depth`` symbols that end in ``symbol`` after the
+        contexts ``number`` of one symbol less; -1 where there is none."""
+        if depth == 1:
+            return levels[0].find(symbol)
+        suffix, first = np.divmod(levels[depth - 2].codes[number], self.base)
+        shorter = self._append(levels, depth - 1, suffix, symbol)
+        found = levels[depth - 1].find(shorter * self.base + first)
+        return np.where(shorter >= 0, found, -1)
+
+    def _longer(self, levels, least: float) -> np.ndarray:
         """Codes of the contexts one longer that reach ``least``, by their counts as runs.
 
         The run x + s, s of the longest length counted, occurs as often as s without its
         last symbol, x before it, is followed by that symbol.
         """
-        depth = len(levels)
-        runs = _runs(levels)
-        at = {run: i for i, run in enumerate(runs)}
-        out = []
-        for i, j in zip(*np.nonzero(counts[-1] >= least)):
-            run = (*runs[i], int(j))
-            suffix = run[1:]
-            if j < END and suffix in at:
-                out.append(at[suffix] * SYMBOLS + run[0])
-        return np.array(sorted(out), np.int64) if depth < DEPTH else np.zeros(0, np.int64)
-
-    def _keep(self, levels, counts, smooth) -> None:
+        depth, last = len(levels), levels[-1]
+        number, symbol = np.divmod(last.nexts[last.times >= least], self.base)
+        number, symbol = number[symbol < self.base - 1], symbol[symbol < self.base - 1]
+        suffix, first = np.divmod(last.codes[number], self.base)
+        run = self._append(levels, depth, suffix, symbol)
+        return np.unique(run[run >= 0] * self.base + first[run >= 0])
+
+    def _before(self, levels, depth: int, number: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """Probability of ``symbol`` after the contexts ``number`` of ``depth`` symbols."""
+        if not depth:
+            return self.root[symbol]
+        level = levels[depth - 1]
+        suffix = self._before(levels, depth - 1, level.codes[number] // self.base, symbol)
+        return level.smoothed(number, symbol, suffix, self.base)
+
+    def _keep(self, levels) -> None:
         kept = [np.zeros(len(level.codes), bool) for level in levels]
         for d in reversed(range(len(levels))):
-            n = counts[d]
-            size = n.sum(axis=1)
-            own = n / np.maximum(size, 1)[:, None]
-            parent = smooth[d][levels[d].codes // SYMBOLS]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                far = np.where(own > 0, own * np.log(own / parent), 0).sum(axis=1)
+            level = levels[d]
+            number, symbol = np.divmod(level.nexts, self.base)
+            own = level.times / level.size[number]
+            parent = self._before(levels, d, level.codes[number] // self.base, symbol)
+            far = np.zeros(len(level.codes))
+            far += np.bincount(number, own * np.log(own / parent), len(far))
+            # the symbols that are left out count as one, which can only make it less
+            size = np.maximum(level.size, 1)
+            other = 1 - np.bincount(number, parent, len(level.codes))
+            rest = level.rest / size
+            some = (rest > 0) & (other > 0)
+            far[some] += rest[some] * np.log(rest[some] / other[some])
             # twice the log likelihood gain, against the mean of chance plus three deviations
-            free = np.maximum((n > 0).sum(axis=1), 1)
+            free = np.maximum(np.bincount(number, minlength=len(level.codes)), 1)
             kept[d] |= (far > LEAST_DIVERGENCE) & (2 * size * far > free + 3 * np.sqrt(2 * free))
             if d:
-                kept[d - 1][levels[d].codes[kept[d]] // SYMBOLS] = True
-        rows, base = [self.log_p], 1
-        for d, level in enumerate(levels):
-            state = np.full(len(level.codes), -1)
-            state[kept[d]] = base + np.arange(kept[d].sum())
-            self.state.append(state)
-            rows.append(np.log10(smooth[d + 1][kept[d]]).astype(np.float32))
-            base += int(kept[d].sum())
-        self.levels, self.log_p = levels, np.vstack(rows)
+                kept[d - 1][level.codes[kept[d]] // self.base] = True
+        # what is kept is numbered anew; suffixes of what is kept are kept
+        renumber = np.zeros(1, np.int64)
+        for level, own in zip(levels, kept):
+            if not own.any():
+                break
+            suffix, first = np.divmod(level.codes[own], self.base)
+            short = Contexts(renumber[suffix] * self.base + first)
+            renumber = np.cumsum(own) - 1
+            number, symbol = np.divmod(level.nexts, self.base)
+            of = own[number]
+            short.follow(
+                renumber[number[of]] * self.base + symbol[of],
+                level.times[of],
+                level.size[own],
+                self.base,
+            )
+            self.levels.append(short)
 
     def logs(self, symbols: np.ndarray, place: np.ndarray) -> np.ndarray:
         """log10 of each symbol's probability in the state of the longest kept suffix."""
-        state = np.zeros(len(symbols), np.int64)
-        for number, of in zip(_number(symbols, place, self.levels), self.state):
-            here = np.where(number >= 0, of[number], -1) if len(of) else number
-            state = np.where(here >= 0, here, state)
-        return self.log_p[state, symbols].astype(float)
+        p = self.root[symbols]
+        for number, level in zip(_number(symbols, place, self.levels, self.base), self.levels):
+            here = np.flatnonzero(number >= 0)
+            p[here] = level.smoothed(number[here], symbols[here], p[here], self.base)
+        return np.log10(p)
 
 
-def _runs(levels: list[Contexts]) -> list[tuple[int, ...]]:
+def runs(levels: list[Contexts], base: int) -> list[tuple[int, ...]]:
     """The contexts of the longest length as runs of symbols, oldest first."""
-    runs: list[tuple[int, ...]] = [()]
+    out: list[tuple[int, ...]] = [()]
     for level in levels:
-        suffix, symbol = np.divmod(level.codes, SYMBOLS)
-        runs = [(int(x), *runs[s]) for s, x in zip(suffix.tolist(), symbol.tolist())]
-    return runs
+        suffix, symbol = np.divmod(level.codes, base)
+        out = [(int(x), *out[s]) for s, x in zip(suffix.tolist(), symbol.tolist())]
+    return out
 
 
+@frugal
 def _score(batches, tree: Broadcast, class_size: np.ndarray):
-    size = np.zeros(SYMBOLS)
-    size[ALPHABET:END] = class_size
+    size = np.zeros(tree.value.base)
+    size[-CLASSES - 1 : -1] = class_size
     for batch in batches:
         score = []
         column = batch.column("symbols")
@@ -344,6 +419,7 @@ def _score(batches, tree: Broadcast, class_size: np.ndarray):
         )
 
 
+@frugal
 def _rare(batches):
     for batch in batches:
         words = [np.frombuffer(x, np.int64) for x in batch.column("rare").to_pylist()]
@@ -354,6 +430,15 @@ def _rare(batches):
             )
 
 
+def symbols_of(rows: DataFrame, words: Words) -> DataFrame:
+    """The staged symbols of ``rows`` (doc_id, text, held_out)."""
+    sent = rows.sparkSession.sparkContext.broadcast(words)
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    out = staged(rows.mapInArrow(functools.partial(_symbol_rows, words=sent), _SYMBOL_ROWS), "symbols")
+    sent.destroy()
+    return out
+
+
 def score_documents(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score by row."""
     context = docs.sparkSession.sparkContext
@@ -363,14 +448,9 @@ def score_documents(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame
         (remainder(docs["doc_id"], folds) == held).alias("held_out"),
     )
     rare_words, words = count_words(rows.where("not held_out").select("text"))
-    symbols = staged(
-        rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-            functools.partial(_symbol_rows, words=context.broadcast(words)), _SYMBOL_ROWS
-        ),
-        "symbols",
-    )
+    symbols = symbols_of(rows, words)
     tree = Tree(words.root)
-    tree.grow(symbols.where("not held_out").select("symbols"))
+    tree.grow(symbols.where("not held_out").select("symbols"), words.least)
     scored = symbols.mapInArrow(
         functools.partial(
             _score, tree=context.broadcast(tree), class_size=words.class_size
