@@ -29,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martworks.llm.common import fitted, remainder, text_of
+from martworks.llm.common import fitted, frugal, labelled_sample, remainder, text_of
 from martworks.llm.ngrams import code_points, hashed, text_chunks
 
 BITS = 11
@@ -148,23 +148,14 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5) -> Model:
         .groupBy("doc_id")
         .agg(F.min("quality").alias("quality"))
     )
-    drawn = [
-        marked.where(F.col("quality") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-        for k in (0, 1)
-    ]
-    # SAMPLE rows of two numbers for each label: bounded
-    sample = F.broadcast(drawn[0].union(drawn[1]))
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs))
-    rows = rows.where(F.length("text") <= TRAIN_CHARS).join(sample, "doc_id")
-    # an id with several texts could exceed the sample
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * SAMPLE)
-    return fitted(rows.select("text", "quality"), _model)
+    return fitted(labelled_sample(docs, marked, "quality", SAMPLE, TRAIN_CHARS), _model)
 
 
 def _model(rows: list[tuple[str, int]]) -> Model:
     return Model([text for text, _ in rows], [label for _, label in rows])
 
 
+@frugal
 def _score(batches, model: Broadcast):
     for batch in batches:
         score = model.value.score(batch.column("text").to_pylist())

@@ -13,8 +13,8 @@ favour are the positive ones; they are chosen anew by the first fit. A text's sc
 logistic function of its largest sentence value, the sum of the positive ones and the
 number of sentences.
 
-Training is bounded: ``SAMPLE`` labelled texts of each label by hash of the id, texts up
-to ``TRAIN_CHARS`` characters, all sentences of them; equal sentences under one label are
+Training is bounded: ``SAMPLE`` labelled texts of each label by hash of the id, of those with
+up to ``TRAIN_CHARS`` characters, all sentences of them; equal sentences under one label are
 one row with their number as weight. Scoring reads whole texts, without a shuffle. Since a sentence's value is a sum over words, each worker keeps
 the value of the words it has met.
 
@@ -39,7 +39,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martworks.llm.common import fitted, remainder, text_of
+from martworks.llm.common import fitted, frugal, labelled_sample, remainder, text_of
 from martworks.llm.ngrams import text_chunks
 from martworks.llm.units import Memory
 
@@ -64,7 +64,7 @@ def sentences(text: str) -> list[list[str]]:
     return [words for part in _SENTENCE.split(low) if (words := part.split())]
 
 
-@functools.lru_cache(maxsize=1 << 17)
+@functools.lru_cache(maxsize=1 << 15)
 def plain(word: str) -> str:
     """A word without marks around and inside it, signs read as letters."""
     bare = _MARKS.sub("", word)
@@ -339,19 +339,11 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5) -> Model:
     if not n["n"]:
         return Model()
     share = n["k"] / n["n"]
-    drawn = [
-        marked.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-        for k in (0, 1)
-    ]
-    # SAMPLE rows of two numbers for each label: bounded
-    sample = F.broadcast(drawn[0].union(drawn[1]))
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs))
-    rows = rows.where(F.length("text") <= TRAIN_CHARS).join(sample, "doc_id")
-    # an id with several texts could exceed the sample
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * SAMPLE)
-    return fitted(rows.select("text", "toxic"), functools.partial(Model.fit, share=share))
+    rows = labelled_sample(docs, marked, "toxic", SAMPLE, TRAIN_CHARS)
+    return fitted(rows, functools.partial(Model.fit, share=share))
 
 
+@frugal
 def _score(batches, model: Broadcast):
     known = Memory(model.value._words)
     for batch in batches:
@@ -367,6 +359,7 @@ def _score(batches, model: Broadcast):
         )
 
 
+@frugal
 def _keep_clean(batches, model: Broadcast):
     known = Memory(model.value._words)
     for batch in batches:
