@@ -1,20 +1,21 @@
 """PII surrogates: keyed, type-consistent replacements, in DataFrame functions only.
 
-Found are e-mail addresses, IPv4 addresses, IBANs, long hexadecimal and prefixed secrets,
+Found are e-mail addresses, IPv4 and IPv6 addresses, IBANs, long hexadecimal and prefixed secrets,
 phone, social-security and card or account numbers, and persons: names after a form of
 address, or a known given name with a surname, and bare mentions of those names in the
 same text. Each distinct entity of the table (its type and its normal form: digits
 of a number, lower case of an address or name) gets one replacement drawn from a keyed
 SHA-512 of both, so all its mentions, in whatever format, stay one entity. Digits become
 digits and letters letters of the same script, case and punctuation are those of the
-mention, given names keep gender and script, card numbers that pass the Luhn test still
-do, IP addresses come from the reserved block 240.0.0.0/4.
+mention, given names keep gender and script (Latin, Cyrillic, Greek; other scripts become
+Latin), card numbers that pass the Luhn test still do, IP addresses come from the reserved
+blocks 240.0.0.0/4 and 2001:db8::/32.
 
 Collision checks: a replacement that another entity of the type has, or that is itself an
 entity of the table, is drawn again for all but the smallest normal form, until each
-entity has its own; from the fourth draw on, given names are made up and addresses get a
-longer local part, so that small spaces cannot run out. All of it is joins and
-aggregations over the distinct entities.
+entity has its own; from the fourth draw on, given names are made up and names and the
+local parts of addresses get longer with each draw, from the thirteenth on numbers do, so that
+no space runs out. All of it is joins and aggregations over the distinct entities.
 
 Texts without an entity are passed through and never shuffled. The others are joined with
 their replacements by two 64-bit hashes of the text, so that copies of a text share one
@@ -37,6 +38,8 @@ from martworks.llm.common import staged
 
 DEFAULT_KEY = "martworks surrogates"
 LISTED_DRAWS = 3
+#: Draws after which numbers may be longer than those they stand for.
+GROWING_DRAWS = 12
 
 # Given names by gender and script, forms of address by gender.
 GIVEN = {
@@ -56,43 +59,51 @@ GIVEN = {
     ("f", "cyrillic"): (
         "Анна Мария Елена Ольга Наталья Татьяна Ирина Светлана Екатерина Вера Нина Юлия"
     ).split(),
+    ("m", "greek"): "Γιώργος Κώστας Νίκος Δημήτρης Γιάννης Παύλος Πέτρος Αλέξης".split(),
+    ("f", "greek"): "Μαρία Ελένη Κατερίνα Σοφία Άννα Βασιλική Δέσποινα Ειρήνη".split(),
 }
 ADDRESS = {
-    "m": r"Mr|Sir|Herrn?|Monsieur|Señor|господин|г-н",
-    "f": r"Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Señorita|госпожа|г-жа",
+    "m": r"Mr|Sir|Herrn?|Monsieur|Señor|господин|г-н|κύριος|Κύριος",
+    "f": r"Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Señorita|госпожа|г-жа|κυρία|Κυρία",
+    "": r"Dr|Prof|Professor|Doctor|Doktor|Docteur|Doctora?",
 }
 LATIN, CYRILLIC = "abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщыэюя"
+GREEK = "αβγδεζηθικλμνξοπρστυφχψω"
 SYLLABLES = {
     "latin": "bal ber bor cal cor dan del dor fal fer gan gor hal han kel kor lan lin mar mel "
     "mor nal nor pel ral ran sal san tan tor val wen".split(),
     "cyrillic": "бал бер бор вал вер гор дан дел дор зан зор кал кор лан лин мар мел мор нал "
     "нор пал пел рал ран сал сан тал тар тор фал хан чан".split(),
+    "greek": "βαλ βερ βορ γαν γορ δαν δελ δορ ζαν ζορ θαλ θερ καλ κορ λαν λιν μαρ μελ μορ ναλ "
+    "νορ παλ πελ ραλ ραν σαλ σαν ταλ ταρ τορ φαλ χαν".split(),
 }
 
-_NAME = r"\p{Lu}\p{Ll}+(?:['’-]\p{Lu}\p{Ll}+)?"
+_NAME = r"(?:\p{Lu}['’])?\p{Lu}\p{Ll}+(?:['’-]\p{Lu}\p{Ll}+)*"
+_FORMS = "|".join(ADDRESS.values())
 _KNOWN = "|".join(name for names in GIVEN.values() for name in names)
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 
 #: Type and pattern, in the order of precedence.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)*"
-    r"(?<=\.\p{L}{2,24})",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]++\.)+\p{L}{2,24}+(?![\p{N}])",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
+    "ip6": r"(?<![\p{L}\p{N}:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+    r"|(?=[A-Fa-f:]*\d)(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\p{L}\p{N}:])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "secret": r"(?<![\p{L}\p{N}])(?:(?=[a-f]*\d)[0-9a-f]{32,128}|(?=[A-F]*\d)[0-9A-F]{32,128}|(?:AKIA|ASIA)[0-9A-Z]{16}"
     r"|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9]{20,})(?![\p{L}\p{N}])",
     "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}"
-    r"|(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4})(?!\d)",
+    r"|(?:\(\d{3}\) ?|\d{3}[. -])\d{3}[. -]\d{4}|0\d{2,4}[ /-]\d{5,8})(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{N}-])",
     "card": r"(?<![\p{L}\p{N}])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\p{L}\p{N}])",
-    "person": rf"(?=[\p{{Lu}}г])(?<![\p{{L}}\p{{N}}])(?:(?:{'|'.join(ADDRESS.values())})\.? {_NAME}(?: {_NAME}){{0,2}}"
+    "person": rf"(?=[\p{{Lu}}гκ])(?<![\p{{L}}\p{{N}}])(?:(?:(?:{_FORMS})\.? )+{_NAME}(?: {_NAME}){{0,2}}"
     rf"|(?:{_KNOWN}) {_NAME})(?![\p{{L}}\p{{N}}])",
 }
 _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 _OTHER = "|".join(f"(?:{p})" for kind, p in PATTERNS.items() if kind != "person")
-_FEMALE = rf"^(?:{ADDRESS['f']})\b"
-_MALE = rf"^(?:{ADDRESS['m']})\b"
-_TITLE = rf"^(?:{'|'.join(ADDRESS.values())})\.? "
+_FEMALE = rf"^(?:{ADDRESS['f']})(?![\p{{L}}])"
+_MALE = rf"^(?:{ADDRESS['m']})(?![\p{{L}}])"
+_TITLE = rf"^(?:(?:{_FORMS})\.? )+"
 
 
 def _kind(entity: Column) -> Column:
@@ -112,7 +123,11 @@ def _gender(name: Column, mention: Column) -> Column:
 
 
 def _script(name: Column) -> Column:
-    return F.when(name.rlike(r"\p{IsCyrillic}"), F.lit("cyrillic")).otherwise(F.lit("latin"))
+    return (
+        F.when(name.rlike(r"\p{IsCyrillic}"), F.lit("cyrillic"))
+        .when(name.rlike(r"\p{IsGreek}"), F.lit("greek"))
+        .otherwise(F.lit("latin"))
+    )
 
 
 def _names(entity: Column) -> Column:
@@ -182,6 +197,7 @@ def _alike(text: Column, draw: Column, letters: str = LATIN) -> Column:
         small = (
             F.when((c >= "0") & (c <= "9"), F.pmod(v, F.lit(10)).cast("string"))
             .when(F.lower(c).rlike(r"\p{IsCyrillic}"), _one_of(CYRILLIC, v))
+            .when(F.lower(c).rlike(r"\p{IsGreek}"), _one_of(GREEK, v))
             .when(c.rlike(r"\p{L}"), _one_of(letters, v))
             .otherwise(c)
         )
@@ -208,9 +224,14 @@ def _card(normal: Column, draw: Column) -> Column:
     return F.when(F.pmod(_luhn(normal), F.lit(10)) == 0, F.concat(head, check)).otherwise(drawn)
 
 
-def _made_up(kind: Column, draw: Column) -> Column:
-    parts = lambda script: F.concat(*[_one_of(SYLLABLES[script], _byte(draw, F.lit(i))) for i in (1, 2, 3, 4)])
-    return F.when(kind.endswith("cyrillic"), parts("cyrillic")).otherwise(parts("latin"))
+def _made_up(kind: Column, draw: Column, attempt: int) -> Column:
+    """A name of four syllables, and of one more for each draw beyond the listed ones."""
+    places = range(1, 5 + max(0, attempt - LISTED_DRAWS))
+    parts = lambda script: F.concat(*[_one_of(SYLLABLES[script], _byte(draw, F.lit(i))) for i in places])
+    out = parts("latin")
+    for script in ("cyrillic", "greek"):
+        out = F.when(kind.endswith(script), parts(script)).otherwise(out)
+    return out
 
 
 def _replacement(key: str, entity: Column, attempt: int) -> Column:
@@ -242,21 +263,30 @@ def _replacement(key: str, entity: Column, attempt: int) -> Column:
     iban = F.concat(
         F.substring(normal, 1, 2), _alike(F.substring(normal, F.lit(3), F.length(normal)), draw)
     )
-    name = _made_up(kind, draw)
+    name = _made_up(kind, draw, attempt)
     if attempt < LISTED_DRAWS:
         for (gender, script), names in GIVEN.items():
             value = _byte(draw, F.lit(0)) * 256 + _byte(draw, F.lit(1))
             name = F.when(
                 kind == f"given-{gender}/{script}", F.lower(_one_of(names, value))
             ).otherwise(name)
+    groups = [F.substring(draw, 101 + 4 * i, 4) for i in range(6)]
+    address6 = F.concat_ws(":", F.lit("2001:db8"), *groups)
+    card, ssn = _card(normal, draw), _alike(normal, draw)
+    if attempt >= GROWING_DRAWS:
+        # more numbers of this form in the table than there are others: longer ones are left
+        longer = F.translate(F.substring(draw, 1, attempt - GROWING_DRAWS + 1), "abcdef", "012345")
+        phone, card, ssn, iban = (F.concat(c, longer) for c in (phone, card, ssn, iban))
+        address = address6
     return (
         F.when(kind == "email", mail)
         .when(kind == "ip", address)
+        .when(kind == "ip6", address6)
         .when(kind == "iban", iban)
         .when(kind == "secret", secret)
         .when(kind == "phone", phone)
-        .when(kind == "card", _card(normal, draw))
-        .when(kind == "ssn", _alike(normal, draw))
+        .when(kind == "card", card)
+        .when(kind == "ssn", ssn)
         .otherwise(name)
     )
 
@@ -308,7 +338,9 @@ def _in_format(mention: Column, core: Column) -> Column:
         )
         return F.when(c.rlike(r"[\p{L}\p{N}]"), F.substring(signs, rank, F.lit(1))).otherwise(c)
 
-    return F.array_join(F.transform(F.split(mention, ""), one), "")
+    places = F.length(F.regexp_replace(mention, r"[^\p{L}\p{N}]", ""))
+    longer = F.substring(signs, places + 1, F.length(signs))
+    return F.concat(F.array_join(F.transform(F.split(mention, ""), one), ""), longer)
 
 
 def _render(mention: Column, cores: Column) -> Column:
@@ -347,7 +379,7 @@ def _render(mention: Column, cores: Column) -> Column:
 def _has_entity(text: Column) -> Column:
     """Whether a text matches any pattern. All but persons hold one of a few signs, which
     most texts lack: those are looked for first."""
-    signs = text.rlike("[0-9@]")
+    signs = text.rlike("[0-9@]|::")
     for prefix in ("AKIA", "ASIA", "sk-", "_"):
         signs = signs | text.contains(prefix)
     found = (signs & text.rlike(_OTHER)) | text.rlike(PATTERNS["person"])
