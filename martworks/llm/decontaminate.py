@@ -13,8 +13,9 @@ that are left out without loss, the rest is verified by alignment in the band, w
 gives the edits and the place.
 
 Documents are read once and nothing is shuffled. The index of the benchmark is broadcast
-in parts of at most ``INDEX_CHARS`` characters; a larger benchmark takes one pass over the
-documents for each part.
+in parts of about ``INDEX_CHARS`` characters (some 180 bytes a character in a worker); a larger
+benchmark takes one pass over the documents for each part, and the filter stages what one pass
+leaves before the next.
 
 Defined cases: null or empty texts and items match nothing; items with fewer than
 ``SHORTEST`` characters after normalization are no evidence and match nothing; repeated
@@ -35,7 +36,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martworks.llm.common import text_of
+from martworks.llm.common import frugal, staged, text_of
 from martworks.llm.ngrams import code_points, text_chunks
 
 Q = 8
@@ -45,7 +46,7 @@ STRIDE = 10
 EDIT_SHARE = 0.1
 LEAST_SHARED = 4
 SHORTEST = 24
-INDEX_CHARS = 4_000_000
+INDEX_CHARS = 1_000_000
 ENTRIES_AT_ONCE = 1 << 18
 _FILTER_BITS = 21
 
@@ -265,6 +266,7 @@ def hits(index: Index, texts: list[str]) -> dict[tuple[int, int], list]:
     return {k: [len(v[0]), *v[1:]] for k, v in out.items()}
 
 
+@frugal
 def _matches(batches, index: Broadcast):
     for batch in batches:
         texts = batch.column("text").to_pylist()
@@ -282,6 +284,7 @@ def _matches(batches, index: Broadcast):
         )
 
 
+@frugal
 def _without(batches, index: Broadcast, column: str):
     for batch in batches:
         texts = [t or "" for t in batch.column(column).to_pylist()]
@@ -327,8 +330,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no benchmark item is found, all columns as they are."""
-    for index in indexes(benchmark):
+    parts = indexes(benchmark)
+    for n, index in enumerate(parts, 1):
         docs = docs.mapInArrow(
             functools.partial(_without, index=index, column="text"), docs.schema
         )
+        if n < len(parts):
+            # one index in a worker at a time
+            docs = staged(docs, "decontaminated")
+            index.unpersist()
     return docs

@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martworks.llm.common import remainder, text_of
+from martworks.llm.common import frugal, remainder, staged, text_of
 from martworks.llm.ngrams import code_points, hashed, row_sums, text_chunks
 
 BITS = 16
@@ -33,9 +33,15 @@ ORDERS = range(1, 5)
 SMOOTHING = 0.5
 MAX_LANGUAGES = 256
 
-_LETTER = re.compile(r"[^\W\d_]")
+_ASCII_LETTER = re.compile("[A-Za-z]")
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is a letter (Unicode categories L*)."""
+    return _ASCII_LETTER.search(text) is not None or any(map(str.isalpha, text))
+
+
+@frugal
 def _count(batches, bits: int):
     """(lang, bucket, n) of a task's texts; bucket -1 has the number of texts."""
     grams = defaultdict(lambda: np.zeros(1 << bits, np.int64))
@@ -45,7 +51,7 @@ def _count(batches, bits: int):
         for lang, text in zip(
             batch.column("lang").to_pylist(), batch.column("text").to_pylist()
         ):
-            if _LETTER.search(text):
+            if has_letter(text):
                 by_lang[lang].append(text.lower())
         for lang, texts in by_lang.items():
             texts_of[lang] += len(texts)
@@ -84,8 +90,8 @@ class Model:
                 total += row_sums(self.log_p[bucket], first)
             best = total.argmax(axis=1)
             chance = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
-            for i, text in enumerate(lowered):
-                known = _LETTER.search(text) is not None
+            for i, text in enumerate(texts[lo:hi]):
+                known = has_letter(text)
                 names.append(self.langs[best[i]] if known else "und")
                 scores.append(float(chance[i]) if known else 0.0)
         return names, scores
@@ -100,21 +106,27 @@ def fit(rows: DataFrame, bits: int = BITS) -> Model:
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
     )
-    texts_of = counted.where("bucket = -1").limit(MAX_LANGUAGES + 1).toArrow().to_pydict()
-    langs = sorted(texts_of["lang"])
+    counted = staged(counted, "ngram-counts")
+    texts_of = counted.where("bucket = -1").orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
+    langs = [r["lang"] for r in texts_of]
     if len(langs) > MAX_LANGUAGES:
         raise ValueError(f"over {MAX_LANGUAGES} languages: the matrix would not be bounded")
     counts = np.zeros((1 << bits, len(langs)))
-    table = counted.where("bucket >= 0").toArrow()
-    at = {lang: i for i, lang in enumerate(langs)}
-    which = np.array([at[x] for x in table.column("lang").to_pylist()], np.int64)
-    counts[table.column("bucket").to_numpy(), which] = table.column("n").to_numpy()
+    # numbers come to the driver, not a name for each count
+    numbered = F.broadcast(
+        rows.sparkSession.createDataFrame(list(enumerate(langs)), "number int, lang string")
+    )
+    table = counted.where("bucket >= 0").join(numbered, "lang").select("number", "bucket", "n")
+    table = table.toArrow()
+    at = [table.column(c).to_numpy() for c in ("bucket", "number")]
+    counts[at[0], at[1]] = table.column("n").to_numpy()
     counts += SMOOTHING
-    n = np.array([dict(zip(texts_of["lang"], texts_of["n"]))[x] for x in langs], float)
+    n = np.array([r["n"] for r in texts_of], float)
     log_p = np.log(counts / counts.sum(axis=0)).astype(np.float32)
     return Model(langs, log_p, np.log(n / n.sum()) if langs else n, bits)
 
 
+@frugal
 def _predict(batches, model: Broadcast):
     for batch in batches:
         names, scores = model.value.score(batch.column("text").to_pylist())

@@ -32,13 +32,15 @@ from __future__ import annotations
 
 import functools
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from martworks.llm.common import chunks, sliced, staged, text_of, utf8_batch
+from martworks.llm.common import chunks, frugal, sliced, staged, text_of, utf8_batch
 from martworks.llm.components import components
 from martworks.llm.words import mix, word_hashes
 
@@ -82,6 +84,7 @@ def _set_sums(values: np.ndarray) -> tuple[int, int]:
     return int(one.astype(np.int64)), int(two.astype(np.int64))
 
 
+@frugal
 def _featurize(batches, width: int, k: int | None):
     """(doc_id, h1, h2, n, kept values) of each row; all values where ``k`` is None."""
     for batch in batches:
@@ -146,6 +149,7 @@ def _with_partners(members: DataFrame, num: int, den: int, k: int) -> DataFrame:
     return kept.drop("lo", "hi")
 
 
+@frugal
 def _retained(batches):
     """(value, node, n) of each value of a sketch."""
     for batch in batches:
@@ -194,6 +198,7 @@ def postings(classes: DataFrame, num: int, den: int, k: int) -> DataFrame:
     )
 
 
+@frugal
 def _estimated(batches, num: int, den: int, k: int):
     """Pairs that pass the union-sketch estimate; ``sure`` where it is the exact value."""
     t = num / den
@@ -224,6 +229,7 @@ def _estimated(batches, num: int, den: int, k: int):
         )
 
 
+@frugal
 def _confirmed(batches, num: int, den: int):
     for batch in sliced(batches):
         col = {name: batch.column(name).to_pylist() for name in batch.schema.names}
@@ -393,13 +399,8 @@ def class_components(links: _Links, lists: DataFrame) -> DataFrame:
         members = left.where(~hub).select("key", "node", "n", "place")
 
 
-def minhash_components(
-    docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, k: int = K
-) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for each row of ``docs``.
-
-    Documents are linked where ``den`` * intersection >= ``num`` * union of their sets.
-    """
+def _classified(docs: DataFrame, width: int, num: int, den: int, k: int):
+    """(doc_id, h1, h2, n) of each row, and (h1, h2, root, component_id) of its class."""
     feats = staged(features(docs, width, 0).drop("vals"), "features")
     sketches = features(docs, width, k).where("n > 0")
     classes = (
@@ -413,9 +414,18 @@ def minhash_components(
     grouped = classes.select("node", "h2", "rep").join(found, "node", "left")
     grouped = staged(grouped.withColumn("root", F.coalesce("root", "node")), "grouped")
     least = grouped.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = grouped.join(least, "root").select(
-        F.col("node").alias("h1"), "h2", "component_id"
-    )
+    named = grouped.join(least, "root")
+    return feats, named.select(F.col("node").alias("h1"), "h2", "root", "component_id")
+
+
+def minhash_components(
+    docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, k: int = K
+) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for each row of ``docs``.
+
+    Documents are linked where ``den`` * intersection >= ``num`` * union of their sets.
+    """
+    feats, named = _classified(docs, width, num, den, k)
     rows = feats.where("n > 0").join(named, ["h1", "h2"]).select("doc_id", "n", "component_id")
     alone = feats.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return rows.union(alone).select(
@@ -426,14 +436,67 @@ def minhash_components(
     )
 
 
+@frugal
+def _with_class(batches, width: int, names: list[str]):
+    """Rows with the two sums of their set in the columns ``names``."""
+    for batch in batches:
+        sums = []
+        text = batch.column(names[0])
+        data, offsets = utf8_batch(text)
+        for lo, hi in chunks(offsets):
+            part = data[offsets[lo] : offsets[hi]]
+            sets = shingle_sets(part, offsets[lo : hi + 1] - offsets[lo], width)
+            sums.extend((*_set_sums(s), len(s)) for s in sets)
+        table = batch.drop_columns([names[0]])
+        for i, name in enumerate(names[1:]):
+            table = table.append_column(name, pa.array([s[i] for s in sums], pa.int64()))
+        yield table
+
+
+def _classed(docs: DataFrame, width: int, names: list[str]) -> DataFrame:
+    """``docs`` with the sums of its sets and their size in the columns ``names``."""
+    text = f"{names[0]}_text"
+    schema = T.StructType([*docs.schema.fields, *[T.StructField(c, T.LongType()) for c in names]])
+    work = functools.partial(_with_class, width=width, names=[text, *names])
+    return docs.withColumn(text, text_of(docs)).mapInArrow(work, schema)
+
+
 def keep_one_of_each(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100):
-    """The rows of ``docs`` whose document stays: one of each group of near copies.
+    """The rows of ``docs`` that stay: one of each group of near copies.
 
-    Where one id is repeated, each different text under it stays once.
+    Of each component the row with the smallest id stays, a null id last; where an id is
+    repeated, its rows are told apart by their sets, so that one row stays for each component,
+    whatever ids its rows have. Rows without a shingle all stay.
     """
-    kept = minhash_components(docs, width, num, den).where("kept").select("doc_id")
-    kept = staged(kept.groupBy("doc_id").agg(F.count("*").alias("times")), "kept")
-    once = kept.where("times = 1").select(F.col("doc_id").alias("_kept_id"))
-    more = kept.where("times > 1").select(F.col("doc_id").alias("_kept_id"))
-    of = lambda ids: docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept_id"]), "left_semi")
-    return of(once).union(of(more).dropDuplicates(["doc_id", "text"]))
+    feats, named = _classified(docs, width, num, den, K)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "h2"))
+    kept = feats.where("n > 0").join(named, ["h1", "h2"]).groupBy("root").agg(first.alias("one"))
+    kept = kept.select("one.doc_id", "one.h1", "one.h2")
+    bare = feats.where("n = 0").select("doc_id", "h1", "h2").distinct()
+    repeated = feats.groupBy("doc_id").agg(F.count("*").alias("rows"))
+    repeated = repeated.where("rows > 1 or doc_id is null")
+    kept = kept.union(bare).join(
+        repeated.select(F.col("doc_id").alias("id"), F.lit(True).alias("several")),
+        F.expr("doc_id <=> id"),
+        "left",
+    )
+    tag = f"c{uuid.uuid4().hex[:8]}"
+    h1, h2, size = (f"{tag}_{c}" for c in ("h1", "h2", "n"))
+    kept = staged(
+        kept.select(
+            F.col("doc_id").alias(f"{tag}_id"), F.col("h1").alias(h1), F.col("h2").alias(h2),
+            F.coalesce("several", F.lit(False)).alias(f"{tag}_several"),
+        ),
+        "kept",
+    )
+    same = docs["doc_id"].eqNullSafe(kept[f"{tag}_id"])
+    once = docs.join(kept.where(~F.col(f"{tag}_several")), same, "left_semi")
+    several = kept.where(f"{tag}_several")
+    if several.isEmpty():
+        return once
+    more = _classed(docs.join(several, same, "left_semi"), width, [h1, h2, size])
+    on = [more["doc_id"].eqNullSafe(several[f"{tag}_id"]), *[more[c] == several[c] for c in (h1, h2)]]
+    more = more.join(several, on, "left_semi")
+    one = more.where(F.col(size) > 0).dropDuplicates(["doc_id", h1, h2])
+    more = one.unionAll(more.where(F.col(size) == 0)).select(*docs.columns)
+    return once.unionAll(more)

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from martworks.llm import language_id, quality, suffix_tree_lm, toxicity
 from tests.conftest import SF_MID
@@ -74,75 +75,143 @@ def test_lm_edge_rows(edge_docs, no_docs):
     assert suffix_tree_lm.score_documents(no_docs).count() == 0
 
 
-def test_tree_probabilities_sum_to_one(table):
-    rows = table.selectExpr("text")
-    _, counted = suffix_tree_lm.count_words(rows)
-    tree = suffix_tree_lm.Tree(counted.root)
-    assert np.allclose((10.0 ** tree.log_p.astype(float)).sum(axis=1), 1, atol=1e-4)
-    # a class: its words by add-one, and one unseen word
-    assert np.all(10**counted.class_size >= 1)
+def _grown(spark, seqs, symbols, least, monkeypatch, least_next=1):
+    monkeypatch.setattr(suffix_tree_lm, "LEAST_NEXT", least_next)
+    frame = spark.createDataFrame([(np.array(s, np.int32).tobytes(),) for s in seqs], "symbols binary")
+    root = np.zeros(symbols)
+    for s in seqs:
+        np.add.at(root, s, 1)
+    tree = suffix_tree_lm.Tree(root)
+    tree.grow(frame, least)
+    return tree, root
 
 
-def test_tree_against_counting_by_hand(spark, monkeypatch):
-    """The contexts, their counts and the smoothed distributions of a small corpus."""
-    import functools
-
-    monkeypatch.setattr(suffix_tree_lm, "LEAST_SHARE", 0.01)
+def _sequences():
     draw = np.random.default_rng(0)
     seqs = []
     for _ in range(200):
         s = [0]
         while len(s) < 30:
             s.append((s[-1] * 2 + (s[-2] if len(s) > 1 else 0) + int(draw.random() < 0.2)) % 7)
-        seqs.append([*s, suffix_tree_lm.END])
-    rows = [(np.array(s, np.int16).tobytes(),) for s in seqs]
-    frame = spark.createDataFrame(rows, "symbols binary")
-    root = np.zeros(suffix_tree_lm.SYMBOLS)
-    for s in seqs:
-        np.add.at(root, s, 1)
-    tree = suffix_tree_lm.Tree(root)
-    tree.grow(frame)
-    assert np.allclose((10.0 ** tree.log_p.astype(float)).sum(axis=1), 1, atol=1e-3)
+        seqs.append([*s, 7])
+    return seqs
+
+
+@pytest.mark.parametrize("least_next", [1, 40])
+def test_tree_against_counting_by_hand(spark, monkeypatch, least_next):
+    """The contexts, their counts and the smoothed distributions of a small corpus."""
+    import functools
 
+    seqs = _sequences()
     total = sum(map(len, seqs))
-    runs = Counter(tuple(s[i - d : i]) for s in seqs for d in (1, 2, 3) for i in range(d, len(s)))
+    tree, root = _grown(spark, seqs, 8, 0.01 * total, monkeypatch, least_next)
+    held = Counter(tuple(s[i - d : i]) for s in seqs for d in (1, 2, 3) for i in range(d, len(s)))
     after = Counter((tuple(s[i - d : i]), s[i]) for s in seqs for d in (0, 1, 2, 3) for i in range(d, len(s)))
     wide = suffix_tree_lm.TOWARDS_SUFFIX
 
     @functools.cache
     def smooth(context, symbol):
         if not context:
-            return (root[symbol] + 1) / (root.sum() + suffix_tree_lm.SYMBOLS)
-        n = sum(after[context, x] for x in {s for _, s in after})
-        return (after[context, symbol] + wide * smooth(context[1:], symbol)) / (n + wide)
-
-    seen = 0
-    for d, level in enumerate(tree.levels, 1):
-        names = suffix_tree_lm._runs(tree.levels[:d])
-        for context, state in zip(names, tree.state[d - 1].tolist()):
-            if d > 1:
-                assert runs[context] >= 0.01 * total
-            if state >= 0:
-                seen += 1
-                for symbol in range(7):
-                    assert tree.log_p[state, symbol] == pytest.approx(
-                        math.log10(smooth(context, symbol)), abs=1e-4
-                    )
-    assert seen > 10
+            return (root[symbol] + 1) / (root.sum() + 8)
+        n = sum(after[context, x] for x in range(8))
+        seen = sum(c for x in range(8) if (c := after[context, x]) >= least_next)
+        own = after[context, symbol] if after[context, symbol] >= least_next else 0
+        return (own + (wide + n - seen) * smooth(context[1:], symbol)) / (n + wide)
+
+    kept = set()
+    for d in range(1, len(tree.levels) + 1):
+        names = suffix_tree_lm.runs(tree.levels[:d], tree.base)
+        kept.update(names)
+        level = tree.levels[d - 1]
+        for i, context in enumerate(names):
+            assert level.size[i] == sum(after[context, x] for x in range(8))
+            assert d == 1 or held[context] >= 0.01 * total
+            assert sum(smooth(context, x) for x in range(8)) == pytest.approx(1)
+    assert len(kept) > 10
+    assert all(context[1:] in kept for context in kept if len(context) > 1)
     # the state of each symbol is the longest kept suffix
-    place = np.arange(len(seqs[0]))
-    logs = tree.logs(np.array(seqs[0]), place)
-    kept = {
-        name
-        for d in range(1, len(tree.levels) + 1)
-        for name, state in zip(suffix_tree_lm._runs(tree.levels[:d]), tree.state[d - 1])
-        if state >= 0
-    }
-    for i, symbol in enumerate(seqs[0]):
-        context = next(
-            (c for d in (3, 2, 1) if i >= d and (c := tuple(seqs[0][i - d : i])) in kept), ()
+    for seq in seqs[:20]:
+        logs = tree.logs(np.array(seq), np.arange(len(seq)))
+        for i, symbol in enumerate(seq):
+            context = next((c for d in (3, 2, 1) if i >= d and (c := tuple(seq[i - d : i])) in kept), ())
+            assert logs[i] == pytest.approx(math.log10(smooth(context, symbol)), abs=1e-9)
+
+
+def test_contexts_that_diverge_are_kept(spark, monkeypatch):
+    """What follows a symbol depends on the one before it only where the corpus says so."""
+    draw = np.random.default_rng(1)
+    seqs = []
+    for _ in range(300):
+        s = []
+        while len(s) < 40:
+            x = int(draw.integers(0, 3))
+            # 3 is followed by 4 after 0 and by 5 after 1; 2 by anything
+            s += [x, 3, 4 if x == 0 else 5] if x < 2 else [2, int(draw.integers(0, 6))]
+        seqs.append([*s, 6])
+    tree, _ = _grown(spark, seqs, 7, 20, monkeypatch)
+    pairs = set(suffix_tree_lm.runs(tree.levels[:2], tree.base))
+    assert {(0, 3), (1, 3)} <= pairs
+
+
+def test_scores_end_to_end(spark, make_docs, monkeypatch):
+    """Words, classes, unseen words and contexts of whole texts, against plain counting."""
+    monkeypatch.setattr(suffix_tree_lm, "LEAST_ALPHABET", 4)
+    draw = np.random.default_rng(2)
+    vocabulary = [f"w{i}" for i in range(60)]
+    weights = np.array([1 / (i + 1) for i in range(60)])
+    texts = [" ".join(draw.choice(vocabulary, 50, p=weights / weights.sum())) for _ in range(80)]
+    rows = suffix_tree_lm.score_documents(make_docs([*texts, "never seen w1 w2", ""])).collect()
+    train = [words(t) for i, t in enumerate(texts) if fold(i, 7) != 2]
+    train += [words(t) for i, t in ((80, "never seen w1 w2"), (81, "")) if fold(i, 7) != 2]
+    count = Counter(w for ws in train for w in ws)
+    total = sum(count.values()) + len(train)
+    least = suffix_tree_lm.least_count(total)
+    frequent = [w for w, n in count.items() if n >= least]
+    assert len(frequent) > 4
+    # with contexts switched off a text's score is that of its words and classes alone
+    monkeypatch.setattr(suffix_tree_lm, "DEPTH", 0)
+    flat = {r["doc_id"]: r for r in suffix_tree_lm.score_documents(make_docs([*texts, "never seen w1 w2", ""])).collect()}
+    last = lambda w: (w.encode()[-1] * 31 + (w.encode()[-2] if len(w.encode()) > 1 else 0) * 17) % suffix_tree_lm.CLASSES
+    of_class = Counter()
+    kinds = Counter()
+    for w, n in count.items():
+        if w not in frequent:
+            of_class[last(w)] += n
+            kinds[last(w)] += 1
+    symbols = len(frequent) + suffix_tree_lm.CLASSES + 1
+    root = total + symbols
+
+    def flat_score(text):
+        out = math.log10((len(train) + 1) / root)
+        for w in words(text):
+            if w in frequent:
+                out += math.log10((count[w] + 1) / root)
+            else:
+                c = last(w)
+                out += math.log10((of_class[c] + 1) / root * (count[w] + 1) / (of_class[c] + kinds[c] + 1))
+        return out
+
+    for i, text in enumerate([*texts, "never seen w1 w2", ""]):
+        assert flat[i]["score"] == pytest.approx(flat_score(text), rel=1e-9)
+    assert sum(r["score"] for r in rows if not r["held_out"]) > sum(
+        flat[r["doc_id"]]["score"] for r in rows if not r["held_out"]
+    )
+
+
+def test_the_tree_grows_with_the_corpus(spark):
+    """More text, more symbols and contexts."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    sizes = []
+    small = docs.where("doc_id < 1000").select("text")
+    for rows in (small, docs.where("doc_id % 7 <> 2").select("text")):
+        rare, known = suffix_tree_lm.count_words(rows)
+        symbols = suffix_tree_lm.symbols_of(
+            rows.withColumns({"doc_id": F.lit(1).cast("long"), "held_out": F.lit(False)}), known
         )
-        assert logs[i] == pytest.approx(math.log10(smooth(context, symbol)), abs=1e-4)
+        tree = suffix_tree_lm.Tree(known.root)
+        tree.grow(symbols.select("symbols"), known.least)
+        sizes.append((known.alphabet, sum(len(level.codes) for level in tree.levels)))
+    assert sizes[1][1] > 1.5 * sizes[0][1] and sizes[1][0] >= sizes[0][0]
 
 
 def accuracy(rows, truth, field, predicted, keep=lambda t: True):
@@ -248,6 +317,18 @@ def test_language_held_out(table):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_letters_over_all_of_unicode(make_docs):
+    import unicodedata
+
+    for c in map(chr, range(0x110000)):
+        assert language_id.has_letter(c) == unicodedata.category(c).startswith("L")
+    docs = make_docs(["² ½ ①", "ⅷ ² 3", "ein Wort", "", None], "de")
+    rows = language_id.identify(docs).collect()
+    assert sorted((r["doc_id"], r["lang_pred"]) for r in rows) == [
+        (0, "und"), (1, "und"), (2, "de"), (3, "und"), (4, "und"),
+    ]
+
+
 def test_language_against_counting_by_hand(spark):
     texts = [("aab ab", "x"), ("bbc b", "y"), ("cab", "x")]
     model = language_id.fit(spark.createDataFrame(texts, "text string, lang string"), bits=16)

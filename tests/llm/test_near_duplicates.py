@@ -84,6 +84,18 @@ def test_one_of_each_stays(edge_docs, no_docs):
     assert keep_one_of_each(no_docs).count() == 0
 
 
+def test_one_row_stays_for_each_component_whatever_its_ids(spark):
+    a, b = PROSE + " " + PROSE[::-1], " ".join(f"other{i} word{i * 7}" for i in range(40))
+    rows = [(3, a, 1), (7, a + " more", 2), (7, b, 3), (7, b + " more", 4), (8, b + " more", 5),
+            (None, a, 6), (None, "a text with a null id of its own words here", 7),
+            (9, "", 8), (9, None, 9), (9, b + " again", 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, h1 int")
+    kept = sorted(r["h1"] for r in keep_one_of_each(docs).collect())
+    assert kept[0] == 1 and 2 not in kept and 5 not in kept and 6 not in kept and 10 not in kept
+    assert len({3, 4} & set(kept)) == 1
+    assert {7, 8, 9} <= set(kept) and len(kept) == 5
+
+
 def test_graph_components(spark):
     draw = random.Random(2)
     pairs = [(draw.randint(0, 300), draw.randint(0, 300)) for _ in range(200)]

@@ -73,6 +73,56 @@ def test_persons(make_docs):
     assert got[4] == texts[4]
 
 
+@pytest.mark.parametrize(
+    "text, gone",
+    [
+        ("mail john.doe@example.com-based firms", "john.doe"),
+        ("call 555 123 4567 today", "4567"),
+        ("ring 0171 2345678 today", "2345678"),
+        ("host 2001:db8:85a3:0:0:8a2e:370:7334 up", "85a3"),
+        ("host fe80::1ff:fe23:4567:890a up", "fe23"),
+        ("then Mr O'Neil left", "Neil"),
+        ("and Dr. Keller came", "Keller"),
+        ("and Prof. Smith came", "Smith"),
+        ("Herr Dr. Braun kam", "Braun"),
+    ],
+)
+def test_forms_that_are_found(make_docs, text, gone):
+    got = out(make_docs, {1: text})[1]
+    assert gone not in got and got.split()[0] == text.split()[0] and got.split()[-1] == text.split()[-1]
+
+
+def test_greek_names_stay_greek(make_docs):
+    got = out(make_docs, {1: "Herr Κώστας Παπαδόπουλος und Frau Ελένη Γεωργίου", 2: "dead::beef std::map 12:30"})
+    names = re.fullmatch(r"Herr (\w+) (\w+) und Frau (\w+) (\w+)", got[1]).groups()
+    assert all(re.fullmatch("[Α-ώ]+", n) for n in names)
+    assert not set(names) & {"Κώστας", "Παπαδόπουλος", "Ελένη", "Γεωργίου"}
+    assert names[0] in surrogates.GIVEN["m", "greek"] and names[2] in surrogates.GIVEN["f", "greek"]
+    assert got[2] == "dead::beef std::map 12:30"
+
+
+def test_more_entities_than_numbers_of_their_form(spark, monkeypatch):
+    """Every five-digit number after a country code is in the table: longer ones are drawn."""
+    monkeypatch.setattr(surrogates, "GROWING_DRAWS", 3)
+    kinds = [f"ssn|{i:02d}" for i in range(100)] + [f"phone|44+{i:03d}" for i in range(1000)]
+    rows = replacements(spark.createDataFrame([(k,) for k in kinds], "entity string"), "k").collect()
+    cores = {(r["entity"].split("|")[0], r["core"]) for r in rows}
+    assert len(rows) == len(cores) == 1100
+    assert not {"|".join(c) for c in cores} & set(kinds)
+    assert all(r["core"].startswith("44+") for r in rows if r["entity"].startswith("phone"))
+
+
+def test_made_up_names_get_longer(spark):
+    """More surnames than four syllables can name would never end if names didn't grow."""
+    frame = spark.createDataFrame([("surname/latin|x",), ("surname/greek|ψ",)], "entity string")
+    lengths = []
+    for attempt in (2, 4, 8):
+        core = surrogates._replacement("k", F.col("entity"), attempt).alias("core")
+        lengths.append([len(r["core"]) for r in frame.select(core).collect()])
+    assert [n == 12 for n in lengths[0]] == [True, True]
+    assert lengths[1] == [15, 15] and lengths[2] == [27, 27]
+
+
 def test_distinct_entities_stay_distinct(spark):
     """A space with few values: every entity has its own replacement, and no real one."""
     kinds = [f"email|{a}@b{b}.co" for a in "abcdefghijklmnopqrstuvwxyz" for b in range(10)]
