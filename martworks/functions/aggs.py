@@ -19,16 +19,6 @@ def count_distinct(col) -> Column:
     return F.count_distinct(as_col(col))
 
 
-def mode_of(col) -> Column:
-    """A3: most frequent non-NULL value; ties go to the smallest value.
-
-    Matches ``MODE() WITHIN GROUP (ORDER BY col)``. The aggregation buffer is a map of
-    distinct values of ``col`` for every group, which is slow next to distinct counts (the
-    rewrite gives each distinct value its own group); the marts use :func:`mode_table`.
-    """
-    return F.mode(as_col(col), deterministic=True)
-
-
 def count_if(cond) -> Column:
     """A4: ``SUM(CASE WHEN cond THEN 1 ELSE 0 END)``; a NULL condition counts as 0."""
     return F.count_if(as_col(cond))

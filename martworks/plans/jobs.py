@@ -20,7 +20,9 @@ from martworks.operators.trim import quantile_trim
 from martworks.plans import marts
 from martworks.sinks import merge_writers, writers
 from martworks.sources import footers, readers
+from martworks.sources.inference import read_csv_inferred
 from martworks.sources.quarantine import Checked, read_csv_checked
+from martworks.sources.splitting import read_large_json, read_large_xml
 
 ARRIVAL = "_arrival"
 UNDECLARED = "_undeclared"
@@ -70,13 +72,12 @@ def one_time_load(
     spark: SparkSession, csv_path: str, parquet_path: str, table: str, table_path: str | None = None,
     jdbc_url: str | None = None, jdbc_properties: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """S1 (inferred) -> K1 -> S2 -> T1 -> T16 -> K4 -> V4. Returns the profile.
+    """S1 (inferred, one parse) -> K1 -> S2 -> T1 -> T16 -> K4 -> V4. Returns the profile.
 
     With ``jdbc_url`` the table is (re)created in that database instead (K5 in overwrite
     mode, column types from T16), and the profile reads it back over JDBC.
     """
-    raw = readers.read_csv(spark, csv_path, infer=True)
-    writers.write_parquet(raw, parquet_path)
+    writers.write_parquet(read_csv_inferred(spark, csv_path), parquet_path)
     df = transform.normalize_columns(readers.read_parquet(spark, parquet_path))
     if jdbc_url:
         props = dict(jdbc_properties or {})
@@ -146,16 +147,20 @@ def pets_batch(records: DataFrame) -> DataFrame:
 
 def json_job(
     spark: SparkSession, path: str, target: DataFrame | None, as_of: datetime, table: str | None = None,
-    multi_line: bool = True,
+    multi_line: bool = True, large: bool = False,
 ) -> DataFrame:
     """S3 -> V5 -> T10 -> T14 -> M2 (keys name, species, birthyear; last wins).
 
-    Returns the new table; with ``table`` it is also written by the staged swap. For large
-    inputs use JSON lines, one document a line (``multi_line=False``): they split.
+    Returns the new table; with ``table`` it is also written by the swap. JSON lines, one
+    document a line (``multi_line=False``), split between documents; ``large`` documents, one
+    in a file, are split between their records.
     """
-    records = readers.read_json_records(
-        spark, path, "pets", schemas.PET, multi_line=multi_line, position_col=ARRIVAL
-    )
+    if large:
+        records = read_large_json(spark, path, "pets", schemas.PET, position_col=ARRIVAL)
+    else:
+        records = readers.read_json_records(
+            spark, path, "pets", schemas.PET, multi_line=multi_line, position_col=ARRIVAL
+        )
     batch = pets_batch(quality.require_records(records, "pets document"))
     if target is None:
         target = spark.createDataFrame([], schemas.PETS_TABLE)
@@ -181,13 +186,19 @@ def nutrition_batch(foods: DataFrame) -> DataFrame:
 
 def xml_job(
     spark: SparkSession, path: str, as_of: datetime, table: str | None = None,
-    direct_children_only: bool = True,
+    direct_children_only: bool = True, large: bool = False,
 ) -> DataFrame:
-    """P5: S4 -> V5 -> T14 -> T6 -> T7 -> V6 -> M2 into an empty table -> K4."""
-    foods = readers.read_xml_records(
-        spark, path, "food", schemas.FOOD, direct_children_only=direct_children_only,
-        position_col=ARRIVAL,
-    )
+    """P5: S4 -> V5 -> T14 -> T6 -> T7 -> V6 -> M2 into an empty table -> K4.
+
+    ``large`` files are split between their records, others are one task each.
+    """
+    if large:
+        foods = read_large_xml(spark, path, "food", schemas.FOOD, position_col=ARRIVAL)
+    else:
+        foods = readers.read_xml_records(
+            spark, path, "food", schemas.FOOD, direct_children_only=direct_children_only,
+            position_col=ARRIVAL,
+        )
     batch = nutrition_batch(quality.require_records(foods, "nutrition document"))
     quality.require_not_null(batch, ["name"], "nutrition_data")
     empty = spark.createDataFrame([], schemas.NUTRITION_TABLE)

@@ -219,17 +219,16 @@ def q_p3_missing_date_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- P4, P5
 
 
-@register(
-    "p4_json_pets",
-    f"""
+_P4_SQL = f"""
 SELECT c_name AS name, c_mktsegment AS species, c_mktsegment || ', ' || c_name AS favfoods,
        c_nationkey AS birthyear, CASE WHEN c_acctbal < 0 THEN NULL ELSE 'second' END AS photo,
        {_LOADED}
 FROM customer
-""",
-)
-def q_p4_json_pets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document repeats its pets; the last mention of a key wins."""
+"""
+
+
+def _pets(spark: SparkSession, sf_dir: str, customers: int) -> DataFrame:
+    """Documents that repeat their pets; the last mention of a key wins."""
     customer = load(spark, sf_dir, "customer")
 
     def pet(photo):
@@ -241,19 +240,30 @@ def q_p4_json_pets(spark: SparkSession, sf_dir: str) -> DataFrame:
             photo.alias("photo"),
         )
 
-    # documents of at most 16 customers, each customer twice
-    grouped = customer.groupBy(F.expr("c_custkey div 16").alias("doc")).agg(
+    # documents of so many customers at most, each customer twice
+    grouped = customer.groupBy(F.expr(f"c_custkey div {customers}").alias("doc")).agg(
         F.collect_list(pet(F.lit("first"))).alias("one"),
         F.collect_list(pet(F.when(F.col("c_acctbal") >= 0, F.lit("second")))).alias("two"),
     )
+    return grouped.select(F.concat("one", "two").alias("pets"))
+
+
+@register("p4_json_pets", _P4_SQL)
+def q_p4_json_pets(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "p4-pets")
-    grouped.select(F.concat("one", "two").alias("pets")).write.json(path)
+    _pets(spark, sf_dir, 16).write.json(path)
     return jobs.json_job(spark, path, None, AS_OF, multi_line=False)
 
 
-@register(
-    "p5_xml_nutrition",
-    f"""
+@register("p4_large_json", _P4_SQL)
+def q_p4_large_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document a file, read by several tasks."""
+    path = work_path(spark, "p4-large-pets")
+    _pets(spark, sf_dir, 1000).write.option("maxRecordsPerFile", 1).json(path)
+    return jobs.json_job(spark, path, None, AS_OF, large=True)
+
+
+_P5_SQL = f"""
 SELECT p_name || ' ' || CAST(p_partkey AS VARCHAR) AS name, p_brand AS manufacturer,
        CAST(p_size AS DECIMAL(10, 2)) AS serving_value, 'g' AS serving_units,
        CAST(p_size * 4 AS INTEGER) AS calories_total, CAST(p_size AS INTEGER) AS calories_fat,
@@ -264,10 +274,11 @@ SELECT p_name || ' ' || CAST(p_partkey AS VARCHAR) AS name, p_brand AS manufactu
        CAST(2 AS INTEGER) AS vitamin_c, CAST(3 AS INTEGER) AS calcium, CAST(NULL AS INTEGER) AS iron,
        {_LOADED}
 FROM part
-""",
-)
-def q_p5_xml_nutrition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Many bounded files; nested elements of the same tag are not records."""
+"""
+
+
+def _foods(spark: SparkSession, sf_dir: str, records: int) -> str:
+    """Files of so many records at most; nested elements of the same tag are not records."""
     part = load(spark, sf_dir, "part")
     size = _text("p_size")
     foods = part.select(
@@ -289,8 +300,19 @@ def q_p5_xml_nutrition(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = work_path(spark, "p5-foods")
     writer = foods.write.format("xml").option("rowTag", "food").option("rootTag", "foods")
-    writer.option("maxRecordsPerFile", 500).save(path)
-    return jobs.xml_job(spark, path, AS_OF)
+    writer.option("maxRecordsPerFile", records).save(path)
+    return path
+
+
+@register("p5_xml_nutrition", _P5_SQL)
+def q_p5_xml_nutrition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.xml_job(spark, _foods(spark, sf_dir, 500), AS_OF)
+
+
+@register("p5_large_xml", _P5_SQL)
+def q_p5_large_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of any size, read by several tasks."""
+    return jobs.xml_job(spark, _foods(spark, sf_dir, 1_000_000), AS_OF, large=True)
 
 
 # ---------------------------------------------------------------- P6: the other three collections

@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -113,10 +116,48 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+_SCRATCH = threading.local()
+
+
+def _work_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/work/{spark.sparkContext.applicationId}"
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique location under the shared checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/work/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique location under the shared checkpoint folder.
+
+    What is written there stays until :func:`clear_work`, or until the end of the
+    :func:`scratch` block that it was asked for in.
+    """
+    path = f"{_work_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    blocks = getattr(_SCRATCH, "blocks", [])
+    if blocks:
+        blocks[-1].append(path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end of the block, every work path that this thread asked for in it.
+
+    Results that are still to be read must be written elsewhere before the block ends.
+    """
+    _SCRATCH.blocks = [*getattr(_SCRATCH, "blocks", []), []]
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.blocks.pop():
+            remove_path(spark, path)
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application; for the end of a job."""
+    remove_path(spark, _work_folder(spark))
 
 
 def is_folder(spark: SparkSession, path: str) -> bool:
