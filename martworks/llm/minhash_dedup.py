@@ -47,6 +47,7 @@ from martworks.llm.words import mix, word_hashes
 K = 192
 SPREAD = 5
 HUBS_IN_LIST = 4096
+BROADCAST_ROOTS = 200_000
 WHOLE = 1 << 40
 
 _SALT = np.uint64(0xD6E8FEB86659FD93)
@@ -313,6 +314,18 @@ def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
+def _by_root(rows: DataFrame, of_root: DataFrame) -> DataFrame:
+    """``rows`` with what is known of their component, one row for each root.
+
+    A component may hold most rows. Few components are broadcast, so that it is not gathered in
+    one task; where there are many, a join by root can be split by adaptive execution.
+    """
+    of_root = staged(of_root, "roots")
+    if of_root.limit(BROADCAST_ROOTS + 1).count() <= BROADCAST_ROOTS:
+        of_root = F.broadcast(of_root)
+    return rows.join(of_root, "root")
+
+
 def _open(members: DataFrame, comps: DataFrame, sizes: tuple[int, int, int]) -> DataFrame:
     """Members (key, node, n, place, root, m, main) of lists over several components.
 
@@ -320,8 +333,7 @@ def _open(members: DataFrame, comps: DataFrame, sizes: tuple[int, int, int]) ->
     """
     rooted = members.join(comps, "node", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "node"))
-    large = rooted.groupBy("root").agg(F.count("*").alias("of_root"))
-    rooted = rooted.join(large, "root")
+    rooted = _by_root(rooted, rooted.groupBy("root").agg(F.count("*").alias("of_root")))
     lists = rooted.groupBy("key").agg(
         F.min("root").alias("least"),
         F.max("root").alias("most"),
@@ -413,8 +425,7 @@ def _classified(docs: DataFrame, width: int, num: int, den: int, k: int):
     found = class_components(_Links(docs, classes, width, num, den, k), lists)
     grouped = classes.select("node", "h2", "rep").join(found, "node", "left")
     grouped = staged(grouped.withColumn("root", F.coalesce("root", "node")), "grouped")
-    least = grouped.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = grouped.join(least, "root")
+    named = _by_root(grouped, grouped.groupBy("root").agg(F.min("rep").alias("component_id")))
     return feats, named.select(F.col("node").alias("h1"), "h2", "root", "component_id")
 
 
