@@ -27,8 +27,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 FILES_PER_CORE = 8
 
 
-def staged(df: DataFrame, name: str, tasks: int | None = None) -> DataFrame:
-    """Write ``df`` below the shared checkpoint folder and read it back.
+def staged(
+    df: DataFrame, name: str, tasks: int | None = None, path: str | None = None
+) -> DataFrame:
+    """Write ``df`` below the shared checkpoint folder (or to ``path``) and read it back.
 
     Cuts the lineage: a lost executor costs the tasks that run, not the steps before. It is
     written by at most ``tasks`` tasks, by default ``FILES_PER_CORE`` for each core: a table
@@ -36,7 +38,7 @@ def staged(df: DataFrame, name: str, tasks: int | None = None) -> DataFrame:
     ``tasks=0`` leaves the partitions and their order as they are.
     """
     spark = df.sparkSession
-    path = work_path(spark, name)
+    path = path or work_path(spark, name)
     if tasks is None:
         tasks = FILES_PER_CORE * spark.sparkContext.defaultParallelism
     (df.coalesce(tasks) if tasks else df).write.parquet(path)

@@ -10,8 +10,8 @@ in order make the whole order; shard s gets the positions p with p * shards div
 row counts differ by one at most, a shard's files in name order are its slots in order, and a
 bucket touches few shards. Nothing but DataFrame functions is used.
 
-The same seed and files give the same shards on any cluster: what a task that runs again
-makes is what it made before. Rows that do not come straight from Parquet files are staged
+The same seed, files and bucket size give the same shards: what a task that runs again makes
+is what it made before. Rows that do not come straight from Parquet files are staged
 first (``stored=False``), which fixes their places.
 
 Defined cases: null ids, null and empty texts and repeated rows are records like any other; a
@@ -22,6 +22,8 @@ so that names like ``shard`` or ``slot`` do not clash.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,13 +33,26 @@ from martworks.session import work_path
 
 SHARDS = 24
 SEED = 20260501
-#: A task holds a bucket about four times: as rows, as an array, shuffled and sorted to write.
+#: A bucket's bytes at least. A task holds it about four times: as rows, as an array, shuffled
+#: and sorted to write; so a bucket may be a sixteenth of a core's share of memory.
 BUCKET_BYTES = 32 << 20
+MEMORY_SHARE = 16
 #: Up to so many buckets their positions (16 bytes each) are broadcast.
 BROADCAST_BUCKETS = 1 << 20
 _RUN = 1024
 
 
+def bucket_bytes_of(spark: SparkSession) -> int:
+    """Bytes of a bucket on this cluster: larger executors take fewer, larger buckets."""
+    conf = spark.sparkContext.getConf()
+    size = re.fullmatch(r"(\d+)([kmgt]?)b?", conf.get("spark.executor.memory", "1g").lower())
+    if not size or spark.sparkContext.master.startswith("local["):
+        return BUCKET_BYTES
+    memory = int(size[1]) << {"": 20, "k": 10, "m": 20, "g": 30, "t": 40}[size[2]]
+    cores = max(1, int(conf.get("spark.executor.cores", "4")))
+    return max(BUCKET_BYTES, memory // cores // MEMORY_SHARE)
+
+
 def record_bytes(df: DataFrame) -> Column:
     """About how many bytes a row takes: texts by their length, the rest 8 a column."""
     total = F.lit(0).cast("long")
@@ -68,16 +83,17 @@ def write_shards(
     path: str,
     shards: int = SHARDS,
     seed: int = SEED,
-    bucket_bytes: int = BUCKET_BYTES,
+    bucket_bytes: int | None = None,
     stored: bool = False,
 ) -> DataFrame:
     """Write the rows of ``table`` to ``path/shard=s`` in random order; (shard, slot, record).
 
     ``stored``: the table is read from Parquet files and its rows are as they stand there.
     """
+    spark = table.sparkSession
+    bucket_bytes = bucket_bytes_of(spark) if bucket_bytes is None else bucket_bytes
     if shards < 1 or bucket_bytes < 1:
         raise ValueError("shards and bucket_bytes must be at least 1")
-    spark = table.sparkSession
     if not stored:
         table = staged(table, "sharding-rows")
     of = table.agg(F.count(F.lit(1)).alias("rows"), F.sum(record_bytes(table)).alias("bytes"))
