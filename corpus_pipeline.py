@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from martworks.llm import decontaminate, minhash_dedup, packing, surrogates, toxicity
 from martworks.llm.common import read_table, staged
+from martworks.session import remove_path, scratch, work_path
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +57,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages over the documents table.
+
+    Each stage's rows are written before the next one reads them; what a stage staged on the
+    way, and the rows it read, are removed as soon as its own are written. Null and empty texts
+    and repeated rows go through every stage as its operator defines; an empty table stays so.
+    """
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        path = work_path(spark, name)
+        with scratch(spark):
+            docs = staged(stage(spark, docs, sf_dir), name, path=path)
+        if before:
+            remove_path(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
