@@ -19,7 +19,7 @@ no space runs out. All of it is joins and aggregations over the distinct entitie
 
 Texts without an entity are passed through and never shuffled. The others are joined with
 their replacements by two 64-bit hashes of the text, so that copies of a text share one
-row of replacements.
+row of replacements, and then dealt evenly over the tasks that rewrite them.
 
 Defined cases: null and empty texts stay as they are; rows with equal text get equal
 results; ids may be null or repeated; an empty table gives no rows; further columns are
@@ -38,6 +38,8 @@ from martworks.llm.common import staged
 
 DEFAULT_KEY = "martworks surrogates"
 LISTED_DRAWS = 3
+#: Tasks that write the changed texts, for each core.
+TASKS_PER_CORE = 4
 #: Draws after which numbers may be longer than those they stand for.
 GROWING_DRAWS = 12
 
@@ -428,6 +430,9 @@ def pseudonymize(docs: DataFrame, column: str = "text", key: str = DEFAULT_KEY)
         .agg(F.map_from_entries(F.collect_list(F.struct("entity", "core"))).alias(cores))
     )
     changed = docs.where(hit).select("*", *hashes).join(of_text, [h1, h2])
+    # a row costs far more than its bytes: what the join has packed by size is dealt anew
+    tasks = TASKS_PER_CORE * docs.sparkSession.sparkContext.defaultParallelism
+    changed = changed.repartition(tasks)
     pattern, mentions = _mentions(text)
     gaps = F.split(text, pattern, -1)
     rebuilt = F.concat(
