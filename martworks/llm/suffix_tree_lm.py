@@ -8,10 +8,10 @@ most ``8 * sqrt(N)`` contexts of a length; ``LEAST_ALPHABET`` words at least are
 context is kept if its next-symbol distribution diverges from that of its longest proper suffix
 (Kullback-Leibler divergence over ``LEAST_DIVERGENCE`` nats, and significant for its count);
 suffixes of what is kept are kept. Distributions are smoothed towards that of the suffix, down
-to add-one at the root; next symbols seen fewer than ``LEAST_NEXT`` times leave their share to
-the suffix, so a context holds what it has seen, not a row of the alphabet. A token is scored
-in the state of the longest kept suffix of what stands before it; a word of a class also
-takes its add-one share of the class, unseen words as one.
+to add-one at the root; next symbols seen less than a ``NEXT_SHARE``-th of ``least`` leave their
+share to the suffix, so what all contexts hold grows with the square root of N as well. A token
+is scored in the state of the longest kept suffix of what stands before it; a word of a class
+also takes its add-one share of the class, unseen words as one.
 
 Word counts cover all training tokens and are one Spark aggregation. The ``KNOWN`` most
 frequent words at most go to the workers with their counts (a bound on memory); the other
@@ -42,6 +42,8 @@ LEAST_ALPHABET = 1000
 CLASSES = 128
 DEPTH = 3
 LEAST_NEXT = 2
+#: What a context has to be seen, for each time that one of its next symbols has to be.
+NEXT_SHARE = 32
 LEAST_DIVERGENCE = 0.01
 TOWARDS_SUFFIX = 50.0
 KNOWN = 1 << 20
@@ -298,9 +300,9 @@ class Tree:
             table = symbols.select("symbols").mapInArrow(count, "code long, n long")
             table = staged(table.groupBy("code").agg(F.sum("n").alias("n")), "nexts")
             of = F.floor(F.col("code") / self.base).cast("long")
-            # one number for each context; next symbols seen LEAST_NEXT times or more
+            # one number for each context, and its next symbols that were seen often enough
             sizes = table.groupBy(of.alias("number")).agg(F.sum("n").alias("n")).toArrow()
-            nexts = table.where(F.col("n") >= LEAST_NEXT).toArrow()
+            nexts = table.where(F.col("n") >= max(LEAST_NEXT, least / NEXT_SHARE)).toArrow()
             sent.destroy()
             size = np.zeros(len(codes))
             size[sizes.column("number").to_numpy()] = sizes.column("n").to_numpy()

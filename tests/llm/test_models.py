@@ -77,6 +77,7 @@ def test_lm_edge_rows(edge_docs, no_docs):
 
 def _grown(spark, seqs, symbols, least, monkeypatch, least_next=1):
     monkeypatch.setattr(suffix_tree_lm, "LEAST_NEXT", least_next)
+    monkeypatch.setattr(suffix_tree_lm, "NEXT_SHARE", 1e9)
     frame = spark.createDataFrame([(np.array(s, np.int32).tobytes(),) for s in seqs], "symbols binary")
     root = np.zeros(symbols)
     for s in seqs:
