@@ -1,4 +1,4 @@
-"""Write docs/PLANS.md: the physical plan of every registered query.
+"""Write docs/PLANS.md: the physical plan of every registered query outside llm/.
 
 Usage: python tools/dump_plans.py [sf_dir]
 """
@@ -29,7 +29,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = get_session("local[8]", 16)
     out = ["# Physical plans", "",
-           f"Initial physical plans (before AQE re-planning) of every registered query, read at `{sf_dir}`.",
+           f"Initial physical plans (before AQE re-planning) of every registered query outside llm/, read at `{sf_dir}`.",
            "Operators computed on the driver before the plan (quantile bounds, watermarks) appear as literals.", ""]
     for name, fn in QUERIES.items():
         out += [f"## {name}", "", "```", tree(fn(spark, sf_dir)), "```", ""]
