@@ -47,6 +47,8 @@ NEXT_SHARE = 32
 LEAST_DIVERGENCE = 0.01
 TOWARDS_SUFFIX = 50.0
 KNOWN = 1 << 20
+#: Texts whose words a worker holds at a time.
+ROWS_AT_ONCE = 512
 #: Counts that a task gathers before it sums equal ones.
 GATHERED = 1 << 21
 
@@ -77,7 +79,7 @@ def _tokens(batch):
 
 @frugal
 def _count_words(batches):
-    for batch in sliced(batches):
+    for batch in sliced(batches, ROWS_AT_ONCE):
         h, cls, _ = _tokens(batch)
         word, at, n = np.unique(h, return_index=True, return_counts=True)
         yield pa.RecordBatch.from_arrays(
@@ -155,7 +157,7 @@ def _symbol_rows(batches, words: Broadcast):
     """The symbols of each text, sums of log10(c + 1), and the words to look up."""
     w = words.value
     end_log, end_known = math.log10(w.texts + 1), int(w.texts > 0)
-    for batch in sliced(batches):
+    for batch in sliced(batches, ROWS_AT_ONCE):
         h, cls, first = _tokens(batch)
         distinct, inverse = np.unique(h, return_inverse=True)
         at = np.searchsorted(w.word, distinct)
