@@ -153,7 +153,7 @@ def _with_partners(members: DataFrame, num: int, den: int, k: int) -> DataFrame:
 @frugal
 def _retained(batches):
     """(value, node, n) of each value of a sketch."""
-    for batch in batches:
+    for batch in sliced(batches, 1024):
         kept = [np.frombuffer(v, np.int64) for v in batch.column("vals").to_pylist()]
         if kept:
             times = [len(v) for v in kept]

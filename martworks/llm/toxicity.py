@@ -39,7 +39,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martworks.llm.common import fitted, frugal, labelled_sample, remainder, text_of
+from martworks.llm.common import fitted, frugal, labelled_sample, remainder, sliced, text_of
 from martworks.llm.ngrams import text_chunks
 from martworks.llm.units import Memory
 
@@ -50,6 +50,9 @@ LANDMARKS = 96
 SAMPLE = 2000
 TRAIN_CHARS = 20_000
 ROWS_AT_ONCE = 1 << 15
+#: Texts that a worker scores at a time, and words whose value it keeps.
+ROWS_IN_BATCH = 1024
+KNOWN_WORDS = 100_000
 
 _SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n+")
 _SPELLED = re.compile(r"(?<!\S)\S(?:[ \t]+\S(?!\S)){2,}")
@@ -124,7 +127,7 @@ class Kernel:
         for length, (who, parts) in by_length.items():
             at, weight, norm = _triples(length)
             weight = (weight / norm).astype(np.float32)
-            step = max(1, 100_000 // len(at))
+            step = max(1, 25_000 // len(at))
             for lo in range(0, len(who), step):
                 c = _symbols(parts[lo : lo + step])
                 row = self.row_of[c[:, at[:, 0]] * 4096 + c[:, at[:, 1]] * 64 + c[:, at[:, 2]]]
@@ -345,8 +348,8 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5) -> Model:
 
 @frugal
 def _score(batches, model: Broadcast):
-    known = Memory(model.value._words)
-    for batch in batches:
+    known = Memory(model.value._words, most=KNOWN_WORDS)
+    for batch in sliced(batches, ROWS_IN_BATCH):
         score = model.value.score(batch.column("text").to_pylist(), known)
         yield pa.RecordBatch.from_arrays(
             [
@@ -361,8 +364,8 @@ def _score(batches, model: Broadcast):
 
 @frugal
 def _keep_clean(batches, model: Broadcast):
-    known = Memory(model.value._words)
-    for batch in batches:
+    known = Memory(model.value._words, most=KNOWN_WORDS)
+    for batch in sliced(batches, ROWS_IN_BATCH):
         texts = [t or "" for t in batch.column("text").to_pylist()]
         yield batch.filter(pa.array(model.value.score(texts, known) < 0.5))
 

@@ -9,14 +9,19 @@ MEMORY = 250_000
 
 
 class Memory:
-    """What is known of each unit; emptied at ``MEMORY`` entries and filled anew."""
-
-    def __init__(self, work_out: Callable[[list[str]], list], start: dict | None = None):
-        self.work_out, self.start = work_out, dict(start or {})
+    """What is known of each unit; emptied at ``most`` entries and filled anew."""
+
+    def __init__(
+        self,
+        work_out: Callable[[list[str]], list],
+        start: dict | None = None,
+        most: int = MEMORY,
+    ):
+        self.work_out, self.start, self.most = work_out, dict(start or {}), most
         self.known = dict(self.start)
 
     def look_up(self, units: list[str]) -> list:
-        if len(self.known) > MEMORY:
+        if len(self.known) > self.most:
             self.known = dict(self.start)
         new = list(set(units).difference(self.known))
         for at in range(0, len(new), 10_000):
