@@ -22,18 +22,18 @@ from martworks.operators.joins import preaggregated_star
 
 _ACTIVITY_DIMS = ("user_id", "view_id", "movie_id", "genre")
 # grouping_id over the dimensions: a bit is set where a dimension is summed over
-_BY_VIEW, _BY_MOVIE, _BY_GENRE = 0b0011, 0b0101, 0b0110
+_BY_VIEW, _BY_MOVIE, _BY_GENRE, _BY_USER = 0b0011, 0b0101, 0b0110, 0b0111
 
 
 def activity_parts(views: DataFrame) -> DataFrame:
-    """The views counted by (user, view), (user, movie) and (user, genre) in one scan.
+    """The views counted by user and by (user, view), (user, movie) and (user, genre), in one scan.
 
     A user with a third of all rows is spread over their views, movies and genres here, and
     combined map-side; the parts of different loads can be added up.
     """
     minutes = F.col("watch_duration_minutes")
     user = _ACTIVITY_DIMS[0]
-    sets = [[user, dim] for dim in _ACTIVITY_DIMS[1:]]
+    sets = [[user], *[[user, dim] for dim in _ACTIVITY_DIMS[1:]]]
     return views.groupingSets(sets, *_ACTIVITY_DIMS).agg(
         F.grouping_id(*_ACTIVITY_DIMS).alias("_set"),
         F.count(F.lit(1)).alias("_rows"),
@@ -53,13 +53,12 @@ def activity_of(parts: DataFrame) -> DataFrame:
     """E1 from its parts (:func:`activity_parts`).
 
     The distinct counts are the rows by view and by movie, the favourite genre (mode, ties to
-    the smallest) is the genre row with the most views, and the genre rows, which hold each
-    view once, add up to the sums.
+    the smallest) is the genre row with the most views, the sums stand in the user's own row.
     """
-    by = {n: F.col("_set") == n for n in (_BY_VIEW, _BY_MOVIE, _BY_GENRE)}
-    once = by[_BY_GENRE]
+    by = {n: F.col("_set") == n for n in (_BY_VIEW, _BY_MOVIE, _BY_GENRE, _BY_USER)}
+    once, genre = by[_BY_USER], by[_BY_GENRE]
     minutes, timed = F.sum(F.when(once, F.col("_minutes"))), F.sum(F.when(once, F.col("_timed")))
-    most = F.when(once & F.col("genre").isNotNull(), F.struct(-F.col("_rows"), F.col("genre")))
+    most = F.when(genre & F.col("genre").isNotNull(), F.struct(-F.col("_rows"), F.col("genre")))
     return parts.groupBy("user_id").agg(
         count_if(by[_BY_VIEW] & F.col("view_id").isNotNull()).alias("total_views"),
         minutes.alias("total_watch_time_minutes"),
