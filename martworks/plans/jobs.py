@@ -201,7 +201,7 @@ def xml_job(
         )
     batch = nutrition_batch(quality.require_records(foods, "nutrition document"))
     quality.require_not_null(batch, ["name"], "nutrition_data")
-    empty = spark.createDataFrame([], schemas.NUTRITION_TABLE)
+    empty = spark.createDataFrame([], schemas.NUTRITION_TABLE).limit(0)
     out = merge.upsert(
         empty, batch, list(schemas.NUTRITION_KEYS), order_by=[ARRIVAL], stamp=("loaded_at", as_of)
     )
