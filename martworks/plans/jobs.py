@@ -163,7 +163,8 @@ def json_job(
         )
     batch = pets_batch(quality.require_records(records, "pets document"))
     if target is None:
-        target = spark.createDataFrame([], schemas.PETS_TABLE)
+        # known to be empty when the plan is made: nothing of the batch is looked up in it
+        target = spark.createDataFrame([], schemas.PETS_TABLE).limit(0)
     out = merge.upsert(
         target, batch, list(schemas.PETS_KEYS), order_by=[ARRIVAL],
         update_cols=["favfoods", "photo"], stamp=("loaded_at", as_of),
